@@ -9,9 +9,10 @@ _MD5_LINE = r"^\s*([0-9a-fA-F]{32})\s+\*?(.+?)\s*$"
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """name, bytes, md5 and sha256 of each file, one task per group of files."""
+    """path, name, bytes, md5 and sha256 of each file; files are spread over the tasks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select(
+        "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("bytes"),
         F.md5("content").alias("md5"),
