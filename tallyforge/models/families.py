@@ -37,9 +37,12 @@ class Family:
     build: Callable[[DataFrame, Mapping, str | None], Estimator]
     draw: Callable[[int], dict]
 
-    def fit(self, train: DataFrame, groups: Mapping, params: Mapping, target: str, weight: str | None = None) -> PipelineModel:
-        """Preprocessing and model as one object, learned on `train` only."""
-        prep = fit_preprocessor(train, groups)
+    def fit(
+        self, train: DataFrame, groups: Mapping, params: Mapping, target: str, weight: str | None = None,
+        prep: PipelineModel | None = None,
+    ) -> PipelineModel:
+        """Preprocessing and model as one object, learned on `train` only. `prep` must come from the same rows."""
+        prep = prep or fit_preprocessor(train, groups)
         ready = prep.transform(train.withColumn(LABEL, F.col(target).cast("double"))).select(
             "features", LABEL, *([weight] if weight else [])
         )
@@ -60,7 +63,7 @@ def _weighted(estimator: Estimator, weight: str | None) -> Estimator:
 def _logistic(ready: DataFrame, params: Mapping, weight: str | None) -> Estimator:
     total = ready.agg(F.sum(weight) if weight else F.count("*")).first()[0]
     return _weighted(LogisticRegression(
-        labelCol=LABEL, maxIter=params.get("max_iter", 200), tol=params.get("tol", 1e-8), regParam=1.0 / (params["c"] * total),
+        labelCol=LABEL, maxIter=params.get("max_iter", 200), tol=params.get("tol", 1e-6), regParam=1.0 / (params["c"] * total),
         elasticNetParam=0.0, standardization=False,
     ), weight)
 

@@ -18,6 +18,7 @@ from ..functions.scalars import key_hash
 from ..operators import metrics as M
 from ..operators.aggregates import fold_summary
 from ..operators.resampling import group_fold_table
+from ..session import stored
 from .families import FAMILIES, LABEL, Family
 from .prep import feature_names, fit_preprocessor
 
@@ -33,21 +34,33 @@ def with_folds(df: DataFrame, group: str, folds: int, target: str | None) -> Dat
     return df.join(group_fold_table(df, group, folds, target), group)
 
 
-def fold_predictions(
-    df: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, group: str, folds: int = 5,
-    weight: str | None = None, both_parts: bool = True,
+def fold_preprocessors(cut: DataFrame, groups: Mapping, folds: int) -> list[PipelineModel]:
+    """One preprocessor per fold, learned on that fold's training rows; every trial of a search shares them."""
+    return [fit_preprocessor(cut.filter(F.col(FOLD) != k), groups) for k in range(folds)]
+
+
+def predictions_by_fold(
+    cut: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, folds: int, weight: str | None = None,
+    both_parts: bool = True, preps: Sequence[PipelineModel] | None = None,
 ) -> DataFrame:
-    """Predictions of every fold's model on its own validation rows and, when asked, on its training rows."""
-    cut = with_folds(df, group, folds, target if family.classifies else None)
     out = []
     for k in range(folds):
-        model = family.fit(cut.filter(F.col(FOLD) != k), groups, params, target, weight)
+        model = family.fit(cut.filter(F.col(FOLD) != k), groups, params, target, weight, preps[k] if preps else None)
         rows = cut if both_parts else cut.filter(F.col(FOLD) == k)
         part = F.when(F.col(FOLD) == k, "validation").otherwise("train")
         out.append(family.predict(model, rows).withColumn("part", part).withColumn(FOLD, F.lit(k)))
     return _union(out)
 
 
+def fold_predictions(
+    df: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, group: str, folds: int = 5,
+    weight: str | None = None, both_parts: bool = True,
+) -> DataFrame:
+    """Predictions of every fold's model on its own validation rows and, when asked, on its training rows."""
+    cut = stored(with_folds(df, group, folds, target if family.classifies else None), "folds")
+    return predictions_by_fold(cut, groups, family, params, target, folds, weight, both_parts)
+
+
 def fold_metrics(predicted: DataFrame, family: Family, target: str, weight: str | None = None, threshold: float = 0.5) -> DataFrame:
     """Metrics per fold and part, all folds in one set of grouped jobs."""
     by = [FOLD, "part"]
@@ -73,7 +86,7 @@ def temporal_backtest(
 ) -> tuple[DataFrame, DataFrame]:
     """Learn on one year, score the next: (metrics, predictions)."""
     model = family.fit(train, groups, params, target, weight)
-    predicted = family.predict(model, test)
+    predicted = stored(family.predict(model, test), "backtest")
     if family.classifies:
         return M.classification_report(predicted, target, "prediction", threshold, weight), predicted
     return M.regression_metrics(predicted, target, "prediction"), predicted
@@ -87,23 +100,27 @@ def random_search(
 
     The score is AUC for classes and minus MAE for levels. Fitting uses the weight, scoring does not.
     """
-    rows = []
-    for i in range(trials):
-        params = {**family.draw(i), **(overrides or {})}
-        predicted = fold_predictions(df, groups, family, params, target, group, folds, weight)
-        by = [FOLD, "part"]
-        if family.classifies:
-            scores = M.ranking_metrics(predicted, target, "prediction", by=by, names=("auc",)).withColumnRenamed("auc", "score")
-        else:
-            scores = M.regression_metrics(predicted, target, "prediction", by, rank=False).select(*by, (-F.col("mae")).alias("score"))
-        s = scores.agg(
-            F.avg(F.when(F.col("part") == "train", F.col("score"))).alias("mean_train"),
-            F.avg(F.when(F.col("part") == "validation", F.col("score"))).alias("mean_validation"),
-            F.stddev_pop(F.when(F.col("part") == "validation", F.col("score"))).alias("std_validation"),
-        ).first()
-        rows.append((i, family.name, {k: float(v) for k, v in params.items()}, *s))
-    schema = "trial int, family string, params map<string,double>, mean_train double, mean_validation double, std_validation double"
-    return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("mean_validation"), "trial")
+    cut = stored(with_folds(df, group, folds, target if family.classifies else None), "folds")
+    preps = fold_preprocessors(cut, groups, folds)
+    drawn = [{**family.draw(i), **(overrides or {})} for i in range(trials)]
+    predicted = stored(_union([
+        predictions_by_fold(cut, groups, family, params, target, folds, weight, preps=preps).select(
+            F.lit(i).alias("trial"), FOLD, "part", F.col(target).cast("double").alias("y"), "prediction")
+        for i, params in enumerate(drawn)
+    ]), "search")
+    by = ["trial", FOLD, "part"]
+    if family.classifies:
+        scores = M.ranking_metrics(predicted, "y", "prediction", by=by, names=("auc",)).withColumnRenamed("auc", "score")
+    else:
+        scores = predicted.groupBy(*by).agg((-F.avg(F.abs(F.col("prediction") - F.col("y")))).alias("score"))
+    validation = F.when(F.col("part") == "validation", F.col("score"))
+    means = scores.groupBy("trial").agg(
+        F.avg(F.when(F.col("part") == "train", F.col("score"))).alias("mean_train"),
+        F.avg(validation).alias("mean_validation"), F.stddev_pop(validation).alias("std_validation"),
+    )
+    rows = [(i, family.name, {k: float(v) for k, v in params.items()}) for i, params in enumerate(drawn)]
+    tried = df.sparkSession.createDataFrame(rows, "trial int, family string, params map<string,double>")
+    return tried.join(means, "trial").orderBy(F.desc("mean_validation"), "trial")
 
 
 def best_params(search: DataFrame) -> dict:
@@ -126,7 +143,7 @@ def learning_curve(
 ) -> DataFrame:
     """Unweighted AUC on nested shares of each fold's training rows. Rows enter in hash order, not file order."""
     cut = with_folds(df, group, folds, target).withColumn("__spot", key_hash(list(keys), 42) / F.lit(float(2**60)))
-    parts = []
+    cut, parts = stored(cut, "curve"), []
     for share in shares:
         for k in range(folds):
             learn = cut.filter((F.col(FOLD) != k) & (F.col("__spot") < share))
@@ -134,7 +151,8 @@ def learning_curve(
             rows = learn.withColumn("part", F.lit("train")).unionByName(cut.filter(F.col(FOLD) == k).withColumn("part", F.lit("validation")))
             parts.append(family.predict(model, rows).select(
                 F.lit(float(share)).alias("share"), F.lit(k).alias(FOLD), "part", target, "prediction"))
-    scores = M.ranking_metrics(_union(parts), target, "prediction", by=["share", FOLD, "part"], names=("auc",))
+    scored = stored(_union(parts), "curve-scores")
+    scores = M.ranking_metrics(scored, target, "prediction", by=["share", FOLD, "part"], names=("auc",))
     return scores.groupBy("share", "part").agg(F.avg("auc").alias("auc_mean"), F.stddev_pop("auc").alias("auc_std"))
 
 
@@ -147,7 +165,8 @@ def ablation(
         oof_predictions(df, groups, family, params, target, group, folds, weight).withColumn("variant", F.lit(name))
         for name, groups in variants.items()
     ]
-    return M.ranking_metrics(_union(parts), target, "prediction", weight, by=["variant"], names=("auc",))
+    kept = [p.select("variant", target, "prediction", *([weight] if weight else [])) for p in parts]
+    return M.ranking_metrics(stored(_union(kept), "ablation"), target, "prediction", weight, by=["variant"], names=("auc",))
 
 
 def leave_one_group_out(
@@ -195,15 +214,11 @@ def subset_evaluation(
     group: str, keys: Sequence[str], folds: int = 5,
 ) -> DataFrame:
     """Risk AUC of a level model on validation (out of fold) and on the test year, risk taken from its residuals."""
-    oof = oof_predictions(train, groups, family, params, level, group, folds)
+    oof = stored(oof_predictions(train, groups, family, params, level, group, folds), "subset-oof")
     residuals = oof.select((F.col(level) - F.col("prediction")).alias("r"))
-    predicted = family.predict(family.fit(train, groups, params, level), test)
+    predicted = stored(family.predict(family.fit(train, groups, params, level), test), "subset-test")
     parts = []
     for name, rows in (("validation", oof.select(*predicted.columns)), ("test", predicted)):
         risk = M.risk_of_missing(rows, "prediction", target, residuals, "r", keys)
         parts.append(risk.select(F.lit(name).alias("part"), hit, (1.0 - F.col("risk")).alias("safe")))
     return M.ranking_metrics(_union(parts), hit, "safe", by=["part"], names=("auc",))
-
-
-def chain(family: str, train: DataFrame, groups: Mapping, params: Mapping, target: str, weight: str | None = None) -> PipelineModel:
-    return FAMILIES[family].fit(train, groups, params, target, weight)

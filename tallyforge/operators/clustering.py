@@ -212,41 +212,49 @@ def profile_matrix(df: DataFrame, cluster: str, risk: str, columns: Sequence[str
 
 # ---- density clusters ----------------------------------------------------------------------------
 
+_BLOCK = ["home", "home_chunk", "at", "chunk"]
 
-def _blocks(df: DataFrame, vector: str, key: str, width: float, axes: int) -> tuple[DataFrame, DataFrame]:
-    """Points by cell of a grid over the widest axes, and the cells each point must look at.
+
+def distinct_points(df: DataFrame, vector: str, key: str) -> DataFrame:
+    """(id, v, m): one row per distinct vector with its smallest id and its number of copies."""
+    return df.groupBy(F.col(vector).cast("array<double>").alias("v")).agg(F.min(key).cast("bigint").alias("id"), F.count("*").alias("m"))
+
+
+def _grid(points: DataFrame, width: float, axes: int) -> tuple[DataFrame, DataFrame]:
+    """Points with their cell and chunk, and the blocks (chunk of a cell, chunk of a cell nearby) to compare.
 
     Two points within `width` differ by at most `width` on every axis, so they lie in the same or in
-    neighbouring cells. A crowded cell is cut into chunks of bounded size.
+    neighbouring cells of a grid over the widest axes. A crowded cell is cut into chunks of bounded size.
+    Blocks are found on the table of cells, so a point is copied once per block it really takes part in.
     """
-    spans = _long_vector(df, vector).groupBy("dim").agg(F.variance("value").alias("s")).orderBy(F.desc("s"), "dim").limit(axes)
+    spans = _long_vector(points, "v").groupBy("dim").agg(F.variance("value").alias("s")).orderBy(F.desc("s"), "dim").limit(axes)
     dims = [r["dim"] for r in spans.collect()]
-    v = F.col(vector)
-    cell = [F.floor(v[d] / F.lit(width)).cast("bigint") for d in dims]
-    points = df.select(F.col(key).alias("id"), v.cast("array<double>").alias("v"), F.array(*cell).alias("cell"))
-    counts = points.groupBy("cell").agg(F.count("*").alias("n"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int"))
-    sizes = counts.select("cell", chunks.alias("chunks"))
-    placed = points.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    cell = F.array(*[F.floor(F.col("v")[d] / F.lit(width)).cast("bigint") for d in dims])
+    celled = points.withColumn("cell", cell)
+    sizes = celled.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int")).alias("chunks"))
+    sizes = stored(sizes, "cells")
+    placed = celled.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).drop("chunks")
+
+    near = sizes.select(F.col("cell").alias("home"), F.col("chunks").alias("home_chunks"), F.array().cast("array<bigint>").alias("at"))
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    near = placed.select("id", "v", F.col("cell").alias("home"), F.col("chunk").alias("home_chunk"), F.array().cast("array<bigint>").alias("at"))
     for i in range(len(dims)):
-        near = near.select("id", "v", "home", "home_chunk", "at", F.explode(steps).alias("d")).select(
-            "id", "v", "home", "home_chunk", F.concat("at", F.array(F.col("home")[i] + F.col("d"))).alias("at"))
-    # A neighbour cell with several chunks is met once per chunk.
-    meet = near.join(sizes.withColumnRenamed("cell", "at"), "at").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return placed.select("id", "v", F.col("cell").alias("at"), "chunk"), meet.select("id", "v", "home", "home_chunk", "at", "chunk")
+        near = near.select("home", "home_chunks", F.explode(steps).alias("d"), "at").select(
+            "home", "home_chunks", F.concat("at", F.array(F.col("home")[i] + F.col("d"))).alias("at"))
+    met = near.join(sizes.select(F.col("cell").alias("at"), "chunks"), "at")
+    blocks = met.withColumn("home_chunk", F.explode(F.sequence(F.lit(0), F.col("home_chunks") - 1))).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return stored(placed, "placed"), stored(blocks.select(*_BLOCK), "blocks")
 
 
-def _pairwise(placed: DataFrame, meet: DataFrame, schema: str, work) -> DataFrame:
-    """Runs `work(asking, target)` per block: the chunk of one cell against one chunk of a cell nearby.
+def _renamed(df: DataFrame, **names: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
 
-    A block holds at most about 2 x BLOCK_ROWS rows whatever the density of the cell.
-    """
-    block = ["home", "home_chunk", "at", "chunk"]
-    asked = meet.select("home", "home_chunk", "at", "chunk").distinct()
-    targets = placed.join(asked, ["at", "chunk"])
-    return meet.groupBy(*block).cogroup(targets.groupBy(*block)).applyInPandas(work, schema)
+
+def _per_block(asking: DataFrame, targets: DataFrame, blocks: DataFrame, work, schema: str) -> DataFrame:
+    """Runs `work(asking rows, target rows)` for every block, each of about 2 x BLOCK_ROWS rows at most."""
+    left = _renamed(asking, cell="home", chunk="home_chunk").join(blocks, ["home", "home_chunk"])
+    right = _renamed(_renamed(targets, cell="at").join(_renamed(blocks), ["at", "chunk"]))
+    return left.groupBy(*_BLOCK).cogroup(right.groupBy(*_BLOCK)).applyInPandas(work, schema)
 
 
 def _distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
@@ -258,16 +266,18 @@ def _distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     return out
 
 
-def neighbour_counts(df: DataFrame, vector: str, key: str, eps: float, axes: int = 3) -> DataFrame:
-    """(id, n): points within eps, the point itself included. Blocks return counts, never pairs."""
-    placed, meet = _blocks(df, vector, key, eps, axes)
-
+def _counts(placed: DataFrame, blocks: DataFrame, eps: float) -> DataFrame:
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
-        return pd.DataFrame({"id": a["id"], "n": (_distances(a, b) <= eps).sum(1)})
+            return pd.DataFrame({"id": [], "n": []}).astype("int64")
+        return pd.DataFrame({"id": a["id"], "n": (_distances(a, b) <= eps) @ b["m"].to_numpy()})
+
+    return _per_block(placed, placed, blocks, count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
-    return _pairwise(placed, meet, "id bigint, n bigint", count).groupBy("id").agg(F.sum("n").alias("n"))
+
+def neighbour_counts(df: DataFrame, vector: str, key: str, eps: float, axes: int = 3) -> DataFrame:
+    """(id, n): points within eps of each distinct point, itself and its copies included. Blocks return counts, not pairs."""
+    return _counts(*_grid(distinct_points(df, vector, key), eps, axes), eps)
 
 
 def _forest_edges(a_ids: np.ndarray, b_ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
@@ -311,41 +321,34 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
 def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, axes: int = 3) -> DataFrame:
     """(id, cluster): the smallest core id of the cluster, -1 for noise.
 
-    A border point joins the cluster with the smallest id among its core neighbours.
+    A border point joins the cluster with the smallest id among its core neighbours. Copies of a point count
+    as neighbours of each other but are measured once.
     """
-    rows = df.select(key, F.col(vector).cast("array<double>").alias(vector))
-    core = stored(neighbour_counts(rows, vector, key, eps, axes).select("id", (F.col("n") >= min_points).alias("core")), "core")
-    placed, meet = _blocks(rows, vector, key, eps, axes)
-    flagged_placed, flagged_meet = placed.join(core, "id"), meet.join(core, "id")
-    block = ["home", "home_chunk", "at", "chunk"]
+    placed, blocks = _grid(distinct_points(df, vector, key), eps, axes)
+    counts = _counts(placed, blocks, eps).select("id", (F.col("n") >= min_points).alias("core"))
+    placed = stored(placed.join(counts, "id"), "core")
+    cores, others = placed.filter("core"), placed.filter(~F.col("core"))
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        cores_a, cores_b = a[a["core"]], b[b["core"]] if not b.empty else b
         edges: list[tuple[int, int]] = []
-        if len(cores_a) and len(cores_b):
-            edges = _forest_edges(cores_a["id"].to_numpy(), cores_b["id"].to_numpy(), _distances(cores_a, cores_b) <= eps)
+        if len(a) and len(b):
+            edges = _forest_edges(a["id"].to_numpy(), b["id"].to_numpy(), _distances(a, b) <= eps)
         return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
-    core_placed, core_meet = flagged_placed.filter("core"), flagged_meet.filter("core")
-    asked = core_meet.select(*block).distinct()
-    edges = core_meet.groupBy(*block).cogroup(core_placed.join(asked, ["at", "chunk"]).groupBy(*block)).applyInPandas(link, "a bigint, b bigint")
-    labels = connected_components(core.filter("core").select("id"), edges)
+    labels = connected_components(cores.select("id"), _per_block(cores, cores, blocks, link, "a bigint, b bigint"))
 
     def border(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "cluster": pd.Series(dtype="int64")})
+            return pd.DataFrame({"id": [], "component": []}).astype("int64")
         near = _distances(a, b) <= eps
-        names = b["component"].to_numpy()
-        best = np.where(near, names[None, :], np.iinfo(np.int64).max).min(1)
+        best = np.where(near, b["component"].to_numpy()[None, :], np.iinfo(np.int64).max).min(1)
         hit = near.any(1)
-        return pd.DataFrame({"id": a["id"].to_numpy()[hit], "cluster": best[hit]})
+        return pd.DataFrame({"id": a["id"].to_numpy()[hit], "component": best[hit]})
 
-    loose = flagged_meet.filter(~F.col("core"))
-    want = loose.select(*block).distinct()
-    named = placed.join(labels, "id").join(want, ["at", "chunk"])
-    touched = loose.groupBy(*block).cogroup(named.groupBy(*block)).applyInPandas(border, "id bigint, cluster bigint")
-    joined = touched.groupBy("id").agg(F.min("cluster").alias("cluster")).unionByName(labels.select("id", F.col("component").alias("cluster")))
-    return core.select("id").join(joined, "id", "left").select("id", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+    touched = _per_block(others, cores.join(labels, "id"), blocks, border, "id bigint, component bigint")
+    joined = touched.groupBy("id").agg(F.min("component").alias("component")).unionByName(labels)
+    found = placed.select("id", "v").join(joined, "id", "left").select("v", F.coalesce("component", F.lit(-1)).alias("cluster"))
+    return df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(found, "v").select("id", "cluster")
 
 
 def noise_share(clusters: DataFrame) -> DataFrame:
@@ -370,29 +373,36 @@ def k_distances(df: DataFrame, vector: str, key: str, k: int, radius: float, axe
     Blocks return at most k distances per point. A point with fewer than k neighbours within `radius` is asked
     again with a doubled radius, so the result is exact for any starting radius.
     """
-    rows = df.select(key, F.col(vector).cast("array<double>").alias(vector))
-    todo, done = rows.select(F.col(key).alias("id")), None
-    total = rows.count()
-    k = min(k, total)
+    points = stored(distinct_points(df, vector, key), "points")
+    k = min(k, df.count())
+    todo, found = points.select("id"), []
+
+    def nearest_within(limit: float):
+        def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+                ids, out = [], []
+                if len(a) and len(b):
+                    copies = np.minimum(b["m"].to_numpy(), k)
+                    for i, row in zip(a["id"].to_numpy(), _distances(a, b)):
+                        order = np.argsort(row, kind="stable")[:k]
+                        d = np.repeat(row[order], copies[order])[:k]
+                        d = d[d <= limit]
+                        ids += [i] * len(d)
+                        out += d.tolist()
+                return pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "d": pd.Series(out, dtype="float64")})
+
+        return nearest
 
     while True:
-        placed, meet = _blocks(rows, vector, key, radius, axes)
-        limit = radius
-
-        def nearest(a: pd.DataFrame, b: pd.DataFrame, limit: float = limit) -> pd.DataFrame:
-            if a.empty or b.empty:
-                return pd.DataFrame({"id": pd.Series(dtype="int64"), "d": pd.Series(dtype="float64")})
-            d = np.sort(_distances(a, b), axis=1)[:, :k]
-            ids = np.repeat(a["id"].to_numpy(), d.shape[1])
-            keep = d.ravel() <= limit
-            return pd.DataFrame({"id": ids[keep], "d": d.ravel()[keep]})
-
-        near = _pairwise(placed, meet.join(todo, "id"), "id bigint, d double", nearest)
-        # At most k values per block and point; slices keep the buffer small.
-        best = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, k).alias("d"))
-        found = stored(best.filter(F.size("d") >= k).select("id", F.element_at("d", k).alias("distance")), "k-distance")
-        done = found if done is None else done.unionByName(found)
-        left = stored(todo.join(found, "id", "left_anti"), "k-left")
-        if left.limit(1).count() == 0:
-            return done
-        todo, radius = left, radius * 2.0
+        placed, blocks = _grid(points, radius, axes)
+        near = _per_block(placed.join(todo, "id"), placed, blocks, nearest_within(radius), "id bigint, d double")
+        best = near.groupBy("id").agg(F.array_sort(F.collect_list("d")).alias("d")).filter(F.size("d") >= k)
+        found.append(stored(best.select("id", F.element_at("d", k).alias("distance")), "k-distance"))
+        todo = stored(todo.join(found[-1], "id", "left_anti"), "k-left")
+        if todo.limit(1).count() == 0:
+            break
+        radius *= 2.0
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    mine = points.join(every, "id").select("v", "distance")
+    return df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(mine, "v").select("id", "distance")

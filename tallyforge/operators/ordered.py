@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import key_hash
 
 RANGE = "__range"
+# Below this many rows an exact percentile fits one aggregation buffer.
+SMALL_ROWS = 1_000_000
 HASH = "__hash"
 HASH_BITS = 60
 
@@ -116,12 +118,25 @@ def exact_quantiles(
 
 
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Exact median of several columns, one row per group, from one long pass."""
+    """Exact median of several columns, one row per group.
+
+    A table of proven small size takes one aggregate; beyond that the columns go long and through
+    `exact_quantiles`, whose groups stay distributed.
+    """
+    if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        known = df.dropna(subset=list(by)) if by else df
+        return known.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in columns])
+    return long_medians(df, columns, by)
+
+
+def long_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     long = unpivoted(df, columns, by)
     found = exact_quantiles(long, "value", {"median": 0.5}, [*by, "variable"])
-    return found.groupBy(*by).agg(
+    wide = found.groupBy(*by).agg(
         *[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in columns]
     )
+    # A group without any value keeps its row.
+    return df.dropna(subset=list(by)).select(*by).distinct().join(wide, list(by), "left") if by else wide
 
 
 def unpivoted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

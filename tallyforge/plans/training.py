@@ -31,7 +31,8 @@ def area_flow(
 
     oof = stored(V.oof_predictions(train, groups, kind, params, "indicator_t", "area_id", folds), "area-oof")
     residuals = oof.select((F.col("indicator_t") - F.col("prediction")).alias("r"))
-    metrics, predicted = V.temporal_backtest(train, test, groups, kind, params, "indicator_t")
+    predicted = stored(kind.predict(kind.fit(train, groups, params, "indicator_t"), test), "area-test")
+    metrics = M.regression_metrics(predicted, "indicator_t", "prediction")
     risk = M.risk_of_missing(predicted, "prediction", "target_t", residuals, "r", ["area_id"])
     safe = risk.select(F.col("hit_t").cast("int").alias("hit"), (1.0 - F.col("risk")).alias("safe"))
     auc = M.ranking_metrics(safe, "hit", "safe", names=("auc",)).select("auc").scalar()
@@ -56,7 +57,8 @@ def person_flow(
     model = kind.fit(train, groups, params, target, weight)
     if model_path:
         save_model(model, model_path, {"family": family, "params": params, "target": target, "features": groups})
-    return M.classification_report(kind.predict(model, test), target, "prediction", 0.5, weight)
+    predicted = stored(kind.predict(model, test).select(*keys, target, weight, "prediction"), "person-test")
+    return M.classification_report(predicted, target, "prediction", 0.5, weight)
 
 
 def projection_ranking(
@@ -89,9 +91,10 @@ def baseline_vs_model(
     frames = []
     for name, rows in (("model", train), ("permuted", mixed)):
         frames.append(kind.predict(kind.fit(rows, groups, params, level), test).withColumn("source", F.lit(name)))
+    frames = [stored(f, "baseline") for f in frames]
     frames.append(test.withColumn("prediction", mean).withColumn("source", F.lit("mean")).select(*frames[0].columns))
     out = M.regression_metrics(V._union(frames), level, "prediction", ["source"])
-    oof = V.oof_predictions(train, groups, kind, params, level, group, folds)
+    oof = stored(V.oof_predictions(train, groups, kind, params, level, group, folds), "baseline-oof")
     residuals = oof.select((F.col(level) - F.col("prediction")).alias("r"))
     risk = [M.risk_of_missing(f, "prediction", target, residuals, "r", keys).select("source", hit, (1.0 - F.col("risk")).alias("safe")) for f in frames[:2]]
     return out.join(M.ranking_metrics(V._union(risk), hit, "safe", by=["source"], names=("auc",)), "source", "left")

@@ -11,6 +11,7 @@ from ..operators import resampling as RS
 from ..operators import stats as X
 from ..operators.indicator import area_mart
 from ..operators.rows import evaluated
+from ..session import stored
 from .base import CUT, H, R, areas, fact, persons, predictions, results, scored, sql, table, targets
 from .registry import query
 
@@ -62,7 +63,9 @@ _CHECKS = [
     + """ UNION ALL SELECT 'own figure close to official', d < 0.1, CAST(round_even(d*1000, 0) AS BIGINT) FROM
  (SELECT avg(abs(m.indicator_pct - f.indicator_pct)) AS d FROM mart m JOIN fact f USING (year, area_id) WHERE network = 'municipal')"""))
 def quality_checks(spark, sf):
-    return Q.quality_checks(persons(spark, sf), areas(spark, sf), fact(spark, sf), _mart(spark, sf), targets(spark, sf), CUT)
+    """The checks read stored Gold tables, as they would after a run."""
+    f, m, t = (stored(df, "checked") for df in (fact(spark, sf), _mart(spark, sf), targets(spark, sf)))
+    return Q.quality_checks(persons(spark, sf), areas(spark, sf), f, m, t, CUT)
 
 
 @query("table_profile", """SELECT 'lineitem' AS "table", count(*) AS n_rows, 11 AS n_columns, 'line' AS grain FROM lineitem UNION ALL

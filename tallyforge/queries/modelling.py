@@ -111,7 +111,7 @@ def cluster_prep(spark, sf):
     return _matrix(gappy(spark, sf), {"log": ["b"]}, True, ["person_id"], log_before_impute=True)
 
 
-@query("feature_names", sql("""SELECT unnest(['weight', 'school_id', 'hint', 'year_number', 'ausente_weight']) AS name, count(*) > 0 AS used FROM persons GROUP BY ALL
+@query("feature_names", sql("""SELECT unnest(['weight', 'school_id', 'hint', 'year_number', 'ausente_weight']) AS name, used FROM (SELECT count(*) > 0 AS used FROM persons)
  UNION ALL SELECT DISTINCT 'network_' || network, true FROM persons"""))
 def feature_names(spark, sf):
     model = prep.fit_preprocessor(person_model(spark, sf), PERSON_GROUPS)
