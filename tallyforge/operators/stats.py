@@ -35,10 +35,10 @@ def strong_pairs(matrix: DataFrame, bound: float = 0.6) -> DataFrame:
 
 def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
     """Tie-corrected H over the groups, with its degrees of freedom."""
-    known = df.select(group, F.col(value).cast("double").alias("v")).dropna()
-    ranks = average_ranks(known, "v")
-    cells = known.groupBy(group, "v").agg(F.count("*").cast("double").alias("m")).join(ranks, "v")
-    per_group = cells.groupBy(group).agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("rank")).alias("s"))
+    known = df.select(F.col(group).alias("group"), F.col(value).cast("double").alias("value")).dropna()
+    ranks = average_ranks(known, "value")
+    cells = known.groupBy("group", "value").agg(F.count("*").cast("double").alias("m")).join(ranks, "value")
+    per_group = cells.groupBy("group").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("rank")).alias("s"))
     t = F.col("ties").cast("double")
     ties = ranks.agg(F.sum(t * t * t - t)).scalar()
     sums = per_group.agg(F.sum("n").alias("n"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"), F.count("*").alias("k"))
@@ -50,9 +50,9 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def eta_squared(df: DataFrame, value: str, group: str) -> DataFrame:
-    known = df.select(group, F.col(value).cast("double").alias("v")).dropna()
-    g = known.groupBy(group).agg(F.count("*").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("p"))
-    whole = known.agg(F.avg("v")).scalar()
+    known = df.select(F.col(group).alias("group"), F.col(value).cast("double").alias("value")).dropna()
+    g = known.groupBy("group").agg(F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("p"))
+    whole = known.agg(F.avg("value")).scalar()
     g = g.withColumn("d", F.col("m") - whole)
     between, within = F.sum(F.col("n") * F.col("d") * F.col("d")), F.sum(F.col("n") * F.col("p"))
     return g.agg(ratio(between, between + within).alias("eta_squared"))
@@ -60,23 +60,24 @@ def eta_squared(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def chi_square(df: DataFrame, row: str, column: str, minimum_row: int = 0) -> DataFrame:
     """Chi-square of the contingency table; the continuity correction applies with one degree of freedom only."""
-    cells = df.dropna(subset=[row, column]).groupBy(row, column).agg(F.count("*").alias("o"))
-    rows = cells.groupBy(row).agg(F.sum("o").alias("r"))
+    named = df.select(F.col(row).alias("row"), F.col(column).alias("column")).dropna()
+    cells = named.groupBy("row", "column").agg(F.count("*").alias("seen"))
+    rows = cells.groupBy("row").agg(F.sum("seen").alias("in_row"))
     if minimum_row:
-        rows = rows.filter(F.col("r") >= minimum_row)
-    kept = cells.join(rows, row)
-    columns = kept.groupBy(column).agg(F.sum("o").alias("c"))
-    size = kept.agg(F.sum("o")).scalar()
-    joined = kept.join(columns, column).withColumn("n", size)
-    e = F.col("r") * F.col("c") / F.col("n")
-    gap = F.abs(F.col("o") - e)
+        rows = rows.filter(F.col("in_row") >= minimum_row)
+    kept = cells.join(rows, "row")
+    columns = kept.groupBy("column").agg(F.sum("seen").alias("in_column"))
+    size = kept.agg(F.sum("seen")).scalar()
+    joined = kept.join(columns, "column").withColumn("n", size)
+    expected = F.col("in_row") * F.col("in_column") / F.col("n")
+    gap = F.abs(F.col("seen") - expected)
     # Empty cells have no row here: their expected counts are what is missing from n. In a 2 x 2 table the
     # empty cells (one, or the two of a diagonal) have equal expected counts.
     cut = gap - F.least(F.lit(0.5), gap)
     s = joined.agg(
-        F.sum(gap * gap / e).alias("plain"), F.sum(cut * cut / e).alias("corrected"), F.sum(e).alias("covered"),
-        F.max("n").alias("n"), F.count("*").alias("cells"),
-        ((F.count_distinct(row) - 1) * (F.count_distinct(column) - 1)).alias("dof"),
+        F.sum(gap * gap / expected).alias("plain"), F.sum(cut * cut / expected).alias("corrected"),
+        F.sum(expected).alias("covered"), F.max("n").alias("n"), F.count("*").alias("cells"),
+        ((F.count_distinct("row") - 1) * (F.count_distinct("column") - 1)).alias("dof"),
     )
     empty, holes = F.col("n") - F.col("covered"), 4 - F.col("cells")
     each = ratio(empty, holes)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash, round_even
 from ..operators.indicator import fact_table, weighted_indicator
+from ..session import stored
 
 YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 CUT = 53000.0
@@ -31,6 +32,12 @@ def H(seed: int | str, *keys: str) -> str:
     return f"('0x'||substr(md5(concat_ws('|','{seed}',{','.join(keys)})),1,15))::BIGINT"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Shares a scan of fewer splits than there are slots among all slots; a larger scan stays as it is."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def persons(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     return li.select(
@@ -99,26 +106,29 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Person rows with a 0/1 outcome, two scores in [0, 1], a weight, a group and a state.
 
     score_a follows the outcome; score_b hardly does. Scores have two and three decimals, so ties occur.
+    Predictions are stored before they are evaluated, as a model run would leave them.
     """
-    p = persons(spark, sf).select("person_id", "area_id", "year", F.col("score").alias("price"), "passed", F.col("weight").alias("w"))
+    p = spread(persons(spark, sf).select("person_id", "area_id", "year", F.col("score").alias("price"), "passed", F.col("weight").alias("w")))
     noise = key_hash(["person_id"], 5) % 1000 / 1000.0
-    return p.select(
+    made = p.select(
         "person_id", "area_id", "year", F.col("passed").alias("y"),
         F.coalesce("w", F.lit(1.0)).alias("w"),
         round_even(0.6 * noise + 0.4 * F.col("price") / 110000.0, 2).alias("score_a"),
         round_even(noise, 3).alias("score_b"),
     )
+    return stored(made, "scored")
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Area and year with the actual level, a predicted level, the target and the residual."""
     r, t = results(spark, sf), targets(spark, sf)
     noise = key_hash(["area_id", "year"], 9) % 2001 / 100.0 - 10.0
-    return r.join(t, ["area_id", "year"], "left").select(
+    made = r.join(t, ["area_id", "year"], "left").select(
         "area_id", "year", F.col("indicator_pct").alias("y"),
         round_even(F.col("indicator_pct") + noise, 2).alias("pred"), "target_pct",
         round_even(0.0 - noise, 2).alias("residual"),
     )
+    return stored(made, "predictions")
 
 
 _A1 = f"""count(*) AS n_evaluated, CAST(sum(passed) AS BIGINT) AS n_passed,
