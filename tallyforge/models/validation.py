@@ -19,7 +19,7 @@ from ..operators import metrics as M
 from ..operators.aggregates import fold_summary
 from ..operators.resampling import group_fold_table
 from ..session import stored
-from .families import FAMILIES, LABEL, Family
+from .families import LABEL, Family
 from .prep import feature_names, fit_preprocessor
 
 FOLD = "fold"

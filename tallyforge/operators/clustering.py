@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,6 +22,9 @@ from .ordered import hash_sample, medians
 SEED = 42
 BLOCK_ROWS = 2_000
 
+# Task functions travel with their helpers, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def as_vectors(df: DataFrame, array: str = "embedding", name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.col(array).cast("array<double>")))
@@ -67,6 +72,12 @@ def gmm_bic(df: DataFrame, ks: Sequence[int], max_iter: int = 100) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "k int, log_likelihood double, parameters int, bic double")
 
 
+def pca_scores(df: DataFrame, k: int) -> DataFrame:
+    """The feature vector replaced by its first k principal scores."""
+    out = PCA(k=k, inputCol="features", outputCol="scores").fit(df).transform(df)
+    return out.drop("features").withColumnRenamed("scores", "features")
+
+
 def pca_variance(df: DataFrame, k: int, share: float = 0.8) -> DataFrame:
     """(component, explained, cumulative, needed): `needed` marks the components that reach the share."""
     model = PCA(k=k, inputCol="features", outputCol="scores").fit(df)

@@ -37,6 +37,8 @@ def range_edges(df: DataFrame, value: str) -> list[float]:
 
 
 def _with_range(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
+    if not edges:
+        return df.withColumn(RANGE, F.lit(0.0))
     splits = [float("-inf"), *edges, float("inf")]
     cast = df.withColumn("__as_double", F.col(value).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="__as_double", outputCol=RANGE).transform(cast)
@@ -126,7 +128,7 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     A table of proven small size takes one aggregate; beyond that the columns go long and through
     `exact_quantiles`, whose groups stay distributed.
     """
-    if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+    if df.count() <= SMALL_ROWS:
         known = df.dropna(subset=list(by)) if by else df
         return known.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in columns])
     return long_medians(df, columns, by)

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.scalars import key_hash, round_even
+from ..functions.scalars import round_even
 from ..models import prep, validation as V
 from ..models.families import FAMILIES, coefficients
 from ..operators import attribution as AT
 from ..operators import clustering as C
 from ..operators.aggregates import column_shares
-from ..operators.joins import enriched
-from ..operators.metrics import ranking_metrics
-from ..operators.resampling import shuffled
 from ..operators.rows import group_variant
 from ..plans import training
 from ..session import scratch_path, stored
@@ -359,7 +355,7 @@ def _linear_score(df):
 @query("attribution_sampled")
 def attribution_sampled(spark, sf):
     """Sampled values of the linear score; each row's values add up to its score minus that of its background."""
-    out = AT.attribution_sampled(att_frame(spark, sf), list(_COEF), ["person_id"], _linear_score, permutations=4, max_rows=2000)
+    out = AT.attribution_sampled(att_frame(spark, sf), list(_COEF), ["person_id"], _linear_score, permutations=4)
     return out.groupBy("variable").agg(F.avg("phi").alias("mean"), F.avg(F.abs("phi")).alias("importance"), F.count("*").alias("n"))
 
 
@@ -475,8 +471,8 @@ def k_distances(spark, sf):
 
 @query("gmm_bic")
 def gmm_bic(spark, sf):
-    """Mixtures over the first eight coordinates."""
-    df = stored(C.as_vectors(embeddings(spark, sf).withColumn("v", F.slice("v", 1, 8)), "v").select("features"), "vectors")
+    """Mixtures over eight principal scores."""
+    df = stored(C.pca_scores(C.as_vectors(embeddings(spark, sf), "v").select("features"), 8), "vectors")
     return C.gmm_bic(df, [2, 3, 4], max_iter=30)
 
 
