@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash
+from ..session import stored
 from .metrics import ranking_metrics
 from .ordered import exact_quantiles, hash_positions, hash_sample, prefix_sums, range_edges
 
@@ -92,7 +93,8 @@ def cluster_bootstrap(
     weight: str | None = None, seed: int = 42, level: float = 0.95,
 ) -> DataFrame:
     """Estimate, quantile interval and deviation of a metric when whole groups are resampled."""
-    values = resampled_metric(df, y, score, group, metric, resamples, weight, seed)
+    # One row per resample, stored: interval and deviation must not run the resamples again.
+    values = stored(resampled_metric(df, y, score, group, metric, resamples, weight, seed), "resamples")
     ends = _interval(values, "value", level)
     spread = values.agg(F.stddev_samp("value")).scalar()
     estimate = point_metric(df.dropna(subset=[group]), y, score, metric, weight).select("value").scalar()
@@ -113,7 +115,7 @@ def paired_bootstrap(
     both = df.select(y, group, *([weight] if weight else []), F.explode(cells).alias("c")).select(
         y, group, *([weight] if weight else []), "c.*"
     )
-    values = resampled_metric(both, y, "s", group, metric, resamples, weight, seed, extra=["which"])
+    values = stored(resampled_metric(both, y, "s", group, metric, resamples, weight, seed, extra=["which"]), "resamples")
     signed = F.when(F.col("which") == "a", F.col("value")).otherwise(-F.col("value"))
     ends = _interval(values.groupBy("rep").agg(F.sum(signed).alias("d")), "d", level)
     points = point_metric(both.dropna(subset=[group]), y, "s", metric, weight, ["which"])
@@ -154,7 +156,7 @@ def list_stability(
     """
     from .metrics import risk_of_missing
 
-    thresholds = residual_thresholds(residuals, residual, residual_keys, resamples, seed)
+    thresholds = stored(residual_thresholds(residuals, residual, residual_keys, resamples, seed), "thresholds")
     shares = risk_of_missing(units, prediction, target, thresholds, "threshold", keys, name="share")
     label = F.when(F.col("share") >= 0.95, "core").when(F.col("share") <= 0.05, "out").when(F.col("share").isNotNull(), "fringe")
     return shares.withColumn("class", label)

@@ -15,7 +15,7 @@ from ..operators import indicator as I
 from ..operators import pit
 from ..operators.joins import enriched
 from ..plans.gold import gold_tables
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import delimited, integrity, records, sheets, sinks
 from .base import YEARS, R, areas, fact, persons, results, sql, table, target_editions, targets
 from .registry import query
@@ -356,12 +356,12 @@ _CONSOLIDATE_PARTS = {
 
 @query("consolidate_targets", sql(_CONSOLIDATE, **_CONSOLIDATE_PARTS))
 def consolidate_targets(spark, sf):
-    return E.consolidate_targets(target_editions(spark, sf))
+    return E.consolidate_targets(stored(target_editions(spark, sf), "editions"))
 
 
 @query("targets_long", sql(f"SELECT unit_id, year, target_pct FROM ({_CONSOLIDATE})", **_CONSOLIDATE_PARTS))
 def targets_long(spark, sf):
-    return E.targets_long(E.consolidate_targets(target_editions(spark, sf)))
+    return E.targets_long(E.consolidate_targets(stored(target_editions(spark, sf), "editions")))
 
 
 @query("edition_tables", sql(f"SELECT c.unit_id, c.year, coalesce(CASE WHEN c.year IN (1999, 2000) THEN x.v END, c.target_pct) AS indicator_pct, c.edition FROM ({_CLOSEST.format(where='')}) c"
@@ -452,7 +452,9 @@ _HISTORY = """SELECT u.target_year, u.area_id, a.indicator_pct AS indicator_t1,
 
 
 def _history(spark, sf):
-    return pit.history_block(mart_indicator(spark, sf), targets(spark, sf), _T)
+    """Features start from stored Gold tables."""
+    mart, goals = stored(mart_indicator(spark, sf), "mart"), stored(targets(spark, sf), "targets")
+    return pit.history_block(mart, goals, _T)
 
 
 @query("block_history", sql("SELECT * FROM hist", hist=_HISTORY))
