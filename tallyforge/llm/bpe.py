@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_texts
-from .piececoder import rank_coder
+from .piececoder import SLICE, rank_coder
 
 
 def character_spans(ids: np.ndarray, lengths: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -36,18 +36,18 @@ def encode(docs: DataFrame, ranks: str, pattern: str, keep: Sequence[str] = ("do
     """
     fields = "ids binary" + ", decoded binary" * decoded + ", starts array<int>, ends array<int>" * offsets
 
-    def work(texts: list) -> list:
+    def work(texts) -> list:
         coder = rank_coder(ranks, pattern)
         ids = coder.encode(texts)
         out = [pa.array(ids, pa.binary())]
         if decoded:
             out.append(pa.array([decode_ids(i, coder.token_bytes) for i in ids], pa.binary()))
         if offsets:
-            spans = [character_spans(np.frombuffer(i, "<u4"), coder.lengths, t or "") if i else ([], []) for i, t in zip(ids, texts)]
+            spans = [character_spans(np.frombuffer(i, "<u4"), coder.lengths, t or "") if i else ([], []) for i, t in zip(ids, texts.to_pylist())]
             out += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
         return out
 
-    return map_texts(docs, work, fields, keep, text)
+    return map_texts(docs, work, fields, keep, text, as_arrow=True, most=SLICE)
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str, keep: Sequence[str] = ("doc_id",), ids: str = "ids") -> DataFrame:

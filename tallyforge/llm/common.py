@@ -35,11 +35,12 @@ def byte_slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) ->
         start = stop
 
 
-def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, keep: Sequence[str], text: str = "text") -> DataFrame:
+def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, keep: Sequence[str], text: str = "text",
+              as_arrow: bool = False, most: int = BATCH_BYTES) -> DataFrame:
     """The `keep` columns of every row plus the columns `fields` that `work(texts)` returns for a list of texts.
 
-    Texts come whole; null stays None. A kept column that has the name of a new one gives way to it. Python
-    holds one slice of about BATCH_BYTES at a time.
+    Texts come whole, as a list in which null is None, or as they are in Arrow. A kept column that has the name of a new one gives way to it. Python
+    holds one slice of about `most` bytes at a time.
     """
     added = StructType.fromDDL(fields)
     kept = [c for c in keep if c not in added.names]
@@ -49,8 +50,8 @@ def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, at):
-                made = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in work(part.column(at).to_pylist())]
+            for part in byte_slices(batch, at, most):
+                made = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in work(part.column(at) if as_arrow else part.column(at).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], *made], names=names)
 
     return rows.mapInArrow(run, schema)

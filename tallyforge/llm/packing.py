@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..session import stored
 from .common import byte_slices
-from .piececoder import json_coder
+from .piececoder import SLICE, json_coder
 
 CAPACITY = 2048
 #: A rest below the capacity is cut into even parts of at most this many tokens.
@@ -49,9 +49,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lot in byte_slices(batch, 1):
+            for lot in byte_slices(batch, 1, SLICE):
                 at, start, length, crc, tokens, kept = [], [], [], [], [], []
-                for i, ids in enumerate(json_coder(tokenizer).encode(lot.column(1).to_pylist())):
+                for i, ids in enumerate(json_coder(tokenizer).encode(lot.column(1))):
                     ids += closing
                     for a, n in cuts(len(ids) // 4, capacity, part):
                         at.append(i)

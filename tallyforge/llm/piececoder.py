@@ -13,20 +13,27 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from .common import worker_cache
 
 SPECIAL = "<|endoftext|>"
-#: Longest stretch of a text that is cut into pieces at once.
+#: Longest stretch of an odd text that is cut into pieces at once.
 STRETCH = 1 << 20
-#: Pieces that a worker remembers.
-REMEMBERED = 500_000
+#: Bytes of text that are encoded at once: more of them share their pieces.
+SLICE = 8 << 20
+#: Pieces that a worker remembers before it drops those met once.
+REMEMBERED = 600_000
 
-_unsafe = re.compile(r"\s ")
 _cut = re.compile(r"(?<=\S)(?= )")
-#: Characters whose classes do not depend on the Unicode version of a library.
-_settled = re.compile("[^\x00-ɏ]")
+#: White space of any of the libraries, for RE2.
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Texts in which a space may follow white space, or that end in it, are cut with more care.
+_ODD = rf"{_WHITE} |{_WHITE}\z|\x00"
+#: Characters beyond those whose classes do not depend on the Unicode version of a library, and special strings.
+_UNSETTLED = rf"[^\x00-\x{{24f}}]|{re.escape(SPECIAL)}"
 
 
 def byte_characters() -> list[str]:
@@ -51,22 +58,6 @@ def safe_stretches(text: str, most: int = STRETCH) -> Iterable[str]:
     yield text[start:] if start else text
 
 
-def pieces(text: str) -> list[str]:
-    """Pieces of a stretch. The first is as it stands; the others have lost the space they begin with."""
-    if "  " not in text and "\n " not in text and _unsafe.search(text) is None:
-        return text.split(" ")
-    parts = _cut.split(text)
-    return [parts[0], *[p[1:] for p in parts[1:]]]
-
-
-def ends_apart(parts: list[str]) -> tuple[str, list[str], str]:
-    """The first piece, those between, and a last one that is empty or ends in white space; in bulk, another piece
-    may only follow one that ends in another character."""
-    if len(parts) > 1 and (not parts[-1] or parts[-1][-1].isspace()):
-        return parts[0], parts[1:-1], f" {parts[-1]}"
-    return parts[0], parts[1:], ""
-
-
 class PieceCoder:
     """ids of texts as little-endian unsigned 32-bit bytes. `stock`: the full tokenizer, for texts with special
     strings or characters outside the settled range; without it every text takes the pieces."""
@@ -81,111 +72,105 @@ class PieceCoder:
         self.lengths = np.array([len(t) for t in token_bytes], dtype=np.int64)
         self.zero = byte_characters()[0]
         self.characters = np.array([0, *map(ord, byte_characters()[1:])], dtype="<u4")  # 0 parts the words
-        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
 
     def _shown(self, text: str) -> str:
         """The text's bytes as the characters that stand for them."""
         return self.characters[np.frombuffer(text.encode("utf-8"), dtype=np.uint8)].tobytes().decode("utf-32-le")
 
-    def _encode_words(self, words: list[str]) -> None:
-        """Learns words, matches of the pattern: their bytes as characters go to the library, and the byte
-        lengths of the tokens tell which tokens belong to which word."""
-        shown = self._shown("\0".join(words)).split("\0")
+    def _ids_of(self, words: list[str]) -> np.ndarray:
+        """Ids of words, matches of the pattern, one after the other."""
+        if not words:
+            return np.zeros(0, np.uint32)
+        joined = "\0".join(words)
+        if joined.count("\0") == len(words) - 1:
+            shown = self._shown(joined).split("\0")
+        else:
+            shown = [self._shown(w).replace("\0", self.zero) for w in words]
         lots = [shown[k : k + 1000] for k in range(0, len(shown), 1000)]
         made = self.core.encode_batch_fast(lots, is_pretokenized=True, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in made])
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in shown])) + 1
-        data, start = ids.astype("<u4").tobytes(), 0
-        for w, stop in zip(words, ends.tolist()):
-            self.words[w] = data[4 * start : 4 * stop]
-            start = stop
-
-    def _words_of(self, found: list[str]) -> list[bytes]:
-        new = list(set(found).difference(self.words))
-        odd = [w for w in new if "\0" in w]
-        if odd:
-            new = [w for w in new if "\0" not in w]
-            for w in odd:
-                ids = self.core.encode_batch_fast([[self._shown(w).replace("\0", self.zero)]], is_pretokenized=True, add_special_tokens=False)[0].ids
-                self.words[w] = np.array(ids, dtype="<u4").tobytes()
-        if new:
-            self._encode_words(new)
-        return list(map(self.words.__getitem__, found))
+        return np.concatenate([np.array(e.ids, dtype=np.uint32) for e in made])
 
     def _encode_pieces(self, new: list[str]) -> list[bytes]:
-        joined = " " + " ".join(new)
-        found = self.pattern.findall(joined)
-        coded = self._words_of(found)
-        ends = np.searchsorted(np.cumsum([len(w) for w in found]), np.cumsum([len(p) + 1 for p in new])) + 1
-        out, start = [], 0
-        for stop in ends.tolist():
-            out.append(coded[start] if stop == start + 1 else b"".join(coded[start:stop]))
+        """Pieces that have lost the space before them. The byte lengths of the tokens tell whose they are."""
+        text = " " + " ".join(new)
+        ids = self._ids_of(self.pattern.findall(text))
+        sizes = np.array([len(p) for p in new]) if text.isascii() else np.array([len(p.encode("utf-8")) for p in new])
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes + 1), side="right")
+        data, out, start = ids.astype("<u4").tobytes(), [], 0
+        for stop in (4 * ends).tolist():
+            out.append(data[start:stop])
             start = stop
         return out
 
-    def _learn(self, texts: list[list[str]]) -> None:
-        seen = set()
-        for parts in texts:
-            seen.update(parts)
-        if len(self.known) > REMEMBERED:
-            self.known = {p: self.known[p] for p in seen.intersection(self.known)}
-            self.words = {}
-        new = list(seen.difference(self.known))
+    def _recall(self, uniq: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, learned where they are new."""
+        got = list(map(self.known.get, uniq))
+        new = [p for p, g in zip(uniq, got) if g is None]
+        if len(new) < len(uniq):
+            self.again.update(self.known.keys() & uniq)
         if new:
-            self.known.update(zip(new, self.remember(self._encode_pieces(new))))
-
-    def remember(self, coded: list[bytes]) -> list:
-        return coded
-
-    def joined(self, first: bytes, parts: list[str], last: bytes) -> bytes:
-        return first + b"".join(map(self.known.__getitem__, parts)) + last
-
-    def whole(self, coded: bytes):
-        return coded
-
-    def total(self, parts: list):
-        return parts[0] if len(parts) == 1 else b"".join(parts)
-
-    def encode(self, texts: list) -> list:
-        """One result per text; null counts as empty."""
-        out: list = [None] * len(texts)
-        jobs = []
-        for i, text in enumerate(texts):
-            text = text or ""
-            if self.stock is not None and (SPECIAL in text or not text.isascii() and _settled.search(text)):
-                out[i] = self.whole(np.array(self.stock.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes())
-            else:
-                jobs.append((i, [ends_apart(pieces(s)) for s in safe_stretches(text)]))
-        self._learn([middle for _, stretches in jobs for _, middle, _ in stretches])
-        edges = [[(self.pattern.findall(a), self.pattern.findall(z)) for a, _, z in stretches] for _, stretches in jobs]
-        self._words_of([w for found in edges for pair in found for words in pair for w in words])
-        word = self.words.__getitem__
-        for (i, stretches), found in zip(jobs, edges):
-            out[i] = self.total([self.joined(b"".join(map(word, a)), middle, b"".join(map(word, z))) for (a, z), (_, middle, _) in zip(found, stretches)])
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known = {p: self.known[p] for p in self.again if p in self.known} if 2 * len(self.again) < REMEMBERED else {}
+                self.again = set()
+            self.known.update(zip(new, self._encode_pieces(new)))
+            at = iter(map(self.known.__getitem__, new))
+            got = [next(at) if g is None else g for g in got]
+        return got
+
+    def _alone(self, text: str) -> np.ndarray:
+        """Ids of one odd text, stretch by stretch."""
+        return np.concatenate([np.zeros(0, np.uint32), *[self._ids_of(self.pattern.findall(s)) for s in safe_stretches(text)]])
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts that are not odd, and the end of each text's ids."""
+        split = pc.split_pattern(texts, " ")
+        offsets = np.asarray(split.offsets) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        index = np.array(coded.indices)
+        recalled = self._recall(coded.dictionary.to_pylist())
+        # The first piece of a text has no space before it.
+        firsts = offsets[:-1]
+        heads = [self.pattern.findall(h) for h in split.flatten().take(pa.array(firsts)).to_pylist()]
+        head_ids = self._ids_of([w for h in heads for w in h])
+        head_bytes = np.cumsum([sum(len(w.encode("utf-8")) for w in h) for h in heads])
+        head_ends = np.searchsorted(np.cumsum(self.lengths[head_ids]), head_bytes, side="right")
+        index[firsts] = len(recalled) + np.arange(len(firsts))
+        pool = np.concatenate([np.frombuffer(b"".join(recalled), dtype="<u4"), head_ids])
+        sizes = np.concatenate([np.array([len(r) >> 2 for r in recalled], np.int64), np.diff(head_ends, prepend=0)])
+        starts = np.cumsum(sizes) - sizes
+        size = sizes[index]
+        ends = np.cumsum(size)
+        ids = pool[np.repeat(starts[index] - (ends - size), size) + np.arange(ends[-1])]
+        return ids, ends[offsets[1:] - 1]
+
+    def encode(self, texts: pa.Array | list) -> list[bytes]:
+        """Ids of each text; null counts as empty."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
+        out: list = [b""] * len(texts)
+        odd = np.asarray(pc.match_substring_regex(texts, _ODD))
+        unsettled = np.asarray(pc.match_substring_regex(texts, _UNSETTLED)) if self.stock is not None else np.zeros(len(texts), bool)
+        for i in np.nonzero(odd | unsettled)[0].tolist():
+            text = texts[i].as_py()
+            ids = self.stock.encode_batch_fast([text], add_special_tokens=False)[0].ids if unsettled[i] else self._alone(text)
+            out[i] = np.array(ids, dtype="<u4").tobytes()
+        plain = np.nonzero(~(odd | unsettled))[0]
+        if len(plain):
+            ids, ends = self._plain(texts.take(pa.array(plain)))
+            data, start = ids.astype("<u4").tobytes(), 0
+            for i, stop in zip(plain.tolist(), (4 * ends).tolist()):
+                out[i] = data[start:stop]
+                start = stop
         return out
 
 
-class PieceCounter(PieceCoder):
-    """Numbers of tokens instead of the ids."""
-
-    def remember(self, coded):
-        return [len(c) >> 2 for c in coded]
-
-    def joined(self, first, parts, last):
-        return (len(first) + len(last) >> 2) + sum(map(self.known.__getitem__, parts))
-
-    def whole(self, coded):
-        return len(coded) >> 2
-
-    def total(self, parts):
-        return sum(parts)
-
-
-def json_coder(path: str, kind: type = PieceCoder) -> PieceCoder:
+def json_coder(path: str) -> PieceCoder:
     """Coder of a byte-level tokenizer file, kept by the worker."""
     held = worker_cache()
-    if (key := (path, kind.__name__)) not in held:
+    if (key := ("json", path)) not in held:
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -194,7 +179,7 @@ def json_coder(path: str, kind: type = PieceCoder) -> PieceCoder:
         table = {c: b for b, c in enumerate(byte_characters())}
         vocab = sorted(stock.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
         token_bytes = [bytes(table[c] for c in t) if t != SPECIAL else b"" for t, _ in vocab]
-        held[key] = kind(stock.model, public_tokenizers.PATTERN, token_bytes, stock)
+        held[key] = PieceCoder(stock.model, public_tokenizers.PATTERN, token_bytes, stock)
     return held[key]
 
 

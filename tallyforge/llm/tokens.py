@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts
-from .piececoder import PieceCounter, json_coder
+from .piececoder import SLICE, json_coder
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, keep: Sequence[str] = ("doc_id",), text: str = "text", limit: int = 512) -> DataFrame:
@@ -24,8 +24,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, keep: Sequence[str] = ("doc_id
     sized = sized.withColumn(width, F.coalesce(F.octet_length("__body"), F.lit(0)).cast("bigint"))
     names = [c for c in sized.columns if c not in ("__body", width)]
 
-    def work(texts: list) -> list:
-        return [json_coder(tokenizer, PieceCounter).encode(texts)]
+    def work(texts) -> list:
+        return [[len(ids) >> 2 for ids in json_coder(tokenizer).encode(texts)]]
 
-    counted = map_texts(sized, work, "n_tokens bigint", [*names, width], "__body")
+    counted = map_texts(sized, work, "n_tokens bigint", [*names, width], "__body", as_arrow=True, most=SLICE)
     return counted.select(*[F.col(f"`{c}`") for c in names], F.col(width).alias("n_bytes"), "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
