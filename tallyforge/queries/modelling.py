@@ -100,8 +100,10 @@ def onehot_ignore(spark, sf):
     return prep.transformed_matrix(model, o, ["o_orderkey"])
 
 
-@query("cluster_prep", sql(f"""SELECT person_id, {R('(x - (SELECT avg(x) FROM g))/(SELECT stddev_pop(x) FROM g)', 6)} AS b FROM g""",
-    gappy=_GAPPY, g="SELECT person_id, coalesce(ln(1 + greatest(b, 0)), (SELECT median(ln(1 + greatest(b, 0))) FROM gappy WHERE b IS NOT NULL)) AS x FROM (SELECT person_id, b FROM gappy WHERE b IS NOT NULL) UNION ALL SELECT person_id, (SELECT median(ln(1 + greatest(b, 0))) FROM gappy WHERE b IS NOT NULL) FROM gappy WHERE b IS NULL"))
+@query("cluster_prep", sql(f"""SELECT person_id, {R('(x - a)/d', 6)} AS b FROM g CROSS JOIN s""",
+    gappy=_GAPPY, med="SELECT median(ln(1 + greatest(b, 0))) AS m FROM gappy WHERE b IS NOT NULL",
+    g="SELECT person_id, CASE WHEN b IS NULL THEN m ELSE ln(1 + greatest(b, 0)) END AS x FROM gappy CROSS JOIN med",
+    s="SELECT avg(x) AS a, stddev_pop(x) AS d FROM g"))
 def cluster_prep(spark, sf):
     """Here the logarithm comes before the median."""
     return _matrix(gappy(spark, sf), {"log": ["b"]}, True, ["person_id"], log_before_impute=True)
