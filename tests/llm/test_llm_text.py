@@ -277,7 +277,7 @@ def test_agreement_spreads_along_skip_edges():
     g.features[0, 1] = 1.0
     model.unary[3, 1] = 4.0
     moved = model.beliefs(g)
-    assert moved[1, 3] > 0.7 > plain[1, 3] and np.isclose(moved[2, 3], plain[2, 3])
+    assert moved[1, 3] > 0.6 > plain[1, 3] and np.isclose(moved[2, 3], plain[2, 3])
 
 
 # ---- licences ------------------------------------------------------------------------------------
