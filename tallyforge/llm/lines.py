@@ -22,14 +22,15 @@ def repeated_lines(docs: DataFrame, id_col: str, text: str, min_docs: int, min_l
     """(doc, places): 0-based places of the lines that go, for documents that lose any.
 
     Keys meet as two 64-bit hashes with different seeds. Counts are combined before they are shuffled, also for a key
-    that a third of all documents hold; the join of such a key is left to skew handling, as it needs no aggregate.
+    that a third of all documents hold. The keys that go are written down first, so that both sides of their join are
+    plain shuffles, of which a crowded partition is split.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("place", "line"))
     keyed = rows.select("doc", "place", line_key(F.col("line")).alias("key")).filter(F.char_length("key") >= min_length)
     hashed = stored(keyed.select("doc", "place", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")), "lines")
     once = hashed.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
     spread = once.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc").alias("last")).filter(F.col("n") >= min_docs)
-    gone = hashed.join(spread.select("h1", "h2", "last"), ["h1", "h2"]).filter(F.col("doc") != F.col("last"))
+    gone = hashed.join(stored(spread.select("h1", "h2", "last"), "keys"), ["h1", "h2"]).filter(F.col("doc") != F.col("last"))
     return gone.groupBy("doc").agg(F.collect_list("place").alias("places"))
 
 
