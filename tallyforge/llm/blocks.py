@@ -20,7 +20,7 @@ BLOCK = ["__block", "__i", "__kind", "__j"]
 FOUND = "id bigint, n bigint, root bigint"
 
 
-def in_blocks(rows: DataFrame, work: Callable, chunk: int, small: int = 0) -> DataFrame:
+def in_blocks(rows: DataFrame, work: Callable, chunk: int, small: int = 0, counted: DataFrame | None = None) -> DataFrame:
     """Runs `work(key, table)` on blocks of `rows` (grp bigint, visits boolean, id bigint, ...).
 
     Members of a group that do not visit are compared with each other; visitors are compared with those. Rows get

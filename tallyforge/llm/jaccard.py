@@ -204,7 +204,8 @@ def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     clusters = connected_components(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), edges)
     members = clusters.join(classes.select(F.col("class").alias("id"), "copies"), "id").select("id", F.col("component").alias("grp"), "copies")
     bodies = members.join(texts, "id")
-    found = stored(in_blocks(_sets(bodies, words), link_block(threshold), CHUNK, SHARED), "links")
+    light = members.select("grp", F.lit(False).alias("visits"))  # the same rows, without their texts
+    found = stored(in_blocks(_sets(bodies, words), link_block(threshold), CHUNK, SHARED, light), "links")
     parts = components(found)
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     by_class = classes.select("s1", "s2", "class", "copies").join(links, F.col("class") == F.col("id"), "left").drop("id").join(parts, F.col("class") == F.col("id"), "left")
