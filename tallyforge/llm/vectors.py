@@ -15,8 +15,9 @@ from ..session import stored
 from .blocks import FOUND, components, in_blocks, join_trees
 
 SUBSPACES = 4
-AXES = 3
-CHUNK = 2048
+#: Axes of the grid that a subspace is joined on. More of them prune more and copy more.
+AXES = 2
+CHUNK = 8192
 #: Vectors that the rotation is learned from, at most.
 FIT_ROWS = 4000
 
@@ -56,8 +57,8 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 def fit_split(sample: np.ndarray, threshold: float, subspaces: int = SUBSPACES) -> Split:
     """Principal axes, dealt to the subspaces in turn so that each has wide ones; budgets follow their variance."""
     d = sample.shape[1]
-    values, axes = np.linalg.eigh(np.cov(sample.T) if len(sample) > 1 else np.eye(d))
-    values, axes = np.maximum(np.atleast_1d(values)[::-1], 1e-12), np.atleast_2d(axes)[:, ::-1]
+    values, axes = np.linalg.eigh(np.atleast_2d(np.cov(sample.T)) if len(sample) > 1 else np.eye(d))
+    values, axes = np.maximum(values[::-1], 1e-12), axes[:, ::-1]
     n = min(subspaces, d)
     order = [k for s in range(n) for k in range(s, d, n)]
     edges = [0, *np.cumsum([len(range(s, d, n)) for s in range(n)]).tolist()]
