@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from .common import map_texts
 
-#: Documents that a fit takes at most, and the lines of the longest document that it takes.
+#: Documents that a fit takes at most, the lines and characters of the longest that it takes, and lines in all.
 FIT_DOCS = 3000
 FIT_LINES = 256
+FIT_CHARS = 32_768
+FIT_TOTAL = 90_000
 
 #: Classes of bytes whose shares describe a line.
 CLASSES = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t", ".,;:?'\"-()", "!", "|", "#$%&*+/<=>@[\\]^_`{}~"]
@@ -195,14 +197,17 @@ def fold_of(id_col: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 2, most: int = FIT_DOCS, id_col: str = "doc_id", text: str = "text") -> LineField:
     """Fits on at most `most` labelled documents of the other folds, drawn by a hash of their id; documents of over
-    FIT_LINES lines, and over 64 times as many kilobytes, are scored but not learned from. Only these bounded rows reach the driver."""
+    FIT_LINES lines or FIT_CHARS characters, and those beyond FIT_TOTAL lines in all, are scored but not learned from.
+    Only this bounded sample reaches the driver."""
     known = labels.filter(F.col("quality").isNotNull() & (fold_of(id_col) != held_out)).groupBy(id_col).agg(F.max("quality").alias("quality"))
     drawn = known.orderBy(F.xxhash64(id_col), id_col).limit(most)
     rows = docs.select(id_col, text).join(F.broadcast(drawn), id_col)  # at most `most` pairs of numbers
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
-    rows = rows.filter((lines <= FIT_LINES) & (F.coalesce(F.length(text), F.lit(0)) <= 64 * 1024)).dropDuplicates([id_col])
-    got = rows.select(id_col, text, "quality").orderBy(id_col).limit(most).collect()
-    return fit_field([split_lines(r[text]) for r in got], [int(r["quality"]) for r in got])
+    rows = rows.filter((lines <= FIT_LINES) & (F.coalesce(F.length(text), F.lit(0)) <= FIT_CHARS)).dropDuplicates([id_col])
+    got = rows.select(id_col, text, "quality").orderBy(F.xxhash64(id_col), id_col).limit(most).collect()
+    cut = [split_lines(r[text]) for r in got]
+    n = int(np.searchsorted(np.cumsum([len(d) for d in cut]), FIT_TOTAL, side="right"))
+    return fit_field(cut[:n], [int(r["quality"]) for r in got[:n]])
 
 
 def score_docs(docs: DataFrame, field: LineField, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
