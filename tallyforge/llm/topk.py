@@ -14,7 +14,11 @@ from ..session import stored
 CANDIDATES = 4096
 QUERIES = 512
 #: Shares of the lists after which the bounds are looked at.
-DEPTHS = (0.5, 1.0)
+DEPTHS = (0.25, 0.5, 0.7, 0.8, 0.9, 1.0)
+#: Queries of a block that tell after which share it is worth to look first.
+PROBES = 16
+#: Reading stops when at most so many times k candidates may still be among the k best; their scores are resolved.
+RESOLVED = 8
 
 
 class SortedLists:
@@ -47,28 +51,38 @@ class SortedLists:
         return lower, upper
 
 
+def contenders(lists: SortedLists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, depth: int) -> np.ndarray:
+    """(queries, candidates): may the candidate still be among the k best? The others' upper bounds stay below the
+    k-th largest lower bound. A query does not meet the candidate of its own id."""
+    n = len(ids)
+    lower, upper = lists.bounds(q, depth)
+    own = ids[None, :] == q_ids[:, None]
+    lower[own] = -np.inf
+    if k >= n:
+        return ~own
+    kth = np.partition(lower, n - k, axis=1)[:, n - k]
+    return (upper >= kth[:, None]) & ~own
+
+
 def nearest(lists: SortedLists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query row, candidate row, score, share of the lists read) of the k best candidates of every query, ties to
-    the smaller id; a query does not meet the candidate of its own id.
+    the smaller id.
 
-    Lists are read on for the queries that are still open. A query is done when no candidate outside its k best lower
-    bounds has an upper bound that reaches the k-th of them; scores of those that may still qualify are then resolved.
+    Lists are read on for the queries that are still open, from the share on at which some of them are seen to be
+    decided. A query is done when few contenders are left; their final scores are then resolved.
     """
     n = len(ids)
-    rows, found, scores, shares = [], [], [], []
+    depth_of = lambda share: max(1, int(np.ceil(share * n)))
+    decided = lambda may: may.sum(axis=1) <= RESOLVED * k
+    few = slice(0, PROBES)
+    begin = next((i for i, s in enumerate(DEPTHS[:-1]) if decided(contenders(lists, ids, q[few], q_ids[few], k, depth_of(s))).mean() >= 0.5), len(DEPTHS) - 1)
+    rows, found, scores, shares = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
     open_ = np.arange(len(q))
-    for share in DEPTHS:
-        depth = max(1, int(np.ceil(share * n)))
-        lower, upper = lists.bounds(q[open_], depth)
-        own = ids[None, :] == q_ids[open_][:, None]
-        lower[own], upper[own] = -np.inf, -np.inf
-        if k < n:
-            kth = np.partition(lower, n - k, axis=1)[:, n - k]
-        else:
-            kth = np.full(len(open_), -np.inf)
-        may = (upper >= kth[:, None]) & ~own
-        sure = may.sum(axis=1) <= k if depth < n else np.ones(len(open_), bool)
-        for at in np.nonzero(sure)[0]:
+    for share in DEPTHS[begin:]:
+        depth = depth_of(share)
+        may = contenders(lists, ids, q[open_], q_ids[open_], k, depth)
+        done = decided(may) if depth < n else np.ones(len(open_), bool)
+        for at in np.nonzero(done)[0]:
             c = np.nonzero(may[at])[0]
             s = lists.x[c] @ q[open_[at]]
             best = np.lexsort((ids[c], -s))[:k]
@@ -76,11 +90,10 @@ def nearest(lists: SortedLists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
             found.append(c[best])
             scores.append(s[best])
             shares.append(np.full(len(best), depth / n))
-        open_ = open_[~sure]
+        open_ = open_[~done]
         if not len(open_):
             break
-    empty = np.zeros(0)
-    return tuple(np.concatenate([np.zeros(0, t), *parts]) for parts, t in ((rows, np.int64), (found, np.int64), (scores, empty.dtype), (shares, empty.dtype)))
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(scores), np.concatenate(shares)
 
 
 def integer_vectors(df: DataFrame, scale: int, id_col: str, vector: str) -> DataFrame:
