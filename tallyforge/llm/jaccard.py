@@ -199,7 +199,8 @@ def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     classes = stored(once.filter("size > 0").groupBy("s1", "s2").agg(F.min("id").alias("class"), F.count("*").alias("copies")), "classes")
     known = signed.join(classes.select(F.col("class").alias("id")), "id", "left_semi").select("id", "keys")
     nodes = known.select("id", F.posexplode("keys").alias("tree", "prefix"))
-    leads = nodes.groupBy("tree", "prefix").agg(F.min("id").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Written down, so that both sides of their join are plain shuffles: the crowded partition of a prefix is split.
+    leads = stored(nodes.groupBy("tree", "prefix").agg(F.min("id").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leads")
     edges = stored(nodes.join(leads, ["tree", "prefix"]).filter("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct(), "candidates")
     clusters = connected_components(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), edges)
     members = clusters.join(classes.select(F.col("class").alias("id"), "copies"), "id").select("id", F.col("component").alias("grp"), "copies")
