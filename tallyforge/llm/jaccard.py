@@ -201,7 +201,10 @@ def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     nodes = known.select("id", F.posexplode("keys").alias("tree", "prefix"))
     # Written down, so that both sides of their join are plain shuffles: the crowded partition of a prefix is split.
     leads = stored(nodes.groupBy("tree", "prefix").agg(F.min("id").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leads")
-    edges = stored(nodes.join(leads, ["tree", "prefix"]).filter("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct(), "candidates")
+    # A document is tied to the smallest of its leads, and so are its other leads: fewer edges, the same clusters.
+    tied = nodes.join(leads, ["tree", "prefix"]).groupBy("id").agg(F.min("lead").alias("b"), F.collect_set("lead").alias("leads"))
+    both = F.explode(F.array_union(F.array("id"), "leads"))  # one lead per tree at most
+    edges = stored(tied.select(both.alias("a"), "b").filter("a <> b").distinct(), "candidates")
     clusters = connected_components(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), edges)
     members = clusters.join(classes.select(F.col("class").alias("id"), "copies"), "id").select("id", F.col("component").alias("grp"), "copies")
     bodies = members.join(texts, "id")
