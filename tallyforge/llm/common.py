@@ -55,10 +55,3 @@ def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, ke
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], *made], names=names)
 
     return rows.mapInArrow(run, schema)
-
-
-def string_column(df: DataFrame, name: str) -> str:
-    """A column name that the frame does not have yet."""
-    while name in df.columns:
-        name = f"_{name}"
-    return name

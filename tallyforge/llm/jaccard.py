@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clustering import connected_components
 from ..session import stored
-from .blocks import FOUND, components, in_blocks, join_trees
+from .blocks import components, in_blocks, join_trees
 from .common import byte_slices, map_texts
 
 WORDS = 5

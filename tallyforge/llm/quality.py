@@ -136,16 +136,22 @@ class LineField:
         values = line_features(docs) @ self.weights
         return marginals(np.stack([np.zeros_like(values), values], axis=1), self.trans, lengths)[1][:, 1]
 
-    def mean_logit(self, docs: list[list[str]]) -> np.ndarray:
+    def means(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each document, weighted by the length of the lines: mean probability, and share of lines over 0.5."""
+        good = self.good_lines(docs)
         lengths = np.array([len(d) for d in docs])
         sizes = np.array([len(x) + 1 for d in docs for x in d], dtype=float)
         starts = np.cumsum(lengths) - lengths
-        mean = np.add.reduceat(self.good_lines(docs) * sizes, starts) / np.add.reduceat(sizes, starts)
-        return np.log((mean + 1e-4) / (1 - mean + 1e-4))
+        weight = np.add.reduceat(sizes, starts)
+        return np.add.reduceat(good * sizes, starts) / weight, np.add.reduceat((good > 0.5) * sizes, starts) / weight
+
+    def score(self, mean: np.ndarray) -> np.ndarray:
+        """A mean probability on the scale of the labels."""
+        return 1 / (1 + np.exp(-(self.slope * _logit(mean) + self.offset)))
 
-    def score(self, docs: list[list[str]]) -> np.ndarray:
-        """Length-weighted mean of the marginals, on the scale of the labels."""
-        return 1 / (1 + np.exp(-(self.slope * self.mean_logit(docs) + self.offset)))
+
+def _logit(mean: np.ndarray) -> np.ndarray:
+    return np.log((mean + 1e-4) / (1 - mean + 1e-4))
 
 
 def _curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -187,7 +193,7 @@ def fit_field(docs: list[list[str]], labels: Sequence[int], rounds: int = 150, r
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
     field = LineField(theta[:WIDTH] / scale, theta[WIDTH:].reshape(2, 2).copy(), 1.0, 0.0)
-    field.slope, field.offset = _curve(field.mean_logit(docs), y)
+    field.slope, field.offset = _curve(_logit(field.means(docs)[0]), y)
     return field
 
 
@@ -218,16 +224,8 @@ def score_docs(docs: DataFrame, field: LineField, keep: Sequence[str] = ("doc_id
     """
 
     def work(texts: list) -> list:
-        docs = [split_lines(t) for t in texts]
-        lengths = np.array([len(d) for d in docs])
-        good = field.good_lines(docs)
-        sizes = np.array([len(x) + 1 for d in docs for x in d], dtype=float)
-        starts = np.cumsum(lengths) - lengths
-        weight = np.add.reduceat(sizes, starts)
-        mean = np.add.reduceat(good * sizes, starts) / weight
-        logit = np.log((mean + 1e-4) / (1 - mean + 1e-4))
-        score = 1 / (1 + np.exp(-(field.slope * logit + field.offset)))
-        return [pa.array(score), pa.array(np.add.reduceat((good > 0.5) * sizes, starts) / weight)]
+        mean, share = field.means([split_lines(t) for t in texts])
+        return [pa.array(field.score(mean)), pa.array(share)]
 
     return map_texts(docs, work, "score double, good_share double", keep, text)
 
