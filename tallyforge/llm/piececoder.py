@@ -25,7 +25,7 @@ STRETCH = 1 << 20
 #: Bytes of text that are encoded at once: more of them share their pieces.
 SLICE = 8 << 20
 #: Pieces that a worker remembers before it drops those met once.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 _cut = re.compile(r"(?<=\S)(?= )")
 #: White space of any of the libraries, for RE2.

@@ -227,7 +227,7 @@ def score_docs(docs: DataFrame, field: LineField, keep: Sequence[str] = ("doc_id
         mean, share = field.means([split_lines(t) for t in texts])
         return [pa.array(field.score(mean)), pa.array(share)]
 
-    return map_texts(docs, work, "score double, good_share double", keep, text)
+    return map_texts(docs, work, "score double, good_share double", keep, text, most=2 << 20)
 
 
 def keep_good(docs: DataFrame, field: LineField, threshold: float = 0.7, text: str = "text") -> DataFrame:
