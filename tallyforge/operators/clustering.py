@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio, round_even
-from ..session import cut_lineage, stored
+from ..session import stored
+from .graph import connected_components
 from .ordered import hash_sample, medians
 
 SEED = 42
@@ -311,24 +312,6 @@ def _forest_edges(a_ids: np.ndarray, b_ids: np.ndarray, linked: np.ndarray) -> l
     return edges
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(id, component): smallest id reachable. Labels spread along edges and jump to their label's label;
-    every round is checkpointed, so the plan stays short and a lost executor costs one round."""
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = cut_lineage(nodes.select("id", F.col("id").alias("component")))
-    for _ in range(max_rounds):
-        heard = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("heard"))
-        step = labels.join(heard, F.col("id") == F.col("a"), "left").select(
-            "id", F.col("component").alias("before"), F.least("component", F.coalesce("heard", "component")).alias("component"))
-        leap = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        after = cut_lineage(step.join(leap, "component", "left").select(
-            "id", "before", F.least("component", F.coalesce("further", "component")).alias("component")))
-        labels = after.select("id", "component")
-        if after.filter(F.col("before") != F.col("component")).limit(1).count() == 0:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
 def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, axes: int = 3) -> DataFrame:
     """(id, cluster): the smallest core id of the cluster, -1 for noise.
 
