@@ -17,7 +17,7 @@ from .blocks import FOUND, components, in_blocks, join_trees
 SUBSPACES = 4
 #: Axes of the grid that a subspace is joined on. More of them prune more and copy more.
 AXES = 2
-CHUNK = 8192
+CHUNK = 4096
 #: Vectors that the rotation is learned from, at most.
 FIT_ROWS = 4000
 
@@ -154,7 +154,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
     """id_col, n_links, component_id, kept: one row per id.
 
     Vectors link if their cosine is at least `threshold` (over -1, at most 1). Null, empty, zero and not finite
-    vectors, and those of another length than most, link with nothing. Rows that repeat an id count once, with the
+    vectors link with nothing; vectors of different lengths do not link, each length is joined on its own. Rows that repeat an id count once, with the
     smallest of their vectors; rows without an id are left out; other columns are dropped. An empty table gives no rows.
     """
     double = "float" not in df.schema[vector].dataType.simpleString()
@@ -162,16 +162,14 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
     raw = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector}`").cast(kind).alias("v")).filter("id is not null")
     each = stored(raw.groupBy("id").agg(F.min(F.when(usable(F.col("v")), F.col("v"))).alias("v")), "vectors")
     good = each.filter(F.col("v").isNotNull())
-    widths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    none = df.sparkSession.createDataFrame([], FOUND)
-    found, parts = none, none.select("id", F.col("root").alias("component"))
-    if widths:
-        good = good.filter(F.size("v") == widths[0]["d"])
-        drawn = good.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("v").toArrow()
+    found = df.sparkSession.createDataFrame([], FOUND)
+    for d in [r["d"] for r in good.groupBy(F.size("v").alias("d")).count().filter("count > 1").orderBy("d").collect()]:
+        same = good.filter(F.size("v") == d)
+        drawn = same.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("v").toArrow()
         split = fit_split(unit_rows(np.array(drawn["v"].to_pylist(), dtype=np.float64)), threshold)
-        packed = good.mapInArrow(_packed(dtype), "id bigint, v binary")
-        found = stored(in_blocks(cells(packed, split, dtype), link_block(split, threshold, dtype), CHUNK), "links")
-        parts = components(found)
+        packed = same.mapInArrow(_packed(dtype), "id bigint, v binary")
+        found = found.unionByName(stored(in_blocks(cells(packed, split, dtype), link_block(split, threshold, dtype), CHUNK), "links"))
+    parts = components(found)
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     out = each.select("id").join(links, "id", "left").join(parts, "id", "left")
     component = F.coalesce("component", "id")
