@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
+from itertools import accumulate
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +23,9 @@ FIRST = {"email": 1, "ip": 2, "card": 3, "phone": 5}
 FIT_DOCS = 6000
 FIT_CHARS = 32_768
 FIT_TOKENS = 60_000
-ROUNDS = 12
+#: Messages are passed until none changes by more than this, in logarithms, or so many times.
+SETTLED = 1e-5
+ROUNDS = 200
 SURE = 0.85
 
 _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -142,7 +146,7 @@ def graph(texts: Sequence[str]) -> Graph:
                 skip.append((last[key], i))
             last[key] = i
             spans.append((d, start, end))
-            rows.append(token_features(core[:256]) if len(core) > 256 else token_features(core))
+            rows.append(token_features(core))
     as_edges = lambda e: np.array(e, dtype=np.int64).reshape(-1, 2)
     return Graph(spans, np.array(rows, dtype=float).reshape(-1, WIDTH), as_edges(chain), as_edges(skip))
 
@@ -180,7 +184,10 @@ class SkipChain:
             out = np.exp(out - out.max(axis=1, keepdims=True))
             made = np.log(np.einsum("ej,ejk->ek", out, table) + 1e-300)
             made -= made.max(axis=1, keepdims=True)
+            change = np.abs(made - sent).max()
             sent = 0.5 * sent + 0.5 * made
+            if change < SETTLED:
+                break
         total = local
         np.add.at(total, target, sent)
         total = np.exp(total - total.max(axis=1, keepdims=True))
@@ -195,13 +202,13 @@ def silver(texts: Sequence[str], g: Graph) -> np.ndarray:
         by_doc.setdefault(d, []).append(i)
     for d, members in by_doc.items():
         good, bad = base_spans(texts[d])
+        starts, ends = [g.spans[i][1] for i in members], [g.spans[i][2] for i in members]  # both rise
+        met = lambda s, e: members[bisect_right(ends, s) : bisect_left(starts, e)]
         for s, e in bad:
-            for i in members:
-                if g.spans[i][1] < e and g.spans[i][2] > s:
-                    state[i] = -1
+            for i in met(s, e):
+                state[i] = -1
         for kind, s, e in reversed(good):
-            inside = [i for i in members if g.spans[i][1] < e and g.spans[i][2] > s]
-            for rank, i in enumerate(inside):
+            for rank, i in enumerate(met(s, e)):
                 state[i] = FIRST[KINDS[kind]] + (rank > 0 and kind >= 2)
     return state
 
@@ -250,6 +257,18 @@ def _plausible(kind: int, core: str) -> bool:
     return 13 <= n <= 19 if kind == 2 else core.startswith("+") and 8 <= n <= 15
 
 
+class _Taken:
+    """Does a stretch meet one of some spans? The spans by their start, and the farthest end up to each."""
+
+    def __init__(self, spans: Sequence[tuple[int, int, int]]):
+        ordered = sorted((s, e) for _, s, e in spans)
+        self.starts, self.ends = [s for s, _ in ordered], list(accumulate((e for _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.ends[at - 1] > start
+
+
 def all_spans(texts: Sequence[str | None], model: SkipChain) -> list[list[tuple[int, int, int, bool]]]:
     """(kind, start, end, base) of every text, in order of kind and start. Spans of the model that meet a span of
     the patterns are left out: those stay as they are."""
@@ -262,6 +281,7 @@ def all_spans(texts: Sequence[str | None], model: SkipChain) -> list[list[tuple[
     belief = model.beliefs(g)
     state = np.where(belief.max(axis=1) >= SURE, belief.argmax(axis=1), 0)
     linked = {(int(a), int(b)) for a, b in g.chain}
+    taken = {d: _Taken(found[d]) for d in {d for d, _, _ in g.spans}}
     i = 0
     while i < len(state):
         d, start, end = g.spans[i]
@@ -271,7 +291,7 @@ def all_spans(texts: Sequence[str | None], model: SkipChain) -> list[list[tuple[
         while s >= 3 and i < len(state) and (i - 1, i) in linked and state[i] == (s if s in (4, 6) else s + 1):
             end, i = g.spans[i][2], i + 1
         kind = {1: 0, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3}[s]
-        if _plausible(kind, texts[d][start:end]) and not any(a < end and b > start for _, a, b in found[d]):
+        if _plausible(kind, texts[d][start:end]) and not taken[d].meets(start, end):
             out[d].append((kind, start, end, False))
     return [sorted(s) for s in out]
 
