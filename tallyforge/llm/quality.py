@@ -38,12 +38,8 @@ WIDTH = 1 + 3 * OWN
 
 
 def split_lines(text: str | None) -> list[str]:
-    """Lines of a text; null and empty texts have one empty line. Runs of over 4096 characters without a line break
-    are cut there, so that one huge line does not count as one observation."""
-    out: list[str] = []
-    for line in (text or "").split("\n"):
-        out += [line[k : k + 4096] for k in range(0, len(line), 4096)] or [""]
-    return out
+    """Lines of a text, whole; null and empty texts have one empty line."""
+    return (text or "").split("\n")
 
 
 def own_features(docs: list[list[str]]) -> np.ndarray:
@@ -57,7 +53,8 @@ def own_features(docs: list[list[str]]) -> np.ndarray:
     out = np.zeros((len(lines), OWN))
     n = len(CLASSES) + 2
     for k in range(n):
-        total = np.concatenate([[0], np.cumsum(codes == k, dtype=np.int64)])
+        total = np.zeros(len(codes) + 1, np.int32 if len(codes) < 1 << 31 else np.int64)
+        np.cumsum(codes == k, out=total[1:])
         out[:, k] = np.sqrt((total[ends] - total[starts]) / np.maximum(sizes, 1))
     seen = [Counter(d) for d in docs]
     words = [x.split() for x in lines]
@@ -204,7 +201,8 @@ def fold_of(id_col: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 2, most: int = FIT_DOCS, id_col: str = "doc_id", text: str = "text") -> LineField:
     """Fits on at most `most` labelled documents of the other folds, drawn by a hash of their id; documents of over
     FIT_LINES lines or FIT_CHARS characters, and those beyond FIT_TOTAL lines in all, are scored but not learned from.
-    Only this bounded sample reaches the driver."""
+    Only this bounded sample reaches the driver. A document with labels of both kinds counts as good, and of rows that
+    repeat an id one is taken."""
     known = labels.filter(F.col("quality").isNotNull() & (fold_of(id_col) != held_out)).groupBy(id_col).agg(F.max("quality").alias("quality"))
     drawn = known.orderBy(F.xxhash64(id_col), id_col).limit(most)
     rows = docs.select(id_col, text).join(F.broadcast(drawn), id_col)  # at most `most` pairs of numbers
@@ -219,8 +217,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 2, most: int = FIT
 def score_docs(docs: DataFrame, field: LineField, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """`keep` columns with `score` (0 to 1; higher: good) and `good_share` (length-weighted share of lines over 0.5).
 
-    Null and empty texts are one empty line and get the score of such a line. Rows are scored one by one, whatever
-    their id; a kept column named like a result gives way; an empty table gives an empty one.
+    Null and empty texts are one empty line and get the score of such a line. Very long texts and lines are scored
+    whole. Rows are scored one by one, whatever their id; a kept column named like a result gives way; an empty table gives an empty one.
     """
 
     def work(texts: list) -> list:
