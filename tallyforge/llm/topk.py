@@ -75,7 +75,7 @@ def nearest(lists: SortedLists, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
     depth_of = lambda share: max(1, int(np.ceil(share * n)))
     decided = lambda may: may.sum(axis=1) <= RESOLVED * k
     few = slice(0, PROBES)
-    begin = next((i for i, s in enumerate(DEPTHS[:-1]) if decided(contenders(lists, ids, q[few], q_ids[few], k, depth_of(s))).mean() >= 0.5), len(DEPTHS) - 1)
+    begin = next((i for i, s in enumerate(DEPTHS[:-1]) if decided(contenders(lists, ids, q[few], q_ids[few], k, depth_of(s))).mean() >= 0.5), len(DEPTHS) - 2)
     rows, found, scores, shares = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
     open_ = np.arange(len(q))
     for share in DEPTHS[begin:]:
