@@ -118,15 +118,17 @@ def windows_of(sizes: Sequence[int], capacity: int = CAPACITY) -> list[list[int]
 
 
 def assign(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """The pieces with sequence_id and offset. Groups of about `group` pieces are drawn by a hash of id and start,
-    so no document, source or length gathers in one; each is packed by one task."""
+    """The pieces (a stored table) with sequence_id and offset. Groups of about `group` pieces are drawn by a hash of id,
+    start and the row's number in the table, so no document, source or length gathers in one, nor do repeated rows or
+    those without an id; each is packed by one task."""
     n = pieces.count()
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(max(1, -(-n // group)))))
+    numbered = pieces.withColumn("__row", F.monotonically_increasing_id())
+    dealt = numbered.withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", "length", "__row"), F.lit(max(1, -(-n // group)))))
     schema = StructType(pieces.schema.fields + StructType.fromDDL("sequence_id bigint, offset bigint").fields)
     names = schema.names
 
     def pack(key, table):
-        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")]).drop_columns(["__group"])
+        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("__row", "ascending")]).drop_columns(["__group", "__row"])
         sizes = table["length"].to_pylist()
         sequence, offset, number = [0] * len(sizes), [0] * len(sizes), key[0].as_py() * STRIDE
         short = [i for i, s in enumerate(sizes) if s < capacity]
