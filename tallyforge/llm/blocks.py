@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.clustering import connected_components
+from ..operators.graph import connected_components
 from ..session import stored
 
 BLOCK = ["__block", "__i", "__kind", "__j"]

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 BATCH_BYTES = 4 << 20
 
@@ -44,8 +44,9 @@ def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, ke
     """
     added = StructType.fromDDL(fields)
     kept = [c for c in keep if c not in added.names]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
-    schema = StructType([f for f in rows.schema.fields[:-1]] + added.fields)
+    # Numbered names: Spark cannot pass columns whose names hold a dot to mapInArrow.
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"__{k}") for k, c in enumerate(kept)], F.col(f"`{text}`").cast("string").alias("__text"))
+    schema = StructType([StructField(c, f.dataType, f.nullable) for c, f in zip(kept, rows.schema.fields)] + added.fields)
     names, at = schema.names, len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

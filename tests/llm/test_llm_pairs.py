@@ -122,6 +122,9 @@ def test_near_vector_cases(spark):
     schema = "vec_id bigint, embedding array<double>"
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (None, [1.0, 0.0]), (3, [1.0])], schema)
     assert sorted(map(tuple, vectors.near_vectors(df).collect())) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+    mixed = spark.createDataFrame([(k, [1.0, 2.0]) for k in (4, 5, 6)] + [(k, [1.0, 0.1 * k, 0.0]) for k in (7, 8, 9, 10)] + [(11, [2.0])], schema)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(mixed).collect()} == {
+        **{k: (2, 4) for k in (4, 5, 6)}, **{k: (3, 7) for k in (7, 8, 9, 10)}, 11: (0, 11)}
     assert vectors.near_vectors(df.limit(0)).count() == 0
     alone = spark.createDataFrame([(9, None)], schema)
     assert list(map(tuple, vectors.near_vectors(alone).collect())) == [(9, 0, 9, True)]

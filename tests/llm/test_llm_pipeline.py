@@ -69,6 +69,16 @@ def test_run_is_its_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0 and JSON.endswith(".json")
 
 
+def test_extra_columns_named_like_results_stay(spark):
+    schema = "doc_id bigint, text string, n_lines string, n_dropped int, `a.b` string, score string, __rest string"
+    line = "this very line stands in many documents, so it goes."
+    docs = spark.createDataFrame([(k, f"{line}\nown line {k}", "keep me", k, "dots", "s", "r") for k in range(6)], schema)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        rows = stage(spark, docs, SF).collect()
+        assert rows and all((r.n_lines, r.n_dropped, r["a.b"], r.score, r["__rest"]) == ("keep me", r.doc_id, "dots", "s", "r") for r in rows), name
+    assert {r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, SF).collect()} == {*(f"own line {k}" for k in range(5)), f"{line}\nown line 5"}
+
+
 def test_stages_take_odd_rows(spark):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, spans string"
     rows = [(1, None, None, None, None, None, None), (2, "", "en", "s", 0, 1.0, "x"), (3, "some plain words stand in this line.", None, None, 36, None, None),
