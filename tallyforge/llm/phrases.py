@@ -17,9 +17,9 @@ from .common import byte_slices
 
 UNKNOWN = "und"
 #: Bytes of text that numpy takes at a time.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Phrase hashes that a task sums up before it sends them on.
-FLUSH = 3 << 20
+FLUSH = 1 << 20
 #: A filter of survivors has at most 2 to this many bits (16 MB).
 FILTER_BITS = 27
 #: Hash partitions: 2 to these many at least and at most, about 2^22 phrases each.
