@@ -1,7 +1,8 @@
 """Fitting loops around Spark models: folds, searches, curves, ablations, leave-one-group-out.
 
-Each loop runs on the driver over a handful of fits; each fit and each prediction is a Spark job. Callers hand
-in a stored frame (`session.stored`), so that a loop scans it and does not rebuild it.
+Ridge and logistic models of all folds, groups or shares come from `linear`, which reads the rows once, or once per
+Newton step, for all of them. The other families loop on the driver over a handful of fits; each fit and each prediction
+is a Spark job. Callers hand in a stored frame (`session.stored`), so that a loop scans it and does not rebuild it.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ..operators import metrics as M
 from ..operators.aggregates import fold_summary
 from ..operators.resampling import group_fold_table
 from ..session import stored
+from . import linear as L
 from .families import LABEL, Family
 from .prep import feature_names, fit_preprocessor
 
@@ -73,9 +75,18 @@ def oof_predictions(
     df: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, group: str, folds: int = 5, weight: str | None = None
 ) -> DataFrame:
     """Every row once, predicted by a model that saw no row of its group."""
+    if family.name in ("ridge", "logistic"):
+        cut = stored(with_folds(df, group, folds, target if family.classifies else None), "folds")
+        return _linear_left_out(cut, groups, family, params, target, FOLD, weight)
     return fold_predictions(df, groups, family, params, target, group, folds, weight, both_parts=False).drop("part")
 
 
+def _linear_left_out(df: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, by: str, weight: str | None) -> DataFrame:
+    if family.name == "ridge":
+        return L.ridge_left_out(df, groups, target, by, params["alpha"], weight)
+    return L.logistic_left_out(df, groups, target, by, params["c"], weight)
+
+
 def summarise(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
     return fold_summary(metrics, "part", names)
 
@@ -85,8 +96,11 @@ def temporal_backtest(
     weight: str | None = None, threshold: float = 0.5,
 ) -> tuple[DataFrame, DataFrame]:
     """Learn on one year, score the next: (metrics, predictions)."""
-    model = family.fit(train, groups, params, target, weight)
-    predicted = stored(family.predict(model, test), "backtest")
+    if family.name == "logistic":
+        basis, (model,) = L.fit_logistic(train, groups, target, params["c"], weight)
+        predicted = stored(test.withColumn("prediction", L.logistic_probability(basis, model)), "backtest")
+    else:
+        predicted = stored(family.predict(family.fit(train, groups, params, target, weight), test), "backtest")
     if family.classifies:
         return M.classification_report(predicted, target, "prediction", threshold, weight), predicted
     return M.regression_metrics(predicted, target, "prediction"), predicted
@@ -144,6 +158,15 @@ def learning_curve(
     """Unweighted AUC on nested shares of each fold's training rows. Rows enter in hash order, not file order."""
     cut = with_folds(df, group, folds, target).withColumn("__spot", key_hash(list(keys), 42) / F.lit(float(2**60)))
     cut, parts = stored(cut, "curve"), []
+    if family.name == "logistic":
+        basis, models = L.fit_logistic(cut, groups, target, params["c"], None, FOLD, list(shares), "__spot")
+        cells = F.array(*[
+            F.struct(F.lit(float(m.share)).alias("share"), F.lit(int(m.left_out)).alias("k"), L.logistic_probability(basis, m).alias("prediction")) for m in models
+        ])
+        part = F.when(F.col(FOLD) == F.col("m.k"), "validation").when(F.col("__spot") < F.col("m.share"), "train")
+        rows = cut.select(FOLD, "__spot", target, F.explode(cells).alias("m"))
+        parts = [rows.select("m.share", F.col("m.k").alias(FOLD), part.alias("part"), target, "m.prediction").filter("part is not null")]
+        shares = ()
     for share in shares:
         for k in range(folds):
             learn = cut.filter((F.col(FOLD) != k) & (F.col("__spot") < share))
@@ -172,7 +195,10 @@ def ablation(
 def leave_one_group_out(
     df: DataFrame, groups: Mapping, family: Family, params: Mapping, target: str, group: str, weight: str | None = None
 ) -> DataFrame:
-    """Each group predicted by a model that never saw it; its one-hot columns are all zero there."""
+    """Each group predicted by a model that never saw it; its one-hot columns are all zero there. Any number of groups
+    for ridge, whose models are sums without a group; other families fit one after the other."""
+    if family.name in ("ridge", "logistic"):
+        return _linear_left_out(df, groups, family, params, target, group, weight)
     values = [r[0] for r in df.select(group).dropna().distinct().limit(MAX_GROUPS + 1).collect()]
     if len(values) > MAX_GROUPS:
         raise ValueError(f"one fit per group: more than {MAX_GROUPS} groups; use group folds")

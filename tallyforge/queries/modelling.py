@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_even
+from ..functions.scalars import key_hash, round_even
+from ..models import linear as L
 from ..models import prep, validation as V
 from ..models.families import FAMILIES, coefficients
 from ..operators import attribution as AT
@@ -54,6 +55,36 @@ def area_train(spark, sf):
     return stored(area_model(spark, sf), "area-model")
 
 
+# The area rows with one feature that misses values, and their folds; SQL twins for closed forms.
+_AREA = """SELECT n.area_id, n.year AS target_year, n.indicator_pct AS y, region, s_acctbal AS balance, CASE WHEN b.participation_pct < 70 THEN b.participation_pct END AS turnout
+ FROM results n JOIN targets t USING (area_id, year) LEFT JOIN results b ON b.area_id = n.area_id AND b.year + 1 = n.year LEFT JOIN supplier ON s_suppkey = n.area_id LEFT JOIN areas USING (area_id)"""
+_AREA_FOLDS = f"""SELECT am.*, CAST((spot - 1) % 4 AS INTEGER) AS fold FROM am JOIN (SELECT area_id, row_number() OVER (ORDER BY {H(42, 'area_id')}, area_id) AS spot FROM (SELECT DISTINCT area_id FROM am)) USING (area_id)"""
+
+
+def area_turnout(spark, sf):
+    return stored(area_model(spark, sf).withColumn("turnout", F.when(F.col("participation_t1") < 70, F.col("participation_t1"))), "area-turnout")
+
+
+def newton(design: str, c: float, body: str, steps: int = 15, **extra: str) -> str:
+    """SQL of `body` over fits(k, b0, b1): Newton steps for an intercept and one penalised slope per model k, on rows
+    (k, z, w0, w1) of `design`."""
+    used = f"{body} -- design"
+    head = sql(used, **extra, design=design)[: -len(used)].replace("WITH ", "WITH RECURSIVE ", 1)
+    return head + f""", steps(i, k, b0, b1) AS (
+ SELECT 0, k, 0.0::DOUBLE, 0.0::DOUBLE FROM (SELECT DISTINCT k FROM design) UNION ALL
+ SELECT i + 1, k, b0 - (h11*g0 - h01*g1)/(h00*h11 - h01*h01), b1 - (h00*g1 - h01*g0)/(h00*h11 - h01*h01) FROM (
+  SELECT i, k, b0, b1, sum(w*p - w1) AS g0, sum(z*(w*p - w1)) + b1/{c}::DOUBLE AS g1, sum(w*p*(1 - p)) AS h00, sum(z*w*p*(1 - p)) AS h01, sum(z*z*w*p*(1 - p)) + 1/{c}::DOUBLE AS h11
+  FROM (SELECT *, w0 + w1 AS w, 1/(1 + exp(-b0 - b1*z)) AS p FROM steps JOIN design USING (k)) GROUP BY i, k, b0, b1) WHERE i < {steps}),
+ fits AS (SELECT k, b0, b1 FROM steps WHERE i = {steps}) {body}"""
+
+
+def _design(rows: str) -> str:
+    """Standardised hint per model of rows (k, hint, y, w), equal ones collapsed."""
+    return f"""SELECT k, (hint - m)/s AS z, sum(CASE WHEN y = 0 THEN w ELSE 0 END)::DOUBLE AS w0, sum(CASE WHEN y = 1 THEN w ELSE 0 END)::DOUBLE AS w1 FROM ({rows})
+ JOIN (SELECT k, avg(hint) AS m, stddev_pop(hint) AS s FROM ({rows}) GROUP BY k) USING (k) GROUP BY ALL"""
+
+
+HINT = {"numbers": ["hint"]}
 _GAPPY = "SELECT person_id, network, weight AS a, CASE WHEN passed = 1 THEN score END AS b, score - 50000 AS c FROM persons"
 
 
@@ -100,18 +131,20 @@ def onehot_ignore(spark, sf):
     return prep.transformed_matrix(model, o, ["o_orderkey"])
 
 
-@query("cluster_prep", sql(f"""SELECT person_id, {R('(x - (SELECT avg(x) FROM g))/(SELECT stddev_pop(x) FROM g)', 6)} AS b FROM g""",
-    gappy=_GAPPY, g="SELECT person_id, coalesce(ln(1 + greatest(b, 0)), (SELECT median(ln(1 + greatest(b, 0))) FROM gappy WHERE b IS NOT NULL)) AS x FROM (SELECT person_id, b FROM gappy WHERE b IS NOT NULL) UNION ALL SELECT person_id, (SELECT median(ln(1 + greatest(b, 0))) FROM gappy WHERE b IS NOT NULL) FROM gappy WHERE b IS NULL"))
+@query("cluster_prep", sql(f"SELECT person_id, {R('(coalesce(x, middle) - m)/s', 6)} AS b FROM logged, spread",
+    gappy=_GAPPY, logged="SELECT person_id, CASE WHEN b IS NOT NULL THEN ln(1 + greatest(b, 0)) END AS x FROM gappy", mid="SELECT median(x) AS middle FROM logged",
+    spread="SELECT any_value(middle) AS middle, avg(coalesce(x, middle)) AS m, stddev_pop(coalesce(x, middle)) AS s FROM logged, mid"))
 def cluster_prep(spark, sf):
     """Here the logarithm comes before the median."""
     return _matrix(gappy(spark, sf), {"log": ["b"]}, True, ["person_id"], log_before_impute=True)
 
 
-@query("feature_names", sql("""SELECT unnest(['weight', 'school_id', 'hint', 'year_number', 'ausente_weight']) AS name, used FROM (SELECT count(*) > 0 AS used FROM persons)
- UNION ALL SELECT DISTINCT 'network_' || network, true FROM persons"""))
+@query("feature_names", sql("""SELECT name FROM (SELECT unnest(['weight', 'school_id', 'hint', 'year_number']) AS name, unnest([count(weight), count(school_id), count(score_a), count(persons.year)]) AS known FROM persons JOIN scored USING (person_id)) WHERE known > 0
+ UNION ALL SELECT 'ausente_weight' FROM persons HAVING count(*) > count(weight) UNION ALL SELECT DISTINCT 'network_' || coalesce(network, 'nan') FROM persons"""))
 def feature_names(spark, sf):
+    """Columns with any value, an indicator where values miss, and the categories that occur."""
     model = prep.fit_preprocessor(person_model(spark, sf), PERSON_GROUPS)
-    return spark.createDataFrame([(n, True) for n in prep.feature_names(model)], "name string, used boolean")
+    return spark.createDataFrame([(n,) for n in prep.feature_names(model)], "name string")
 
 
 @query("transformed_matrix", sql(f"""SELECT person_id, {R('c', 4)} AS c, CAST(network = 'estadual' AS DOUBLE) AS network_estadual, CAST(network = 'municipal' AS DOUBLE) AS network_municipal FROM gappy""", gappy=_GAPPY))
@@ -139,9 +172,22 @@ def _terms(spark, sf, name, groups, params, target, frame, weight=None):
     return spark.createDataFrame(rows, "variable string, coefficient double")
 
 
-@query("logistic_l2")
+def _newton_terms(spark, sf, groups, c):
+    basis, (m,) = L.fit_logistic(stored(person_model(spark, sf), "person-model"), groups, "y", c, "case_weight")
+    rows = [(v, b, m.gradient_norm < 1e-3) for v, b in L.coefficient_rows(basis, m)]
+    return spark.createDataFrame(rows, "variable string, coefficient double, settled boolean")
+
+
+@query("logistic_l2", newton(_design("SELECT 0 AS k, score_a AS hint, y, w FROM scored"), 0.5,
+       f"SELECT 'hint' AS variable, {R('b1', 5)} AS coefficient, true AS settled FROM fits UNION ALL SELECT 'intercept', {R('b0', 5)}, true FROM fits"))
 def logistic_l2(spark, sf):
-    return _terms(spark, sf, "logistic", PERSON_GROUPS, {"c": 0.5, "max_iter": 100}, "y", stored(person_model(spark, sf), "person-model"), "case_weight")
+    """One weighted feature; `settled` says that the gradient is nearly zero."""
+    return rounded(_newton_terms(spark, sf, HINT, 0.5), 5)
+
+
+@query("logistic_l2_all")
+def logistic_l2_all(spark, sf):
+    return _newton_terms(spark, sf, PERSON_GROUPS, 0.5)
 
 
 # One standardised feature has closed forms: with z = (x - mean) / deviation, the ridge slope is sum(z y) / (n + alpha).
@@ -236,11 +282,14 @@ def train_person_flow(spark, sf):
 # ---- validation ----------------------------------------------------------------------------------
 
 
-@query("oof_predictions", sql("SELECT area_id, target_year FROM (SELECT area_id, year AS target_year FROM targets JOIN results USING (area_id, year))"))
+@query("oof_predictions", sql(f"""SELECT area_id, target_year, fold, {R('ym + n*c/(n + 5)*(coalesce(turnout, middle) - m)/s', 6)} AS prediction FROM folded JOIN (
+ SELECT k, middle, count(*) AS n, avg(x) AS m, stddev_pop(x) AS s, avg(y) AS ym, covar_pop(x, y)/stddev_pop(x) AS c FROM (SELECT k, middle, y, coalesce(turnout, middle) AS x
+  FROM (SELECT k, median(turnout) AS middle FROM (SELECT DISTINCT fold AS k FROM folded) JOIN folded ON fold <> k GROUP BY k) JOIN folded ON fold <> k) GROUP BY k, middle) ON k = fold""",
+    am=_AREA, folded=_AREA_FOLDS))
 def oof_predictions(spark, sf):
-    """Every row comes back once with a prediction; the SQL checks the keys."""
-    out = V.oof_predictions(area_train(spark, sf), AREA_GROUPS, FAMILIES["ridge"], {"alpha": 1.0}, "indicator_t", "area_id", 4)
-    return out.filter(F.col("prediction").isNotNull()).select("area_id", "target_year")
+    """Every row once, by the ridge model of the other folds, whose median, scale and slope the SQL works out."""
+    out = V.oof_predictions(area_turnout(spark, sf), {"numbers": ["turnout"]}, FAMILIES["ridge"], {"alpha": 5.0}, "indicator_t", "area_id", 4)
+    return rounded(out.select("area_id", "target_year", "fold", "prediction"), 6)
 
 
 @query("oof_metrics")
@@ -250,29 +299,73 @@ def oof_metrics(spark, sf):
     return V.summarise(V.fold_metrics(both, family, "indicator_t"), ["mae", "r2"])
 
 
-@query("temporal_backtest")
+_YEARS = "SELECT 0 AS k, score_a AS hint, y, w FROM scored WHERE year = 1999"
+
+
+@query("temporal_backtest", newton(_design(_YEARS), 1.0, f"""SELECT 0.5 AS threshold, {R('accuracy', 6)} AS accuracy, {R('recall', 6)} AS recall, {R('mean', 6)} AS mean_prediction, {R('auc', 6)} AS auc FROM
+ (SELECT sum(w*((p >= 0.5) = (y = 1))::INT)/sum(w) AS accuracy, sum(w*(p >= 0.5 AND y = 1)::INT)/sum(w*y) AS recall, avg(p) AS mean FROM tested), (SELECT auc FROM ({ranked('tested', 'y', 'p', 'w')}))""".replace(
+    "FROM tested", "FROM (SELECT y, w, 1/(1 + exp(-b0 - b1*(score_a - (SELECT avg(hint) FROM years))/(SELECT stddev_pop(hint) FROM years))) AS p FROM scored, fits WHERE year = 2000) AS tested"), years=_YEARS))
 def temporal_backtest(spark, sf):
     df = stored(person_model(spark, sf), "person-model")
-    return V.temporal_backtest(df.filter("year = 1999"), df.filter("year = 2000"), PERSON_GROUPS, FAMILIES["logistic"], {"c": 1.0, "max_iter": 30}, "y", "case_weight", 0.5)[0]
+    out, predicted = V.temporal_backtest(df.filter("year = 1999"), df.filter("year = 2000"), HINT, FAMILIES["logistic"], {"c": 1.0}, "y", "case_weight", 0.5)
+    mean = predicted.agg(F.avg("prediction")).scalar()
+    return rounded(out.select("threshold", "accuracy", "recall", mean.alias("mean_prediction"), "auc"), 6)
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
     df = stored(person_model(spark, sf), "person-model")
-    return V.learning_curve(df, PERSON_GROUPS, FAMILIES["logistic"], {"c": 1.0, "max_iter": 15}, "y", "area_id", ["person_id"], (0.1, 0.5, 1.0), 2)
+    return V.learning_curve(df, PERSON_GROUPS, FAMILIES["logistic"], {"c": 1.0}, "y", "area_id", ["person_id"], (0.1, 0.5, 1.0), 2)
+
+
+_CURVE_FOLDS = f"""SELECT scored.*, fold, {H(42, 'person_id')}/{2**60}::DOUBLE AS spot FROM scored JOIN (SELECT area_id, CAST((row_number() OVER (PARTITION BY band ORDER BY h, area_id) - 1 + band) % 2 AS INTEGER) AS fold
+ FROM (SELECT *, least(9, floor(rate*10))::BIGINT AS band FROM (SELECT area_id, avg(y) AS rate, {H(42, 'area_id')} AS h FROM scored GROUP BY area_id))) USING (area_id)"""
+
+
+@query("learning_curve_models", newton(_design("SELECT share || '/' || f AS k, score_a AS hint, y, 1.0 AS w FROM folded JOIN (SELECT unnest([0.1, 0.5, 1.0]) AS share) ON spot < share JOIN (SELECT unnest([0, 1]) AS f) ON f <> fold"), 1.0,
+       f"SELECT split_part(k, '/', 1)::DOUBLE AS share, split_part(k, '/', 2)::INTEGER AS fold, {R('b1', 5)} AS slope, {R('b0', 5)} AS intercept FROM fits", folded=_CURVE_FOLDS))
+def learning_curve_models(spark, sf):
+    """The models behind a learning curve: all shares and folds by the same Newton steps."""
+    df = stored(person_model(spark, sf), "person-model")
+    cut = stored(V.with_folds(df, "area_id", 2, "y").withColumn("spot", key_hash(["person_id"], 42) / F.lit(float(2**60))), "curve")
+    _, models = L.fit_logistic(cut, HINT, "y", 1.0, None, "fold", [0.1, 0.5, 1.0], "spot")
+    rows = [(m.share, int(m.left_out), float(m.beta[1]), float(m.beta[0])) for m in models]
+    return rounded(spark.createDataFrame(rows, "share double, fold int, slope double, intercept double"), 5)
 
 
-@query("ablation")
+_VARIANT = "SELECT variant || '/' || f AS k, CASE variant WHEN 'hint' THEN score_a ELSE score_b END AS hint, y, w FROM folded JOIN (SELECT unnest(['hint', 'noise']) AS variant) ON true JOIN (SELECT unnest([0, 1]) AS f) ON f <> fold"
+
+
+@query("ablation", newton(_design(_VARIANT), 1.0, f"""SELECT variant, {R('auc', 6)} AS auc FROM ({ranked('outside', 'y', 'p', 'w', 'variant')})""".replace("FROM outside", f"""FROM (
+ SELECT variant, y, w, round_even(1/(1 + exp(-b0 - b1*(x - m)/s))*1e9, 0) AS p FROM (SELECT variant, y, w, fold, CASE variant WHEN 'hint' THEN score_a ELSE score_b END AS x FROM folded JOIN (SELECT unnest(['hint', 'noise']) AS variant) ON true)
+ JOIN (SELECT k, split_part(k, '/', 1) AS variant, split_part(k, '/', 2)::INTEGER AS fold, b0, b1 FROM fits) USING (variant, fold) JOIN (SELECT k, avg(hint) AS m, stddev_pop(hint) AS s FROM ({_VARIANT}) GROUP BY k) USING (k)) AS outside"""), folded=_CURVE_FOLDS))
 def ablation(spark, sf):
+    df = stored(person_model(spark, sf).join(scored(spark, sf).select("person_id", F.col("score_b").alias("noise")), "person_id"), "person-model")
+    return rounded(V.ablation(df, {"hint": HINT, "noise": {"numbers": ["noise"]}}, FAMILIES["logistic"], {"c": 1.0}, "y", "area_id", 2, "case_weight"), 6)
+
+
+@query("ablation_groups")
+def ablation_groups(spark, sf):
     df = stored(person_model(spark, sf), "person-model")
     variants = {"all": PERSON_GROUPS, "without hint": group_variant(PERSON_GROUPS, drop=["hint"])}
-    return V.ablation(df, variants, FAMILIES["logistic"], {"c": 1.0, "max_iter": 15}, "y", "area_id", 2, "case_weight")
+    return V.ablation(df, variants, FAMILIES["logistic"], {"c": 1.0}, "y", "area_id", 2, "case_weight")
 
 
-@query("leave_one_group_out", sql("SELECT region, count(*) AS n FROM targets JOIN results USING (area_id, year) JOIN areas USING (area_id) GROUP BY region"))
+@query("leave_one_group_out", sql(f"""SELECT area_id, target_year, am.region, {R('ym + ((n + a)*r1 - n*r*r2)/((n + a)*(n + a) - n*r*n*r)*(balance - m1)/s1 + ((n + a)*r2 - n*r*r1)/((n + a)*(n + a) - n*r*n*r)*(coalesce(turnout, middle) - m2)/s2', 6)} AS prediction
+ FROM am JOIN (SELECT g, middle, 2.0::DOUBLE AS a, count(*)::DOUBLE AS n, avg(balance) AS m1, stddev_pop(balance) AS s1, avg(x) AS m2, stddev_pop(x) AS s2, avg(y) AS ym, corr(balance, x) AS r,
+  count(*)*covar_pop(balance, y)/stddev_pop(balance) AS r1, count(*)*covar_pop(x, y)/stddev_pop(x) AS r2 FROM (SELECT g, middle, y, balance, coalesce(turnout, middle) AS x
+  FROM (SELECT g, median(turnout) AS middle FROM (SELECT DISTINCT region AS g FROM am) JOIN am ON region <> g GROUP BY g) JOIN am ON am.region <> g) GROUP BY g, middle) ON g = am.region""", am=_AREA))
 def leave_one_group_out(spark, sf):
+    """Every region predicted by the ridge model of all others, whose two slopes the SQL solves."""
+    out = V.leave_one_group_out(area_turnout(spark, sf), {"numbers": ["balance", "turnout"]}, FAMILIES["ridge"], {"alpha": 2.0}, "indicator_t", "region")
+    return rounded(out.select("area_id", "target_year", "region", "prediction"), 6)
+
+
+@query("leave_one_group_out_all")
+def leave_one_group_out_all(spark, sf):
+    """All features, error per region."""
     out = V.leave_one_group_out(area_train(spark, sf), AREA_GROUPS, FAMILIES["ridge"], {"alpha": 1.0}, "indicator_t", "region")
-    return out.filter(F.col("prediction").isNotNull()).groupBy("region").agg(F.count("*").alias("n"))
+    return out.groupBy("region").agg(F.count("*").alias("n"), F.avg(F.abs(F.col("indicator_t") - F.col("prediction"))).alias("mae"))
 
 
 _PLAIN = """SELECT u.*, (SELECT count(*) FROM predictions r WHERE r.residual <= u.target_pct - u.pred)::DOUBLE/(SELECT count(*) FROM predictions) AS risk_plain,
@@ -302,15 +395,16 @@ def sink_predictions(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("sink_model", sql("SELECT count(*) AS n, true AS same, 'ridge' AS family FROM predictions"))
+@query("sink_model", sql(f"SELECT area_id, year, {R('m + n*c/(n + 1)*(residual - mx)/sx', 6)} AS fitted, {R('m + n*c/(n + 1)*(residual - mx)/sx', 6)} AS read_back, 'ridge' AS family FROM predictions, one",
+    one="SELECT count(*)::DOUBLE AS n, covar_pop(residual, y)/stddev_pop(residual) AS c, avg(y) AS m, avg(residual) AS mx, stddev_pop(residual) AS sx FROM predictions"))
 def sink_model(spark, sf):
-    """A model written and read back gives the same prediction for every row."""
+    """A model written and read back: both predictions of every row."""
     df, path, family = predictions(spark, sf), scratch_path(spark, "model"), FAMILIES["ridge"]
     model = family.fit(df, {"numbers": ["residual"]}, {"alpha": 1.0}, "y")
     sinks.save_model(model, path, {"family": "ridge"})
     back, meta = sinks.load_model(path), sinks.load_metadata(spark, path)
-    a, b = family.predict(model, df, "a"), family.predict(back, df, "b").select("area_id", "year", "b")
-    return a.join(b, ["area_id", "year"]).agg(F.count("*").alias("n"), F.every(F.col("a") == F.col("b")).alias("same")).withColumn("family", F.lit(meta["family"]))
+    a, b = family.predict(model, df, "fitted"), family.predict(back, df, "read_back").select("area_id", "year", "read_back")
+    return rounded(a.join(b, ["area_id", "year"]).select("area_id", "year", "fitted", "read_back", F.lit(meta["family"]).alias("family")), 6)
 
 
 # ---- attribution ---------------------------------------------------------------------------------
