@@ -17,7 +17,7 @@ from .blocks import FOUND, components, in_blocks, join_trees
 SUBSPACES = 4
 #: Axes of the grid that a subspace is joined on. More of them prune more and copy more.
 AXES = 2
-CHUNK = 4096
+CHUNK = 8192
 #: Vectors that the rotation is learned from, at most.
 FIT_ROWS = 4000
 
