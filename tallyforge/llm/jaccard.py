@@ -10,35 +10,39 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.clustering import connected_components
 from ..session import stored
-from .blocks import components, in_blocks, join_trees
+from .blocks import FOUND, components, join_trees
 from .common import byte_slices, map_texts
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Trees of the forest and the longest prefixes that may be matched.
+#: Trees of the forest, and the values of a signature in each: the longest prefix.
 TREES = 24
 LONGEST = 8
-RECALL = 0.9999
+#: Prefixes are shortened until so small a part of the links is expected to be missed, or so few links.
+MISSED_SHARE = 1e-6
+MISSED = 1e-3
+#: Documents of a chunk, and rows of small blocks that share a task's group.
 CHUNK = 256
-SHARED = 512
+SHARED = 1024
+#: Similarities of links are counted in so many steps between the threshold and 1.
+STEPS = 40
 
 #: ASCII characters that part words; letters, digits and characters outside ASCII make them.
 _PARTING = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def recall_at(depth: int, trees: int, threshold: float) -> float:
-    """Chance that a pair at the threshold shares a prefix of this length in some tree."""
-    return 1 - (1 - threshold**depth) ** trees
+def met_at(depth: int, trees: int, similarity: np.ndarray | float):
+    """Chance that a pair of this similarity shares a prefix of this length in some tree."""
+    return 1 - (1 - np.asarray(similarity, float) ** depth) ** trees
 
 
-def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, longest: int = LONGEST, recall: float = RECALL) -> int:
-    """Prefixes are shortened from the longest until a pair at the threshold is met as often as wanted."""
-    depth = longest
-    while depth > 1 and recall_at(depth, trees, threshold) < recall:
-        depth -= 1
-    return depth
+def expected_missed(counts: np.ndarray, depth: int, trees: int, threshold: float) -> float:
+    """Links missed at a depth, judged by those found: each stands for 1 / chance links like it, 1 / chance - 1 of them
+    not met. One link at the threshold that nobody saw is counted as well. `counts` are links by similarity, each step
+    taken at its lower end."""
+    low = threshold + (1 - threshold) * np.arange(len(counts)) / len(counts)
+    return float(((1 / met_at(depth, trees, low) - 1) * counts).sum() + 1 / met_at(depth, trees, threshold) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -70,48 +74,71 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def prefixes(hashes: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """One 64-bit key per tree: the first `depth` values of the tree's part of the MinHash signature."""
-    a = _multipliers(trees * depth)
-    low = np.full(trees * depth, np.iinfo(np.uint64).max, dtype=np.uint64)
+def signature(hashes: np.ndarray, trees: int, longest: int) -> np.ndarray:
+    """(trees, longest) values of the MinHash signature, 32 bits each."""
+    a = _multipliers(trees * longest)
+    low = np.full(trees * longest, np.iinfo(np.uint64).max, dtype=np.uint64)
     for k in range(0, len(hashes), 2048):
         low = np.minimum(low, (hashes[k : k + 2048, None] * a[None, :]).min(axis=0))
-    low = low.reshape(trees, depth)
-    key = np.arange(1, trees + 1, dtype=np.uint64)
+    return (_mixed(low) >> np.uint64(32)).astype(np.uint32).reshape(trees, longest)
+
+
+def prefixes(signed: np.ndarray, depth: int) -> np.ndarray:
+    """(documents, trees): one 64-bit key for the first `depth` values of each tree of (documents, trees, longest)."""
+    key = np.broadcast_to(np.arange(1, signed.shape[1] + 1, dtype=np.uint64), signed.shape[:2])
     for k in range(depth):
-        key = _mixed(key * _STEPS[7] + low[:, k])
+        key = _mixed(key * _STEPS[7] + signed[:, :, k])
     return key
 
 
-def signatures(docs: DataFrame, id_col: str, text: str, words: int, trees: int, depth: int) -> DataFrame:
-    """(id, s1, s2, size, keys): two hashes of the shingle set, its size, and the prefix of each tree."""
+def signatures(docs: DataFrame, id_col: str, text: str, words: int, trees: int, longest: int) -> DataFrame:
+    """(id, s1, s2, size, signed): two hashes of the shingle set, its size, and its signature."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def work(texts: list) -> list:
-        s1, s2, size, keys = [], [], [], []
+        s1, s2, size, signed = [], [], [], []
         for t in texts:
             h = shingles(t, words)
             raw = h.tobytes()
             s1.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
             s2.append(xxhash.xxh3_64_intdigest(raw, seed=1) - (1 << 63))
             size.append(len(h))
-            keys.append(prefixes(h, trees, depth).view(np.int64) if len(h) else np.zeros(0, np.int64))
-        return [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            signed.append(signature(h, trees, longest).tobytes() if len(h) else b"")
+        return [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()), pa.array(signed, pa.binary())]
+
+    return map_texts(rows, work, "s1 bigint, s2 bigint, size bigint, signed binary", ["id"])
 
-    return map_texts(rows, work, "s1 bigint, s2 bigint, size bigint, keys array<bigint>", ["id"])
+
+def trie_nodes(known: DataFrame, depth: int, trees: int, longest: int) -> DataFrame:
+    """(id, tree, node, child): the node of each tree's prefix trie that a document reaches at `depth`, and the one below
+    it (0 at the longest prefix)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                signed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(part.num_rows, trees, longest)
+                node = prefixes(signed, depth)
+                child = prefixes(signed, depth + 1) if depth < longest else np.zeros_like(node)
+                id_ = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
+                tree = np.tile(np.arange(trees, dtype=np.int32), part.num_rows)
+                yield pa.RecordBatch.from_arrays([id_, pa.array(tree), pa.array(node.ravel().view(np.int64)), pa.array(np.ascontiguousarray(child).ravel().view(np.int64))],
+                                                 names=["id", "tree", "node", "child"])
+
+    return known.select("id", "signed").mapInArrow(run, "id bigint, tree int, node bigint, child bigint")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(grp, visits, id, copies, v): the shingle sets of the members of clusters."""
-    schema = "grp bigint, visits boolean, id bigint, copies bigint, v binary"
+    """(id, copies, keys, v): the shingle sets of documents, beside what they come with."""
+    schema = "id bigint, copies bigint, keys binary, v binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, 3):
                 v = pa.array([shingles(t, words).tobytes() for t in part.column(3).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.zeros(part.num_rows, bool)), part.column(1), part.column(2), v], names=["grp", "visits", "id", "copies", "v"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], v], names=["id", "copies", "keys", "v"])
 
-    return rows.select("grp", "id", "copies", "text").mapInArrow(run, schema)
+    return rows.select("id", "copies", "keys", "text").mapInArrow(run, schema)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -136,45 +163,97 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def link_block(threshold: float):
-    """Links of one block, weighed by the copies of the other side; exact counts of shared shingles."""
+_LINKS = f"{FOUND}, step int"
+
 
-    def linked(left: np.ndarray, right: np.ndarray, own: bool, sets: list, copies: np.ndarray, parent: np.ndarray, links: np.ndarray) -> np.ndarray:
+def link_blocks(threshold: float, trees: int):
+    """Links of the blocks of one group, weighed by the copies of the other side; exact counts of shared shingles.
+
+    A block compares the documents of two chunks, or of one with itself. Of its pairs those count that share a node of
+    this depth in some tree and none below it, so that a pair counts at one depth. Counts of links by similarity come as
+    rows without an id.
+    """
+
+    def linked(left: np.ndarray, right: np.ndarray, sets: list, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = left is right
         both = shared_counts([sets[i] for i in left], [sets[i] for i in right])
         size = np.array([len(s) for s in sets], dtype=np.float64)
-        similar = both / (size[left][:, None] + size[right][None, :] - both) >= threshold
-        if own:
-            similar &= left[:, None] < right[None, :]
-        a, b = np.nonzero(similar)
+        similarity = both / (size[left][:, None] + size[right][None, :] - both)
+        a, b = np.nonzero((similarity >= threshold) & (left[:, None] < right[None, :] if own else True))
+        s = similarity[a, b]
         a, b = left[a], right[b]
-        links += np.bincount(a, copies[b], len(sets)).astype(np.int64) + np.bincount(b, copies[a], len(sets)).astype(np.int64)
-        return join_trees(parent, a, b)
+        new = np.ones(len(a), bool)
+        for k in range(0, len(a), 100_000):
+            same = keys[a[k : k + 100_000]] == keys[b[k : k + 100_000]]
+            new[k : k + 100_000] = same[:, :trees].any(axis=1) & ~same[:, trees:].any(axis=1)
+        return a[new], b[new], s[new]
 
     def work(key, table):
-        _, i, kind, j = (k.as_py() for k in key)
-        table = table.sort_by([("grp", "ascending"), ("id", "ascending")])
-        ids, side, group = (table[c].to_numpy() for c in ("id", "side", "grp"))
-        copies = table["copies"].to_numpy()
+        table = table.sort_by([("low", "ascending"), ("high", "ascending"), ("id", "ascending")])
+        ids, side, low, high, copies = (table[c].to_numpy() for c in ("id", "side", "low", "high", "copies"))
         sets = [np.frombuffer(v, dtype=np.uint64) for v in table["v"].to_pylist()]
-        parent, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
-        if kind == 2:
-            edges = np.concatenate([np.nonzero(np.diff(group, prepend=group[0] - 1))[0], [len(group)]])
-            for a, b in zip(edges, edges[1:]):
-                if b - a > 1:
-                    at = np.arange(a, b)
-                    parent = linked(at, at, True, sets, copies, parent, links)
-        elif i == j:
-            at = np.arange(len(ids))
-            parent = linked(at, at, True, sets, copies, parent, links)
-        else:
-            parent = linked(np.nonzero(side == 0)[0], np.nonzero(side == 1)[0], False, sets, copies, parent, links)
-        hit = np.nonzero(links)[0]
-        return pa.table({"id": pa.array(ids[hit]), "n": pa.array(links[hit]), "root": pa.array(ids[parent[hit]])})
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(len(ids), -1)
+        parent, links, counts = np.arange(len(ids)), np.zeros(len(ids), np.int64), np.zeros(STEPS, np.int64)
+        edges = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True]]))
+        for x, y in zip(edges, edges[1:]):
+            at = np.arange(x, y)
+            left, right = (at, at) if low[x] == high[x] else (at[side[at] == 0], at[side[at] == 1])
+            if not len(left) or not len(right):
+                continue
+            a, b, s = linked(left, right, sets, keys)
+            links += np.bincount(a, copies[b], len(ids)).astype(np.int64) + np.bincount(b, copies[a], len(ids)).astype(np.int64)
+            counts += np.bincount(np.minimum(((s - threshold) / (1 - threshold) * STEPS).astype(np.int64), STEPS - 1), minlength=STEPS)
+            parent = join_trees(parent, a, b)
+        hit, seen = np.flatnonzero(links), np.flatnonzero(counts)
+        none = pa.nulls(len(seen), pa.int64())
+        return pa.table({
+            "id": pa.concat_arrays([pa.array(ids[hit]), none]), "n": pa.array(np.concatenate([links[hit], counts[seen]])),
+            "root": pa.concat_arrays([pa.array(ids[parent[hit]]), none]), "step": pa.concat_arrays([pa.nulls(len(hit), pa.int32()), pa.array(seen.astype(np.int32))])})
 
     return work
 
 
-def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES, recall: float = RECALL,
+def forest_links(known: DataFrame, texts: DataFrame, depth: int, threshold: float, words: int, trees: int, longest: int) -> DataFrame:
+    """Links, as `link_blocks` returns them, between documents that meet in a node of `depth` and in none below it.
+
+    Documents are dealt to chunks by the smallest document they meet, large groups into several. Two chunks are compared
+    if they share a node, and then by those of their documents that do; never all pairs of a cluster that a chain of
+    candidates ties together. Nodes are written down before their joins, so that a crowded one is split.
+    """
+    nodes = trie_nodes(known, depth, trees, longest)
+    shared = nodes.groupBy("tree", "node").agg(F.min("id").alias("lead"), F.count("*").alias("n"), (F.min("child") != F.max("child")).alias("parts"))
+    shared = stored(shared.filter("n > 1" if depth == longest else "n > 1 and parts").select("tree", "node", "lead"), "nodes")
+    members = stored(nodes.join(shared, ["tree", "node"]).select("id", "tree", "node", "lead"), "members")
+    gathered = members.groupBy("id").agg(F.min("lead").alias("lead"))
+    sizes = gathered.groupBy("lead").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("chunks"))
+    chunk = F.xxhash64("lead", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    placed = stored(gathered.join(sizes, "lead").select("id", chunk.alias("chunk")), "chunks")
+    homes = members.select("id", "tree", "node").join(placed, "id")
+    met = homes.select("tree", "node", F.col("chunk").alias("other")).distinct()
+    pairs = homes.join(met, ["tree", "node"]).select("id", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                                                    (F.col("chunk") > F.col("other")).cast("int").alias("side")).distinct()
+    bodies = known.select("id", "copies", "signed").join(placed.select("id"), "id", "left_semi").join(texts, "id")
+    sets = _sets(_keyed(bodies, depth, trees, longest), words)
+    dealt = stored(pairs, "blocks")
+    buckets = max(1, -(-dealt.count() // SHARED))
+    rows = dealt.join(sets, "id").withColumn("__bucket", F.pmod(F.xxhash64("low", "high"), F.lit(buckets)))
+    return rows.groupBy("__bucket").applyInArrow(link_blocks(threshold, trees), _LINKS)
+
+
+def _keyed(rows: DataFrame, depth: int, trees: int, longest: int) -> DataFrame:
+    """(id, copies, keys, text): the nodes of all trees at `depth`, then those below it, which the longest prefix has not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signed = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(batch.num_rows, trees, longest)
+            keys = np.hstack([prefixes(signed, d) for d in range(depth, min(depth + 1, longest) + 1)])
+            made = pa.array([r.tobytes() for r in keys], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made, batch.column(3)], names=["id", "copies", "keys", "text"])
+
+    return rows.select("id", "copies", "signed", "text").mapInArrow(run, "id bigint, copies bigint, keys binary, text string")
+
+
+def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES, longest: int = LONGEST,
                  id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id_col, class_id, n_links, component_id, kept: one row per id.
 
@@ -182,34 +261,31 @@ def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     similarity of their sets is at least `threshold`; n_links counts all other documents linked, copies included.
     component_id is the smallest id reachable; kept marks the document of that id.
 
-    The forest: each tree sorts the documents by its part of their MinHash signatures, and those that share a prefix
-    are candidates. Prefixes are as long as they can be while a pair at the threshold is met with the chance `recall`.
-    Candidates form clusters (a superset of the linked ones), and every pair within a cluster is verified exactly.
-    Null texts and texts without words have no shingles and link with nothing. Rows without an id are left out; rows
-    that repeat an id count once, with the smallest of their texts. Other columns are dropped. An empty table gives
-    no rows.
+    The forest: each tree is a prefix trie of its part of the documents' MinHash signatures. Documents that share the
+    longest prefix in some tree are compared first, exactly. From the similarities of the links found follows how many
+    links were missed; prefixes are shortened by one value, and those that meet only now are compared, until that
+    number is at most MISSED, or MISSED_SHARE of the links.
+
+    Null texts and texts without words have no shingles and link with nothing. Very long texts are compared whole. Rows
+    without an id are left out; rows that repeat an id count once, with the smallest of their texts. Other columns are
+    dropped. An empty table gives no rows.
     """
-    depth = matched_depth(threshold, trees, recall=recall)
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).filter("id is not null")
-    signed = stored(signatures(texts, "id", "text", words, trees, depth), "signatures")
+    signed = stored(signatures(texts, "id", "text", words, trees, longest), "signatures")
     if signed.count() != signed.select("id").distinct().count():
         texts = stored(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
-        signed = stored(signatures(texts, "id", "text", words, trees, depth), "signatures")
+        signed = stored(signatures(texts, "id", "text", words, trees, longest), "signatures")
     once = signed.select("id", "s1", "s2", "size")
     classes = stored(once.filter("size > 0").groupBy("s1", "s2").agg(F.min("id").alias("class"), F.count("*").alias("copies")), "classes")
-    known = signed.join(classes.select(F.col("class").alias("id")), "id", "left_semi").select("id", "keys")
-    nodes = known.select("id", F.posexplode("keys").alias("tree", "prefix"))
-    # Written down, so that both sides of their join are plain shuffles: the crowded partition of a prefix is split.
-    leads = stored(nodes.groupBy("tree", "prefix").agg(F.min("id").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leads")
-    # A document is tied to the smallest of its leads, and so are its other leads: fewer edges, the same clusters.
-    tied = nodes.join(leads, ["tree", "prefix"]).groupBy("id").agg(F.min("lead").alias("b"), F.collect_set("lead").alias("leads"))
-    both = F.explode(F.array_union(F.array("id"), "leads"))  # one lead per tree at most
-    edges = stored(tied.select(both.alias("a"), "b").filter("a <> b").distinct(), "candidates")
-    clusters = connected_components(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), edges)
-    members = clusters.join(classes.select(F.col("class").alias("id"), "copies"), "id").select("id", F.col("component").alias("grp"), "copies")
-    bodies = members.join(texts, "id")
-    light = members.select("grp", F.lit(False).alias("visits"))  # the same rows, without their texts
-    found = stored(in_blocks(_sets(bodies, words), link_block(threshold), CHUNK, SHARED, light), "links")
+    known = stored(signed.join(classes.select(F.col("class").alias("id"), "copies"), "id").select("id", "copies", "signed"), "known")
+    found, counts = docs.sparkSession.createDataFrame([], FOUND), np.zeros(STEPS, np.int64)
+    for depth in range(longest, 0, -1):
+        level = stored(forest_links(known, texts, depth, threshold, words, trees, longest), "links")
+        found = found.unionByName(level.filter("id is not null").drop("step"))
+        for r in level.filter("id is null").groupBy("step").agg(F.sum("n").alias("n")).collect():
+            counts[r["step"]] += r["n"]
+        if expected_missed(counts, depth, trees, threshold) <= max(MISSED, MISSED_SHARE * counts.sum()):
+            break
     parts = components(found)
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     by_class = classes.select("s1", "s2", "class", "copies").join(links, F.col("class") == F.col("id"), "left").drop("id").join(parts, F.col("class") == F.col("id"), "left")

@@ -183,11 +183,45 @@ def test_similar_doc_cases(spark):
     assert jaccard.similar_docs(df.limit(0)).count() == 0
 
 
-def test_prefixes_are_shortened_until_the_recall_is_met():
-    depth = jaccard.matched_depth()
-    assert jaccard.recall_at(depth, jaccard.TREES, 0.8) >= jaccard.RECALL > jaccard.recall_at(depth + 1, jaccard.TREES, 0.8)
-    assert jaccard.matched_depth(recall=0.5) > depth
+def test_prefixes_of_signatures():
     a, b = (jaccard.shingles(" ".join(map(str, range(k, k + 1000)))) for k in (0, 60))
     both = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-    keys = [jaccard.prefixes(x, 4000, 1) for x in (a, b)]
-    assert abs((keys[0] == keys[1]).mean() - both) < 0.03
+    x, y = (jaccard.signature(v, 500, 8) for v in (a, b))
+    assert abs((x == y).mean() - both) < 0.03
+    signed = np.stack([x, y])
+    for depth in (1, 3, 8):
+        keys = jaccard.prefixes(signed, depth)
+        assert ((keys[0] == keys[1]) == (x[:, :depth] == y[:, :depth]).all(axis=1)).all()
+        assert abs((keys[0] == keys[1]).mean() - both**depth) < 0.08
+
+
+def test_missed_links_are_judged_by_those_found():
+    counts = np.zeros(jaccard.STEPS, np.int64)
+    alone = [jaccard.expected_missed(counts, d, 24, 0.8) for d in range(8, 0, -1)]
+    assert alone == sorted(alone, reverse=True) and alone[0] > jaccard.MISSED > alone[2]
+    counts[0] = 1000  # at the threshold
+    assert abs(jaccard.expected_missed(counts, 8, 24, 0.8) / 1001 - ((1 - 0.8**8) ** 24 / (1 - (1 - 0.8**8) ** 24))) < 1e-9
+    high = np.zeros(jaccard.STEPS, np.int64)
+    high[-1] = 1000
+    assert jaccard.expected_missed(high, 8, 24, 0.8) < 1e-3 + alone[0]
+
+
+def test_shortening_goes_on_until_links_at_the_threshold_are_met(spark, monkeypatch):
+    depths = []
+    plain = jaccard.forest_links
+    monkeypatch.setattr(jaccard, "forest_links", lambda *a: (depths.append(a[2]), plain(*a))[1])
+    rng = random.Random(7)
+    rows = {}
+    for i in range(60):  # pairs of similarity just above 0.8
+        words = [f"{i}-{k}" for k in range(104)]
+        rows[2 * i], rows[2 * i + 1] = " ".join(words), " ".join(words[11:] + [f"{i}+{k}" for k in range(11)])
+    got = jaccard.similar_docs(spark.createDataFrame(list(rows.items()), "doc_id bigint, text string"), trees=4).collect()
+    assert {r.doc_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_docs(rows)
+    assert depths == list(range(8, depths[-1] - 1, -1)) and depths[-1] <= 2 and rng
+
+
+def test_chains_of_candidates_are_not_compared_pair_by_pair(spark):
+    words = [f"w{k}" for k in range(1400)]
+    rows = {i: " ".join(words[8 * i : 8 * i + 100]) for i in range(160)}  # each near to the next two only
+    got = jaccard.similar_docs(spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_docs(rows)
