@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash
 from ..session import stored
 from .metrics import ranking_metrics
-from .ordered import exact_quantiles, hash_positions, hash_sample, prefix_sums, range_edges
+from .ordered import exact_quantiles, hash_positions, hash_sample, range_edges
+
+
+# Task functions travel with their helpers, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def stratified_sample(df: DataFrame, share: float, target: str, keys: Sequence[str], seed: int = 42) -> DataFrame:
@@ -62,24 +70,149 @@ def _interval(values: DataFrame, value: str, level: float) -> DataFrame:
     return exact_quantiles(values, value, {"low": tail, "high": 1.0 - tail})
 
 
+def _named_slots(rows: DataFrame, resamples: int) -> DataFrame:
+    """(slot, reps): rows hold the slot that each resample picks; tasks turn that around and send one row per slot they
+    name, with the packed numbers of the resamples that name it, not one row per draw."""
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.asarray(batch.column(0).flatten())
+            rep = np.tile(np.arange(resamples, dtype="<u4"), batch.num_rows)
+            order = np.argsort(slot, kind="stable")
+            slot, rep = slot[order], rep[order]
+            edges = np.flatnonzero(np.diff(slot, prepend=-1))
+            parts = [rep[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(rep)])]
+            yield pa.RecordBatch.from_arrays([pa.array(slot[edges], pa.int64()), pa.array(parts, pa.binary())], names=["slot", "reps"])
+
+    return rows.mapInArrow(turn, "slot bigint, reps binary")
+
+
+def multiplicities(df: DataFrame, group: str, resamples: int, seed: int = 42) -> DataFrame:
+    """(group, times): per group, packed unsigned 32-bit counts of how often each resample draws it.
+
+    The draws are those of `cluster_draws`.
+    """
+    groups = hash_positions(df.select(group).dropna().distinct(), [group], seed, name="slot", size="n_groups")
+    reps = F.sequence(F.lit(0), F.lit(resamples - 1))
+    picked = F.transform(reps, lambda r: key_hash([r, F.col("slot")], seed) % F.col("n_groups"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [np.bincount(np.frombuffer(b"".join(parts), "<u4"), minlength=resamples).astype("<u4").tobytes() for parts in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["slot", "times"])
+
+    times = _named_slots(groups.select(picked.alias("picked")), resamples).groupBy("slot").agg(F.collect_list("reps").alias("reps")).mapInArrow(count, "slot bigint, times binary")
+    return groups.select(group, "slot").join(times, "slot").drop("slot")
+
+
+def _weighed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the positives and of the negatives of each row of (which, s, y, w, times), per resample."""
+    times = np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u4").reshape(batch.num_rows, -1).astype(float)
+    weight = times * np.asarray(batch.column(3))[:, None]
+    positive = (np.asarray(batch.column(2)) == 1)[:, None]
+    return np.where(positive, weight, 0.0), np.where(positive, 0.0, weight)
+
+
+def _resampled_auc(drawn: DataFrame, resamples: int) -> DataFrame:
+    """(which, rep, value): the rows of a batch collapse to arrays per score, scores are ordered in ranges, and every range
+    gives its pairs won, inside it, and its weights; the ranges before it do the rest."""
+    packed = "which string, s double, sums binary"
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                both, which, score = np.hstack(_weighed(part)), np.array(part.column(0).to_pylist(), object), np.asarray(part.column(1))
+                for name in dict.fromkeys(which):
+                    of = np.flatnonzero(which == name)
+                    of = of[np.argsort(score[of], kind="stable")]
+                    first = np.flatnonzero(np.diff(score[of], prepend=-np.inf))
+                    sums = np.add.reduceat(both[of], first, axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(first), pa.string()), pa.array(score[of][first]), pa.array([r.tobytes() for r in sums], pa.binary())], names=["which", "s", "sums"])
+
+    def won(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {}  # per score set: won, positives, negatives, and the open score with its weights
+        place = 0
+
+        def close(state: list) -> None:
+            _, pos, neg = state[3]
+            state[0] += pos * (state[2] + neg / 2)
+            state[1] += pos
+            state[2] += neg
+
+        for batch in batches:
+            for which, s, sums, place in zip(*(c.to_pylist() for c in batch.columns)):
+                pos, neg = np.frombuffer(sums).reshape(2, -1)
+                state = out.setdefault(which, [np.zeros(resamples), np.zeros(resamples), np.zeros(resamples), None])
+                if state[3] is not None and state[3][0] == s:
+                    state[3] = (s, state[3][1] + pos, state[3][2] + neg)
+                    continue
+                if state[3] is not None:
+                    close(state)
+                state[3] = (s, pos, neg)
+        for state in out.values():
+            close(state)
+        rows = [(w, place, np.concatenate(st[:3]).tobytes()) for w, st in out.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.binary()))], names=["which", "place", "sums"])
+
+    def together(key, table):
+        table = table.sort_by("place")
+        total, pos, neg = np.zeros(resamples), np.zeros(resamples), np.zeros(resamples)
+        for sums in table["sums"].to_pylist():
+            w, p, n = np.frombuffer(sums).reshape(3, -1)
+            total, pos, neg = total + w + p * neg, pos + p, neg + n
+        known = pos * neg > 0
+        value = np.where(known, total / np.where(known, pos * neg, 1.0), np.nan)
+        return pa.table({"which": pa.array([key[0].as_py()] * resamples), "rep": pa.array(np.arange(resamples), pa.int32()), "value": pa.array(value, mask=~known)})
+
+    sums = drawn.mapInArrow(collapse, packed)
+    ordered = sums.repartitionByRange("which", "s").sortWithinPartitions("which", "s").withColumn("place", F.spark_partition_id())
+    ranges = ordered.mapInArrow(won, "which string, place int, sums binary")
+    return ranges.groupBy("which").applyInArrow(together, "which string, rep int, value double")
+
+
 def resampled_metric(
     df: DataFrame, y: str, score: str, group: str, metric: str, resamples: int,
     weight: str | None = None, seed: int = 42, extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Metric per resample. Rows first collapse to weights per (group, score), then take the group's multiplicity."""
+    """Metric per resample. Rows first collapse to weights per (group, score), then take the group's multiplicities: one
+    packed vector for all resamples, so no row is copied per resample. Average precision and KS, whose terms depend on
+    all totals, take one row per resample that draws the group."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     known = df.dropna(subset=[y, score, group])
     compact = known.groupBy(*extra, group, score, y).agg(F.sum(w).alias("w"))
-    edges = range_edges(known, score)
-    drawn = compact.join(cluster_draws(known, group, resamples, seed), group).withColumn("w", F.col("w") * F.col("times"))
     by = [*extra, "rep"]
-    if metric == "brier":
-        e = F.col(score) - F.col(y)
-        return drawn.groupBy(*by).agg((F.sum(F.col("w") * e * e) / F.sum("w")).alias("value"))
-    out = ranking_metrics(drawn, y, score, "w", by, names=(metric,), edges=edges)
+    if metric in ("auc", "brier") and len(extra) <= 1:
+        which = F.col(extra[0]).cast("string") if extra else F.lit("")
+        met = compact.join(multiplicities(known, group, resamples, seed), group)
+        drawn = met.select(which.alias("which"), F.col(score).cast("double").alias("s"), F.col(y).cast("int").alias("y"), "w", "times")
+        found = (_resampled_auc if metric == "auc" else _resampled_brier)(drawn, resamples)
+        return found.withColumnRenamed("which", extra[0]) if extra else found.drop("which")
+    drawn = compact.join(cluster_draws(known, group, resamples, seed), group).withColumn("w", F.col("w") * F.col("times"))
+    out = ranking_metrics(drawn, y, score, "w", by, names=(metric,), edges=range_edges(known, score))
     return out.withColumnRenamed(metric, "value")
 
 
+def _resampled_brier(drawn: DataFrame, resamples: int) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                pos, neg = _weighed(part)
+                gap = np.asarray(part.column(1)) - np.asarray(part.column(2))
+                which = np.array(part.column(0).to_pylist(), object)
+                for name in dict.fromkeys(which):
+                    of = which == name
+                    sums = np.stack([((pos + neg)[of] * (gap[of] ** 2)[:, None]).sum(axis=0), (pos + neg)[of].sum(axis=0)])
+                    total[name] = total.get(name, 0.0) + sums
+        rows = [(name, int(r), float(v[0, r]), float(v[1, r])) for name, v in total.items() for r in range(resamples)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.float64(), pa.float64()))], names=["which", "rep", "e", "w"])
+
+    summed = drawn.mapInArrow(add, "which string, rep int, e double, w double").groupBy("which", "rep").agg(F.sum("e").alias("e"), F.sum("w").alias("w"))
+    return summed.filter("w > 0").select("which", "rep", (F.col("e") / F.col("w")).alias("value"))
+
+
 def point_metric(df: DataFrame, y: str, score: str, metric: str, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     from .metrics import brier
 
@@ -132,18 +265,55 @@ def paired_bootstrap(
 def residual_thresholds(residuals: DataFrame, residual: str, keys: Sequence[str], resamples: int, seed: int = 42) -> DataFrame:
     """Per resample of the residuals its ceil(n/2)-th smallest value.
 
-    A unit's risk reaches one half in a resample exactly when that value is at or below the unit's slack.
+    A unit's risk reaches one half in a resample exactly when that value is at or below the unit's slack. Values are cut
+    into ranges; the draws of each range are counted per resample, which tells in which range a resample's middle lies,
+    and only draws of that range are looked at one by one. What is shuffled is a packed list of slots per range of slots
+    and task, then counts per range and resample.
     """
     placed = hash_positions(residuals.select(*keys, F.col(residual).cast("double").alias("v")), keys, seed, name="slot", size="n")
-    reps = placed.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
-    times = reps.select("rep", (key_hash(["rep", "slot"], seed) % F.col("n")).alias("slot")).groupBy("rep", "slot").agg(
-        F.count("*").alias("times")
-    )
-    drawn = placed.select("slot", "v").join(times, "slot")
-    sums = prefix_sums(drawn, "v", {"m": F.col("times")}, by=["rep"], edges=range_edges(placed, "v"))
-    middle = F.ceil(F.col("m_total") / 2.0)
-    inside = (F.col("m_before") < middle) & (middle <= F.col("m_before") + F.col("m"))
-    return sums.filter(inside).select("rep", F.col("v").alias("threshold"))
+    placed = stored(placed, "placed")
+    edges = np.array(range_edges(placed, "v"))
+    n_ranges = len(edges) + 1
+    reps = F.sequence(F.lit(0), F.lit(resamples - 1))
+    picked = F.transform(reps, lambda r: key_hash([r, F.col("slot")], seed) % F.col("n"))
+    named = _named_slots(placed.select(picked.alias("picked")), resamples)
+    drawn = stored(named.join(placed.filter("v is not null").select("slot", "v"), "slot").select("v", "reps"), "drawn")
+
+    def spots(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Range, resample and value of every draw of a batch."""
+        reps = [np.frombuffer(r, "<u4") for r in batch.column(1).to_pylist()]
+        v = np.asarray(batch.column(0))
+        return np.repeat(np.searchsorted(edges, v, side="right"), [len(r) for r in reps]), np.concatenate(reps).astype(np.int64), np.repeat(v, [len(r) for r in reps])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n_ranges, resamples), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                r, rep, _ = spots(batch)
+                np.add.at(total, (r, rep), 1)
+        r, rep = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(rep, pa.int32()), pa.array(total[r, rep])], names=["range", "rep", "n"])
+
+    counts = drawn.mapInArrow(count, "range int, rep int, n bigint").groupBy("range", "rep").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy("rep")  # one row per range
+    cum = counts.withColumn("upto", F.sum("n").over(of.orderBy("range"))).withColumn("middle", F.ceil(F.sum("n").over(of) / 2.0))
+    middles = cum.filter("upto - n < middle and middle <= upto").select("rep", "range", (F.col("middle") - F.col("upto") + F.col("n")).alias("at"))
+    opened = np.full(resamples, -1)
+    for row in middles.select("rep", "range").collect():  # one row per resample
+        opened[row["rep"]] = row["range"]
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                r, rep, v = spots(batch)
+                here = np.flatnonzero(opened[rep] == r)
+                keys, n = np.unique(np.rec.fromarrays([rep[here], v[here]], names="rep,v"), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys["rep"].astype(np.int32)), pa.array(keys["v"]), pa.array(n.astype(np.int64))], names=["rep", "v", "m"])
+
+    inside = drawn.mapInArrow(pick, "rep int, v double, m bigint").groupBy("rep", "v").agg(F.sum("m").alias("m"))
+    ordered = Window.partitionBy("rep").orderBy("v")  # the draws of one range
+    placed_in = inside.withColumn("upto", F.sum("m").over(ordered)).join(middles.select("rep", "at"), "rep")
+    return placed_in.filter("upto - m < at and at <= upto").select("rep", F.col("v").alias("threshold"))
 
 
 def list_stability(
