@@ -19,6 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import summed
 from ..operators.ordered import range_count
 from ..session import stored
 from .prep import MAX_CATEGORIES, MISSING
@@ -160,21 +161,6 @@ def _medians(df: DataFrame, basis: Basis, by: str) -> DataFrame:
     return complement_medians(clean, basis.numbers, by).groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("variable", "median"))).alias("medians"))
 
 
-# ---- sums of arrays -------------------------------------------------------------------------------
-
-
-def summed(rows: DataFrame, by: Sequence[str], array: str) -> DataFrame:
-    """Sums arrays of one length entry by entry, per group: partial sums in each task, then one per group."""
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in by) + f", `{array}` array<double>"
-
-    def add(key, table):
-        total = np.asarray(table[array].combine_chunks().flatten()).reshape(table.num_rows, -1).sum(axis=0)
-        return pa.table({**{c: table[c].slice(0, 1) for c in by}, array: pa.array([total.tolist()], pa.list_(pa.float64()))})
-
-    return rows.groupBy(*by).applyInArrow(add, schema)
-
-
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(rows, -1)
 

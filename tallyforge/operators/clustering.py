@@ -5,18 +5,22 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ratio, round_even
+from ..functions.scalars import key_hash, ratio, round_even
 from ..session import stored
+from .aggregates import summed
 from .graph import connected_components
 from .ordered import hash_sample, medians
 
@@ -34,10 +38,93 @@ def as_vectors(df: DataFrame, array: str = "embedding", name: str = "features")
 # ---- partitions ----------------------------------------------------------------------------------
 
 
-def kmeans(df: DataFrame, k: int, starts: int = 10, max_iter: int = 50):
-    """Model with the lowest cost of several starts."""
-    fits = [KMeans(k=k, seed=SEED + s, maxIter=max_iter).fit(df) for s in range(starts)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+@dataclass
+class Clusters:
+    """Centres of one run, its cost, the rounds it took, and how many points each cluster holds."""
+
+    k: int
+    start: int
+    centres: np.ndarray
+    cost: float = math.inf
+    rounds: int = 0
+    sizes: np.ndarray | None = None
+    settled: bool = False
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds `prediction`: the nearest centre, ties to the first."""
+        v = vector_to_array("features")
+        gaps = F.array(*[_squared(v, F.array(*[F.lit(float(x)) for x in c])) for c in self.centres])
+        return df.withColumn("prediction", (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int"))
+
+
+def _squared(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, q: s + q)
+
+
+def kmeans_runs(df: DataFrame, ks: Sequence[int], starts: int = 10, max_iter: int = 50, keys: Sequence[str] = (), seed: int = SEED) -> list[Clusters]:
+    """Lloyd's rounds for every number of clusters and every start at once: a round is one scan, in which each task
+    sums the points of every cluster of every run that has not settled. Start s begins from the first k rows in the
+    hash order of their keys (without keys, of their vectors). A cluster that loses all points keeps its centre."""
+    points = df.select(*keys, vector_to_array("features").alias("__v"))
+    named = list(keys) or [F.to_json("__v")]
+    order = [points.select(F.lit(s).alias("start"), key_hash(named, f"{seed}s{s}").alias("h"), F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c for c in named]).alias("name"), "__v")
+             .orderBy("h", "name").limit(max(ks)) for s in range(starts)]
+    first: dict[int, list] = {}
+    for r in reduce(DataFrame.unionByName, order).collect():  # starts x the most clusters
+        first.setdefault(r["start"], []).append((r["h"], r["name"], r["__v"]))
+    runs = [Clusters(k, s, np.array([v for _, _, v in sorted(rows)[:k]], float)) for k in ks for s, rows in sorted(first.items())]
+    vectors = points.select("__v")
+    for turn in range(max_iter + 1):
+        open_ = [r for r in runs if not r.settled]
+        if not open_:
+            break
+        for run, (cost, sizes, sums) in zip(open_, _lloyd_sums(vectors, [r.centres for r in open_])):
+            run.cost, run.sizes = cost, sizes
+            moved = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], run.centres)
+            run.settled = turn == max_iter or bool(np.abs(moved - run.centres).max() <= 1e-12 * max(1.0, np.abs(moved).max()))
+            if not run.settled:
+                run.centres, run.rounds = moved, run.rounds + 1
+    return runs
+
+
+def _lloyd_sums(vectors: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """(cost, sizes, sums of points) of every set of centres, from one scan and one row per task."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(1 + len(c) * (1 + c.shape[1])) for c in centres]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = np.asarray(part.column(0).flatten()).reshape(part.num_rows, -1)
+                for c, sums in zip(centres, total):
+                    gaps = np.stack([((x - m) ** 2).sum(axis=1) for m in c], axis=1)
+                    near = gaps.argmin(axis=1)
+                    sums[0] += gaps[np.arange(len(x)), near].sum()
+                    sums[1 : 1 + len(c)] += np.bincount(near, minlength=len(c))
+                    np.add.at(sums[1 + len(c) :].reshape(len(c), -1), near, x)
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([np.concatenate(total).tolist()], pa.list_(pa.float64()))], names=["one", "sums"])
+
+    row = summed(vectors.mapInArrow(gather, "one int, sums array<double>"), ["one"], "sums").first()
+    flat, out = np.array(row["sums"]) if row else np.zeros(0), []
+    for c in centres:
+        size = 1 + len(c) * (1 + c.shape[1])
+        mine, flat = flat[:size], flat[size:]
+        out.append((float(mine[0]), mine[1 : 1 + len(c)], mine[1 + len(c) :].reshape(len(c), -1)))
+    return out
+
+
+def best_runs(runs: Sequence[Clusters]) -> dict[int, Clusters]:
+    """Per number of clusters the run of the lowest cost, ties to the first start."""
+    best: dict[int, Clusters] = {}
+    for run in sorted(runs, key=lambda r: r.start):
+        if run.k not in best or run.cost < best[run.k].cost:
+            best[run.k] = run
+    return best
+
+
+def kmeans(df: DataFrame, k: int, starts: int = 10, max_iter: int = 50, keys: Sequence[str] = ()) -> Clusters:
+    """The run with the lowest cost of several starts."""
+    return best_runs(kmeans_runs(df, [k], starts, max_iter, keys))[k]
 
 
 def hierarchical(df: DataFrame, k: int):
@@ -52,13 +139,12 @@ def assigned(model, df: DataFrame, name: str = "cluster") -> DataFrame:
 def choose_k(df: DataFrame, ks: Sequence[int], keys: Sequence[str], starts: int = 10, sample: int = 3000) -> DataFrame:
     """Cost, sampled silhouette and Davies-Bouldin for each number of clusters."""
     rows = []
-    for k in ks:
-        model = kmeans(df, k, starts)
+    for k, model in best_runs(kmeans_runs(df, ks, starts, keys=keys)).items():
         labelled = assigned(model, df)
         arrays = labelled.withColumn("v", vector_to_array("features"))
         s = silhouette(arrays, "v", "cluster", keys, sample).first()["silhouette"]
         d = davies_bouldin(arrays, "v", "cluster").first()["davies_bouldin"]
-        rows.append((k, float(model.summary.trainingCost), s, d))
+        rows.append((k, model.cost, s, d))
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double, davies_bouldin double")
 
 

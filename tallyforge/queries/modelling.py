@@ -493,11 +493,41 @@ def embeddings(spark, sf):
     return e.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
 
 
-@query("kmeans")
+_EMB = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings"
+_GAP = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1]-p[2])*(p[1]-p[2])))"
+
+
+def _lloyd(body: str, ks: list[int], starts: int, rounds: int) -> str:
+    """SQL of `body` over placed(k, s, vec_id, cluster, d), costs(k, s, cost) and best(k, s) after fixed rounds."""
+    orders = " UNION ALL ".join(f"SELECT {s} AS s, v, row_number() OVER (ORDER BY {H(f'42s{s}', 'vec_id')}, vec_id::VARCHAR) - 1 AS cluster FROM emb" for s in range(starts))
+    place = lambda c: f"SELECT k, s, vec_id, v, cluster, d FROM (SELECT k, s, vec_id, v, cluster, {_GAP} AS d FROM emb, {c}) QUALIFY row_number() OVER (PARTITION BY k, s, vec_id ORDER BY d, cluster) = 1"
+    parts = {"emb": _EMB, "centres0": f"SELECT k, s, cluster, v AS c FROM ({orders}), (SELECT unnest({ks}) AS k) WHERE cluster < k"}
+    for r in range(rounds):
+        parts[f"placed{r}"] = place(f"centres{r}")
+        parts[f"centres{r + 1}"] = f"SELECT k, s, cluster, list(m ORDER BY i) AS c FROM (SELECT k, s, cluster, i, avg(x) AS m FROM (SELECT k, s, cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM placed{r}) GROUP BY ALL) GROUP BY ALL"
+    parts["placed"] = place(f"centres{rounds}")
+    parts["costs"] = "SELECT k, s, sum(d) AS cost FROM placed GROUP BY k, s"
+    parts["best"] = "SELECT k, arg_min(s, cost) AS s FROM costs GROUP BY k"
+    return sql(body, **parts)
+
+
+@query("kmeans", _lloyd(f"SELECT vec_id, cluster::INTEGER AS cluster, {R('d', 5)} AS squared, {R('cost', 4)} AS cost FROM placed JOIN best USING (k, s) JOIN costs USING (k, s)", [4], 3, 5))
 def kmeans(spark, sf):
+    """Cluster and squared distance of every vector after five rounds of the best of three starts, and its cost."""
     df = stored(C.as_vectors(embeddings(spark, sf), "v"), "vectors")
-    out = C.assigned(C.kmeans(df, 4, starts=3, max_iter=20), df)
-    return out.groupBy("cluster").agg(F.count("*").alias("n"))
+    model = C.kmeans(df, 4, starts=3, max_iter=5, keys=["vec_id"])
+    out = C.assigned(model, df)
+    centre = F.element_at(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centres]), F.col("cluster") + 1)
+    squared = F.aggregate(F.zip_with("v", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, q: s + q)
+    return out.select("vec_id", "cluster", round_even(squared, 5).alias("squared"), round_even(F.lit(model.cost), 4).alias("cost"))
+
+
+@query("kmeans_costs", _lloyd(f"SELECT k::INTEGER AS k, s AS start, {R('cost', 4)} AS cost FROM costs", [2, 4, 6], 2, 4))
+def kmeans_costs(spark, sf):
+    """Cost of every number of clusters and start after four rounds, all from the same scans."""
+    df = stored(C.as_vectors(embeddings(spark, sf), "v"), "vectors")
+    rows = [(r.k, r.start, r.cost) for r in C.kmeans_runs(df, [2, 4, 6], 2, 4, ["vec_id"])]
+    return rounded(spark.createDataFrame(rows, "k int, start int, cost double"), 4)
 
 
 @query("choose_k")
@@ -507,7 +537,6 @@ def choose_k(spark, sf):
 
 
 _PAIRS = """SELECT a.vec_id, a.label AS la, b.label AS lb, b.vec_id AS other, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1]-p[2])*(p[1]-p[2])))) AS d FROM emb a CROSS JOIN emb b"""
-_EMB = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings"
 
 
 @query("silhouette", sql(f"""SELECT {R('avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a)/greatest(a, b) END)', 6)} AS silhouette FROM

@@ -192,3 +192,22 @@ def test_silhouette_and_pca(spark):
     got = [r.explained for r in C.pca_variance(C.as_vectors(df, "v"), 3).orderBy("component").collect()]
     vals = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
     np.testing.assert_allclose(got, vals / vals.sum(), atol=1e-9)
+
+
+def test_kmeans_of_all_starts_is_plain_lloyd(spark):
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(c, 0.4, size=(40, 3)) for c in (0, 3, 6)])
+    df = C.as_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>"), "v")
+    runs = C.kmeans_runs(df, [2, 3, 5], starts=3, keys=["id"])
+    assert [(r.k, r.start) for r in runs] == [(k, s) for k in (2, 3, 5) for s in range(3)] and all(r.settled for r in runs)
+    for r in runs:
+        near = ((x[:, None] - r.centres[None]) ** 2).sum(axis=2)
+        np.testing.assert_allclose(r.cost, near.min(axis=1).sum())
+        for c in range(r.k):
+            if (near.argmin(axis=1) == c).any():
+                np.testing.assert_allclose(r.centres[c], x[near.argmin(axis=1) == c].mean(axis=0), atol=1e-9)
+        assert r.sizes.sum() == len(x)
+    best = C.best_runs(runs)
+    assert best[3].cost == min(r.cost for r in runs if r.k == 3)
+    got = C.assigned(best[3], df).toPandas().sort_values("id")["cluster"].to_numpy()
+    assert (got == ((x[:, None] - best[3].centres[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
