@@ -3,53 +3,109 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .editions import drops_in_sequence
-from .joins import orphans
 
+# ---- rules ----------------------------------------------------------------------------------------
 
-def _verdict(df: DataFrame, check: str, bad: Column) -> DataFrame:
-    counted = df.agg(F.coalesce(bad, F.lit(0)).cast("bigint").alias("n"))
-    return counted.select(F.lit(check).alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").alias("detail"))
 
+@dataclass(frozen=True)
+class Key:
+    """The columns are a key: the detail is the number of rows beyond the first of each value."""
 
-def unique_key(df: DataFrame, check: str, keys: Sequence[str]) -> DataFrame:
-    """Number of rows beyond the first of each key, by partial counts per key."""
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("c"))
-    return _verdict(per_key, check, F.sum(F.col("c") - 1))
+    check: str
+    keys: tuple[str, ...]
 
 
-def references(df: DataFrame, check: str, dimension: DataFrame, key: str) -> DataFrame:
-    return _verdict(orphans(df, dimension, key), check, F.count("*"))
+@dataclass(frozen=True)
+class Row:
+    """No row is bad. A null condition is not bad; rows outside `where` are not looked at."""
 
+    check: str
+    bad: Column
+    where: Column | None = None
 
-def in_range(df: DataFrame, check: str, value: str, low: float, high: float) -> DataFrame:
-    return _verdict(df, check, F.count_if(~F.col(value).between(low, high)))
 
+@dataclass(frozen=True)
+class Known:
+    """Every value of the column is in the dimension, nulls aside: the detail is the number of rows with an unknown one."""
 
-def never_null(df: DataFrame, check: str, value: str) -> DataFrame:
-    return _verdict(df, check, F.count_if(F.col(value).isNull()))
+    check: str
+    column: str
+    dimension: DataFrame
 
 
-def always_true(df: DataFrame, check: str, rule: Column) -> DataFrame:
-    return _verdict(df, check, F.count_if(~F.coalesce(rule, F.lit(False))))
+@dataclass(frozen=True)
+class Mean:
+    """The mean of the value stays below the bound: the detail is the mean in thousandths. Without any value it fails."""
 
+    check: str
+    value: Column
+    bound: float
+
+
+Rule = Key | Row | Known | Mean
+
+
+def in_range(check: str, value: str, low: float, high: float) -> Row:
+    return Row(check, ~F.col(value).between(low, high))
+
+
+def never_null(check: str, value: str, where: Column | None = None) -> Row:
+    return Row(check, F.col(value).isNull(), where)
 
-def never_falls(df: DataFrame, check: str, unit: str, year: str, value: str) -> DataFrame:
-    return _verdict(drops_in_sequence(df, unit, year, value), check, F.count("*"))
 
+def always_true(check: str, rule: Column, where: Column | None = None) -> Row:
+    return Row(check, ~F.coalesce(rule, F.lit(False)), where)
 
-def close_on_average(df: DataFrame, check: str, a: str, b: str, bound: float) -> DataFrame:
-    """Mean absolute difference below a bound; the detail is that difference in thousandths."""
-    mae = df.agg(F.avg(F.abs(F.col(a) - F.col(b))).alias("mae"))
-    return mae.select(
-        F.lit(check).alias("check"), F.coalesce(F.col("mae") < bound, F.lit(False)).alias("ok"),
-        F.rint(F.col("mae") * 1000).cast("bigint").alias("detail"),
-    )
+
+def verdicts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(check, ok, detail) of all rules on one table, from one scan of it.
+
+    Row rules become flags, references a join with the distinct values of the dimension, and the flags are summed
+    together: per key first where there is a key rule, so that its shuffle serves the other rules as well, then over the
+    table. There is room for one key rule.
+    """
+    keys = [r for r in rules if isinstance(r, Key)]
+    if len(keys) > 1:
+        raise ValueError("one key rule per table")
+    rows, sums = df, {}
+    for i, r in enumerate(rules):
+        if isinstance(r, Known):
+            values = r.dimension.select(F.col(r.column).alias(f"__k{i}")).dropna().distinct().withColumn(f"__known{i}", F.lit(True))
+            rows = rows.join(values, F.col(r.column) == F.col(f"__k{i}"), "left")
+            sums[f"__n{i}"] = (F.col(f"__known{i}").isNull() & F.col(r.column).isNotNull()).cast("bigint")
+        elif isinstance(r, Row):
+            held = r.bad if r.where is None else r.where & r.bad
+            sums[f"__n{i}"] = F.coalesce(held, F.lit(False)).cast("bigint")
+        elif isinstance(r, Mean):
+            sums[f"__n{i}"] = r.value.cast("double")
+            sums[f"__c{i}"] = r.value.isNotNull().cast("bigint")
+    marked = rows.select(*(keys[0].keys if keys else ()), *[c.alias(n) for n, c in sums.items()], F.lit(1).cast("bigint").alias("__rows"))
+    if keys:
+        marked = marked.groupBy(*keys[0].keys).agg(*[F.sum(n).alias(n) for n in sums], (F.count("*") - 1).alias("__rows"))
+    total = marked.agg(*[F.sum(n).alias(n) for n in sums], F.coalesce(F.sum("__rows"), F.lit(0)).alias("__rows"))
+
+    def verdict(i: int, r: Rule) -> Column:
+        if isinstance(r, Mean):
+            mean = F.try_divide(F.col(f"__n{i}"), F.col(f"__c{i}"))
+            ok, detail = F.coalesce(mean < r.bound, F.lit(False)), F.rint(mean * 1000).cast("bigint")
+        else:
+            detail = F.coalesce(F.col("__rows" if isinstance(r, Key) else f"__n{i}"), F.lit(0)).cast("bigint")
+            ok = detail == 0
+        return F.struct(F.lit(r.check).alias("check"), ok.alias("ok"), detail.alias("detail"))
+
+    return total.select(F.explode(F.array(*[verdict(i, r) for i, r in enumerate(rules)])).alias("v")).select("v.*")
+
+
+def never_falls(df: DataFrame, check: str, unit: str, year: str, value: str) -> DataFrame:
+    counted = drops_in_sequence(df, unit, year, value).agg(F.count("*").alias("n"))
+    return counted.select(F.lit(check).alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").alias("detail"))
 
 
 def report(checks: Sequence[DataFrame]) -> DataFrame:
@@ -59,23 +115,29 @@ def report(checks: Sequence[DataFrame]) -> DataFrame:
 def quality_checks(
     persons: DataFrame, areas: DataFrame, fact: DataFrame, mart: DataFrame, targets: DataFrame, cut: float
 ) -> DataFrame:
-    """The twelve checks of the Gold tables."""
+    """The twelve checks of the Gold tables: one scan of each table, and one more of the fact for its own figures."""
     seen = (F.col("present") == 1) & (F.col("filled") == 1)
-    own = fact.select("year", "area_id", F.col("indicator_pct").alias("own"), "network")
-    compared = mart.join(own.filter("network = 'municipal'"), ["year", "area_id"])
+    own = fact.filter("network = 'municipal'").groupBy("year", "area_id").agg(F.avg("indicator_pct").alias("own"))
+    compared = mart.join(own, ["year", "area_id"], "left")
     return report([
-        unique_key(areas, "area key unique", ["area_id"]),
-        unique_key(fact, "fact key unique", ["year", "area_id", "network"]),
-        unique_key(mart, "mart key unique", ["year", "area_id"]),
-        unique_key(persons, "person key unique", ["year", "person_id"]),
-        references(fact, "fact areas known", areas, "area_id"),
-        references(persons, "person areas known", areas, "area_id"),
-        in_range(fact, "fact indicator in 0..100", "indicator_pct", 0, 100),
-        in_range(mart, "mart indicator in 0..100", "indicator_pct", 0, 100),
-        never_null(persons.filter(seen), "evaluated have a score", "score"),
-        always_true(persons.filter(seen), "label is the cutoff rule", (F.col("score") >= cut) == (F.col("passed") == 1)),
+        verdicts(areas, [Key("area key unique", ("area_id",))]),
+        verdicts(fact, [
+            Key("fact key unique", ("year", "area_id", "network")),
+            Known("fact areas known", "area_id", areas),
+            in_range("fact indicator in 0..100", "indicator_pct", 0, 100),
+        ]),
+        verdicts(compared, [
+            Key("mart key unique", ("year", "area_id")),
+            in_range("mart indicator in 0..100", "indicator_pct", 0, 100),
+            Mean("own figure close to official", F.abs(F.col("own") - F.col("indicator_pct")), 0.1),
+        ]),
+        verdicts(persons, [
+            Key("person key unique", ("year", "person_id")),
+            Known("person areas known", "area_id", areas),
+            never_null("evaluated have a score", "score", seen),
+            always_true("label is the cutoff rule", (F.col("score") >= cut) == (F.col("passed") == 1), seen),
+        ]),
         never_falls(targets, "targets never fall", "area_id", "year", "target_pct"),
-        close_on_average(compared, "own figure close to official", "own", "indicator_pct", 0.1),
     ])
 
 

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio
+from ..session import stored
+from .aggregates import summed
 from .metrics import ranking_metrics, spearman
 from .ordered import average_ranks, unpivoted
 from .windows import with_group_mean
 
+# Task functions travel with their helpers, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(v1, v2, n, rho) per pair of columns, over the rows where both are known."""
@@ -24,9 +33,69 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
     return spearman(long, "x", "y", ["v1", "v2"])
 
 
+def null_patterns(df: DataFrame, columns: Sequence[str]) -> list[list[str]]:
+    """Columns that miss in the same rows, group by group. A sum of row hashes proposes the groups, a count checks them."""
+    row = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")
+    found = df.agg(*[F.sum(F.when(F.col(c).isNotNull(), row)).alias(c) for c in columns]).first()
+    groups: dict = {}
+    for c in columns:
+        groups.setdefault(found[c], []).append(c)
+    others = [(g[0], c) for g in groups.values() for c in g[1:]]
+    if others:
+        apart = df.agg(*[F.count_if(F.col(a).isNull() != F.col(c).isNull()).alias(c) for a, c in others]).first()
+        for a, c in others:
+            if apart[c]:
+                groups[found[c]].remove(c)
+                groups[c, "alone"] = [c]
+    return list(groups.values())
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle of the rank correlations of columns."""
-    return spearman_pairs(df, list(combinations(columns, 2)))
+    """Upper triangle of the rank correlations of columns, each over the rows where both are known: (v1, v2, n, rho).
+
+    Columns that miss in the same rows form a group. For every two groups their common rows are ranked once per column,
+    and one sum of products of the centred ranks gives all their pairs: rows are copied once per column and pair of
+    groups, not once per pair of columns.
+    """
+    columns = list(columns)
+    numbers = stored(df.select(F.monotonically_increasing_id().alias("__row"), *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]), "columns")
+    groups = null_patterns(numbers, columns)
+    sets = [(i, j) for i in range(len(groups)) for j in range(i, len(groups))]
+    members = {s: sorted({*groups[s[0]], *groups[s[1]]}, key=columns.index) for s in sets}
+    cells = F.array(*[
+        F.when(F.col(groups[i][0]).isNotNull() & F.col(groups[j][0]).isNotNull(),
+               F.array(*[F.struct(F.lit(k).alias("set"), F.lit(at).alias("at"), F.col(c).alias("value")) for at, c in enumerate(members[i, j])]))
+        for k, (i, j) in enumerate(sets)
+    ])
+    known = F.flatten(F.filter(cells, lambda x: x.isNotNull()))
+    long = stored(numbers.select("__row", F.explode(known).alias("c")).select("__row", "c.*"), "long")
+    ranks = average_ranks(long, "value", ["set", "at"]).select("set", "at", "value", "rank")
+    rows = long.join(ranks, ["set", "at", "value"]).groupBy("set", "__row").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "rank"))), lambda e: e["rank"]).alias("ranks"))
+    sizes = {r["set"]: r["n"] for r in long.filter("at = 0").groupBy("set").agg(F.count("*").alias("n")).collect()}
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            which = np.asarray(batch.column(0))
+            for k in np.unique(which):
+                x = np.array(batch.column(1).filter(pa.array(which == k)).to_pylist(), float) - (sizes[k] + 1) / 2
+                total[k] = total.get(k, 0.0) + x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.ravel().tolist() for v in total.values()], pa.list_(pa.float64()))], names=["set", "sums"])
+
+    products = summed(rows.select("set", "ranks").mapInArrow(gram, "set int, sums array<double>"), ["set"], "sums").collect()  # pairs of columns
+    out = {}
+    for r in products:
+        (i, j), names = sets[r["set"]], members[sets[r["set"]]]
+        g = np.array(r["sums"]).reshape(len(names), -1)
+        for x, a in enumerate(names):
+            for y in range(x + 1, len(names)):
+                b = names[y]
+                if i != j and (a in groups[i]) == (b in groups[i]):
+                    continue  # of one group: its own set has all their rows
+                spread = g[x, x] * g[y, y]
+                out[a, b] = (a, b, int(sizes[r["set"]]), float(g[x, y] / np.sqrt(spread)) if spread > 0 else None)
+    return df.sparkSession.createDataFrame([out[p] for p in combinations(columns, 2) if p in out], "v1 string, v2 string, n bigint, rho double")
 
 
 def strong_pairs(matrix: DataFrame, bound: float = 0.6) -> DataFrame:
