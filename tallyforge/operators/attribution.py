@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash, ratio, round_even
@@ -58,6 +59,58 @@ def attribution_sampled(
     return moved.groupBy(*keys, "variable").agg(F.avg("gain").alias("phi"))
 
 
+def shapley_weights(n: int) -> list[list[float]]:
+    """Per feature, the weight of the value of every coalition (a bit mask) in its Shapley value."""
+    size = [m.bit_count() for m in range(1 << n)]
+    share = [1.0 / (n * math.comb(n - 1, k)) for k in range(n)]
+    return [[share[size[m] - 1] if m >> j & 1 else -share[size[m]] for m in range(1 << n)] for j in range(n)]
+
+
+def attribution_shapley(
+    df: DataFrame, features: Sequence[str], keys: Sequence[str], score: Callable[[DataFrame], DataFrame], background: Sequence[Mapping[str, float]],
+    draws: int = 8, exact_up_to: int = 10, seed: int = 42,
+) -> DataFrame:
+    """Shapley values of any model against stated background rows: (keys, variable, phi, standard_error).
+
+    The value of a coalition is the mean score of the row with all other features taken from the background. With up to
+    `exact_up_to` features all coalitions are scored and the values are exact. Beyond, `draws` coalitions of every size
+    are drawn per row and feature by a hash, the sizes weigh the same, and the standard error follows from the spread
+    inside each size. All hybrids are scored in one pass and summed where they are; `score` adds a column `prediction`.
+    """
+    features, keys, n = list(features), list(keys), len(features)
+    others = F.array(*[F.struct(*[F.lit(float(b[f])).alias(f) for f in features]) for b in background])
+    rows = df.select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
+
+    def hybrids(table: DataFrame, inside: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
+        each = table.withColumn("__other", F.explode(others))
+        return score(each.select(*by, *[F.when(inside[f], F.col(f)).otherwise(F.col(f"__other.{f}")).alias(f) for f in features]))
+
+    if n <= exact_up_to:
+        all_ = rows.withColumn("__mask", F.explode(F.sequence(F.lit(0), F.lit((1 << n) - 1))))
+        inside = {f: F.col("__mask").bitwiseAND(1 << j) != 0 for j, f in enumerate(features)}
+        weights = [F.element_at(F.array(*[F.lit(w) for w in ws]), F.col("__mask") + 1) for ws in shapley_weights(n)]
+        scored = hybrids(all_, inside, [*keys, "__mask"])
+        wide = scored.groupBy(*keys).agg(*[(F.sum(w * F.col("prediction")) / len(background)).alias(f) for w, f in zip(weights, features)])
+        return long_attributions(wide, features, keys).withColumn("standard_error", F.lit(0.0))
+    cells = F.array(*[F.struct(F.lit(f).alias("variable"), F.lit(k).alias("size"), F.lit(d).alias("draw")) for f in features for k in range(n) for d in range(draws)])
+    tries = rows.withColumn("__c", F.explode(cells)).select("*", "__c.*").drop("__c")
+    order = F.array_sort(F.filter(F.array(*[F.struct(key_hash([*keys, "variable", "size", "draw"], f"{seed}{f}").alias("h"), F.lit(f).alias("f")) for f in features]),
+                                  lambda e: e["f"] != F.col("variable")))
+    tries = tries.withColumn("__in", F.transform(F.slice(order, F.lit(1), F.col("size")), lambda e: e["f"])).withColumn("__with", F.explode(F.array(F.lit(False), F.lit(True))))
+    inside = {f: F.array_contains("__in", f) | (F.col("__with") & (F.col("variable") == f)) for f in features}
+    by = [*keys, "variable", "size", "draw"]
+    gains = hybrids(tries, inside, [*by, "__with"]).groupBy(*by).agg(
+        (F.sum(F.when(F.col("__with"), F.col("prediction")).otherwise(-F.col("prediction"))) / len(background)).alias("gain"))
+    per_size = gains.groupBy(*keys, "variable", "size").agg(F.avg("gain").alias("m"), (F.coalesce(F.var_samp("gain"), F.lit(0.0)) / F.count("*")).alias("v"))
+    return per_size.groupBy(*keys, "variable").agg(F.avg("m").alias("phi"), (F.sqrt(F.sum("v")) / n).alias("standard_error"))
+
+
+def column_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """The background row of an average unit."""
+    row = df.agg(*[F.avg(f).alias(f) for f in features]).first()
+    return {f: float(row[f] or 0.0) for f in features}
+
+
 def global_importance(attributions: DataFrame) -> DataFrame:
     return attributions.groupBy("variable").agg(F.avg(F.abs("phi")).alias("importance"))
 

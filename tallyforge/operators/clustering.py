@@ -165,22 +165,75 @@ def pca_scores(df: DataFrame, k: int) -> DataFrame:
     return out.drop("features").withColumnRenamed("scores", "features")
 
 
+@dataclass
+class Axes:
+    """Means, covariance (of a sample), its eigenvalues in falling order, and the axes as columns."""
+
+    means: np.ndarray
+    covariance: np.ndarray
+    values: np.ndarray
+    vectors: np.ndarray
+
+    @property
+    def trace(self) -> float:
+        return float(np.trace(self.covariance))
+
+    def residuals(self) -> np.ndarray:
+        """Length of C v - lambda v for every axis."""
+        return np.linalg.norm(self.covariance @ self.vectors - self.vectors * self.values, axis=0)
+
+
+def principal_axes(df: DataFrame) -> Axes:
+    """From one scan: every task sums its rows' products around the first row's values, one row per task is shuffled,
+    and the driver gets a matrix of the features. The sign of an axis is that of its largest loading."""
+    first = df.select(vector_to_array("features").alias("v")).first()
+    if first is None:
+        return Axes(np.zeros(0), np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0)))
+    shift = np.array(first["v"], float)
+    d = len(shift)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + d + d * d)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = np.asarray(part.column(0).flatten()).reshape(part.num_rows, -1) - shift
+                total += np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["one", "sums"])
+
+    row = summed(df.select(vector_to_array("features").alias("v")).mapInArrow(gather, "one int, sums array<double>"), ["one"], "sums").first()
+    sums = np.array(row["sums"])
+    n, mean = sums[0], sums[1 : 1 + d] / sums[0]
+    covariance = (sums[1 + d :].reshape(d, d) - n * np.outer(mean, mean)) / max(n - 1, 1)
+    values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), range(d)])
+    return Axes(mean + shift, covariance, values, vectors * np.where(signs == 0, 1.0, signs))
+
+
 def pca_variance(df: DataFrame, k: int, share: float = 0.8) -> DataFrame:
-    """(component, explained, cumulative, needed): `needed` marks the components that reach the share."""
-    model = PCA(k=k, inputCol="features", outputCol="scores").fit(df)
-    explained = [float(v) for v in model.explainedVariance]
-    total, rows = 0.0, []
-    for i, e in enumerate(explained):
-        rows.append((i + 1, e, total + e, total < share))
-        total += e
-    return df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double, needed boolean")
+    """(component, explained, cumulative, needed, variance, residual): `needed` marks the components that reach the share,
+    `residual` says how well the axis solves its equation."""
+    axes = principal_axes(df)
+    left, total, rows = axes.residuals(), 0.0, []
+    for i, v in enumerate(axes.values[:k]):
+        explained = float(v) / axes.trace if axes.trace > 0 else 0.0
+        rows.append((i + 1, explained, total + explained, total < share, float(v), float(left[i])))
+        total += explained
+    return df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double, needed boolean, variance double, residual double")
+
+
+def pca_moments(df: DataFrame) -> DataFrame:
+    """(i, j, covariance) for i <= j, and the trace as i = j = -1."""
+    axes = principal_axes(df)
+    rows = [(i, j, float(axes.covariance[i, j])) for i in range(len(axes.means)) for j in range(i, len(axes.means))]
+    return df.sparkSession.createDataFrame([*rows, (-1, -1, axes.trace)], "i int, j int, covariance double")
 
 
 def pca_loadings(df: DataFrame, k: int, names: Sequence[str]) -> DataFrame:
     """Loadings per component, the sign fixed so that the largest one is positive."""
-    pc = PCA(k=k, inputCol="features", outputCol="scores").fit(df).pc.toArray()
-    signs = np.sign(pc[np.abs(pc).argmax(axis=0), range(pc.shape[1])])
-    rows = [(j + 1, n, float(pc[i, j] * signs[j])) for j in range(pc.shape[1]) for i, n in enumerate(names)]
+    pc = principal_axes(df).vectors[:, :k]
+    rows = [(j + 1, n, float(pc[i, j])) for j in range(pc.shape[1]) for i, n in enumerate(names)]
     return df.sparkSession.createDataFrame(rows, "component int, variable string, loading double")
 
 

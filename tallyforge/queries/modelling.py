@@ -453,6 +453,25 @@ def attribution_sampled(spark, sf):
     return out.groupBy("variable").agg(F.avg("phi").alias("mean"), F.avg(F.abs("phi")).alias("importance"), F.count("*").alias("n"))
 
 
+_ATT_LONG = "SELECT person_id, unnest(['hint', 'noise', 'ausente_hint']) AS variable, unnest([hint, noise, ausente_hint]) AS phi FROM aw"
+
+
+@query("attribution_exact", sql(f"SELECT person_id, variable, {R('phi', 6)} AS phi, 0.0::DOUBLE AS standard_error FROM ({_ATT_LONG})", att=_ATT_SRC, aw=_ATT_WIDE))
+def attribution_exact(spark, sf):
+    """All coalitions against the average row: on a linear score the exact additive values."""
+    frame = stored(att_frame(spark, sf), "attribution")
+    out = AT.attribution_shapley(frame, list(_COEF), ["person_id"], _linear_score, [AT.column_means(frame, list(_COEF))])
+    return rounded(out, 6)
+
+
+@query("attribution_stratified", sql(f"SELECT variable, {R('avg(phi)', 5)} AS mean, {R('avg(abs(phi))', 5)} AS importance, count(*) AS n, 0.0::DOUBLE AS standard_error FROM ({_ATT_LONG}) GROUP BY variable", att=_ATT_SRC, aw=_ATT_WIDE))
+def attribution_stratified(spark, sf):
+    """Drawn coalitions of every size: a linear score has the same gain in all of them, so the error is 0."""
+    frame = stored(att_frame(spark, sf), "attribution")
+    out = AT.attribution_shapley(frame, list(_COEF), ["person_id"], _linear_score, [AT.column_means(frame, list(_COEF))], draws=2, exact_up_to=0)
+    return rounded(out.groupBy("variable").agg(F.avg("phi").alias("mean"), F.avg(F.abs("phi")).alias("importance"), F.count("*").alias("n"), F.max("standard_error").alias("standard_error")), 5)
+
+
 _PAIRED = f"""SELECT rep, t.person_id, t.y, t.hint, t.noise, t.ausente_hint, g.hint AS o_hint, g.noise AS o_noise, g.ausente_hint AS o_ausente_hint FROM
  (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY {H('42r', 'rep', 'person_id')}, rep, person_id) AS pos FROM att CROSS JOIN (SELECT unnest([0, 1]) AS rep)) t
  JOIN (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY {H('42g', 'rep', 'person_id')}, rep, person_id) AS pos FROM att CROSS JOIN (SELECT unnest([0, 1]) AS rep)) g USING (rep, pos)"""
@@ -612,6 +631,15 @@ def pca(spark, sf):
     return C.pca_variance(C.as_vectors(embeddings(spark, sf), "v"), 10)
 
 
+_DIMS = "SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM emb"
+
+
+@query("pca_moments", sql(f"""SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, {R('covar_samp(a.x, b.x)', 6)} AS covariance FROM dims a JOIN dims b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY ALL
+ UNION ALL SELECT -1, -1, {R('sum(s)', 6)} FROM (SELECT var_samp(x) AS s FROM dims GROUP BY i)""", emb=_EMB, dims=_DIMS))
+def pca_moments(spark, sf):
+    return rounded(C.pca_moments(C.as_vectors(embeddings(spark, sf), "v")), 6)
+
+
 _PROF = "SELECT area_id, CAST(least(4, level) AS INTEGER) AS cluster, indicator_pct, n_listed, region, least(1.0, greatest(0.0, 1 - indicator_pct/100)) AS risk FROM results JOIN listed USING (area_id, year) JOIN areas USING (area_id) WHERE year = 2000"
 
 

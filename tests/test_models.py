@@ -211,3 +211,38 @@ def test_kmeans_of_all_starts_is_plain_lloyd(spark):
     assert best[3].cost == min(r.cost for r in runs if r.k == 3)
     got = C.assigned(best[3], df).toPandas().sort_values("id")["cluster"].to_numpy()
     assert (got == ((x[:, None] - best[3].centres[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
+
+
+def test_shapley_values_of_a_model_with_interactions(spark):
+    rng = np.random.default_rng(9)
+    names = ["a", "b", "c"]
+    x = rng.normal(size=(6, 3))
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id int, a double, b double, c double")
+    back = [dict(zip(names, map(float, v))) for v in rng.normal(size=(2, 3))]
+    f = lambda v: v[0] * v[1] + np.maximum(v[2], 0.1) * v[0]
+    score = lambda d: d.withColumn("prediction", F.col("a") * F.col("b") + F.greatest("c", F.lit(0.1)) * F.col("a"))
+
+    def value(row, inside):
+        return np.mean([f([row[j] if j in inside else b[n] for j, n in enumerate(names)]) for b in back])
+
+    want = {}
+    for i, row in enumerate(x):
+        for j, n in enumerate(names):
+            rest = [k for k in range(3) if k != j]
+            want[i, n] = sum(w * (value(row, {*s, j}) - value(row, set(s))) for s, w in (((), 1 / 3), ((rest[0],), 1 / 6), ((rest[1],), 1 / 6), (tuple(rest), 1 / 3)))
+    got = {(r.id, r.variable): (r.phi, r.standard_error) for r in AT.attribution_shapley(df, names, ["id"], score, back).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k]) < 1e-9 and got[k][1] == 0 for k in want)
+    drawn = {(r.id, r.variable): (r.phi, r.standard_error) for r in AT.attribution_shapley(df, names, ["id"], score, back, draws=60, exact_up_to=2).collect()}
+    assert all(abs(drawn[k][0] - want[k]) <= 5 * drawn[k][1] + 1e-9 for k in want) and max(e for _, e in drawn.values()) > 0
+
+
+def test_principal_axes_are_numpys(spark):
+    x = np.random.default_rng(10).normal(size=(50, 4)) @ np.diag([3.0, 2.0, 1.0, 0.0]) + 100
+    df = C.as_vectors(spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>"), "v")
+    axes = C.principal_axes(df)
+    np.testing.assert_allclose(axes.covariance, np.cov(x.T), atol=1e-9)
+    np.testing.assert_allclose(axes.values, np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1], atol=1e-9)
+    assert axes.residuals().max() < 1e-9 and abs(axes.values.sum() - axes.trace) < 1e-9
+    rows = C.pca_variance(df, 4).collect()
+    assert abs(rows[-1].cumulative - 1) < 1e-9 and rows[0].needed and not rows[-1].needed
+    assert len(C.principal_axes(df.limit(0)).values) == 0
