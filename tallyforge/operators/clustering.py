@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -148,15 +148,91 @@ def choose_k(df: DataFrame, ks: Sequence[int], keys: Sequence[str], starts: int
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double, davies_bouldin double")
 
 
-def gmm_bic(df: DataFrame, ks: Sequence[int], max_iter: int = 100) -> DataFrame:
-    """Full-covariance mixtures and their BIC."""
-    n, d = df.count(), len(df.select(vector_to_array("features").alias("v")).first()["v"])
-    rows = []
-    for k in ks:
-        ll = GaussianMixture(k=k, seed=SEED, maxIter=max_iter).fit(df).summary.logLikelihood
-        free = (k - 1) + k * d + k * d * (d + 1) // 2
-        rows.append((k, float(ll), free, free * math.log(n) - 2.0 * ll))
-    return df.sparkSession.createDataFrame(rows, "k int, log_likelihood double, parameters int, bic double")
+@dataclass
+class Mixture:
+    """A full-covariance mixture; `path` has the log-likelihood at the beginning of every round."""
+
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray
+    path: list[float]
+    settled: bool = False
+
+    @property
+    def k(self) -> int:
+        return len(self.weights)
+
+    @property
+    def parameters(self) -> int:
+        d = self.means.shape[1]
+        return (self.k - 1) + self.k * d + self.k * d * (d + 1) // 2
+
+    def logs(self, x: np.ndarray) -> np.ndarray:
+        """(rows, components): log of weight times density."""
+        out = []
+        for w, m, c in zip(self.weights, self.means, self.covariances):
+            low = np.linalg.cholesky(c)
+            z = np.linalg.solve(low, (x - m).T)
+            out.append(np.log(max(w, 1e-300)) - 0.5 * (len(m) * math.log(2 * math.pi) + (z * z).sum(axis=0)) - np.log(np.diag(low)).sum())
+        return np.stack(out, axis=1)
+
+
+def mixture_runs(df: DataFrame, ks: Sequence[int], max_iter: int = 100, tolerance: float = 1e-6, floor: float = 1e-6, keys: Sequence[str] = ()) -> tuple[list[Mixture], int]:
+    """(mixtures, rows): expectation-maximisation for every number of components at once. A round is one scan, in which
+    each task sums the moments of its rows' responsibilities for every mixture that still moves. It begins at k-means
+    centres with the covariance of all rows and ends when the log-likelihood gains less than `tolerance` of itself."""
+    axes, vectors = principal_axes(df), df.select(vector_to_array("features").alias("v"))
+    n, d = df.count(), len(axes.means)
+    spread = axes.covariance * max(n - 1, 1) / max(n, 1) + floor * np.eye(d)
+    mixtures = [Mixture(np.maximum(r.sizes, 1) / np.maximum(r.sizes, 1).sum(), r.centres, np.repeat(spread[None], r.k, 0), []) for r in best_runs(kmeans_runs(df, ks, 1, 5, keys)).values()]
+    for turn in range(max_iter + 1):
+        open_ = [m for m in mixtures if not m.settled]
+        if not open_:
+            break
+        for m, (ll, counts, sums, squares) in zip(open_, _responsible(vectors, open_, axes.means)):
+            gain = ll - m.path[-1] if m.path else math.inf
+            m.path.append(ll)
+            m.settled = turn == max_iter or gain <= tolerance * abs(ll)
+            if not m.settled:
+                held = np.maximum(counts, 1e-12)
+                mean = sums / held[:, None]
+                m.weights, m.means = counts / counts.sum(), mean + axes.means
+                m.covariances = squares / held[:, None, None] - mean[:, :, None] * mean[:, None, :] + floor * np.eye(d)
+    return mixtures, n
+
+
+def _responsible(vectors: DataFrame, mixtures: Sequence[Mixture], shift: np.ndarray) -> list[tuple]:
+    """(log-likelihood, counts, sums, products around `shift`) of every mixture's responsibilities, from one scan."""
+    d = len(shift)
+    frozen = [Mixture(m.weights, m.means, m.covariances, []) for m in mixtures]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(1 + m.k * (1 + d + d * d)) for m in frozen]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = np.asarray(part.column(0).flatten()).reshape(part.num_rows, -1)
+                for m, sums in zip(frozen, total):
+                    logs = m.logs(x)
+                    whole = np.logaddexp.reduce(logs, axis=1)
+                    r, y = np.exp(logs - whole[:, None]), x - shift
+                    products = [((y * r[:, [k]]).T @ y).ravel() for k in range(m.k)]
+                    sums += np.concatenate([[whole.sum()], r.sum(axis=0), (r.T @ y).ravel(), *products])
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([np.concatenate(total).tolist()], pa.list_(pa.float64()))], names=["one", "sums"])
+
+    flat, out = np.array(summed(vectors.mapInArrow(gather, "one int, sums array<double>"), ["one"], "sums").first()["sums"]), []
+    for m in mixtures:
+        mine, flat = np.split(flat, [1 + m.k * (1 + d + d * d)])
+        counts, sums, products = np.split(mine[1:], [m.k, m.k * (1 + d)])
+        out.append((float(mine[0]), counts, sums.reshape(m.k, d), products.reshape(m.k, d, d)))
+    return out
+
+
+def gmm_bic(df: DataFrame, ks: Sequence[int], max_iter: int = 100, keys: Sequence[str] = ()) -> DataFrame:
+    """Full-covariance mixtures and their BIC, with the rounds taken."""
+    mixtures, n = mixture_runs(df, ks, max_iter, keys=keys)
+    rows = [(m.k, m.path[-1], m.parameters, m.parameters * math.log(n) - 2.0 * m.path[-1], len(m.path) - 1) for m in mixtures]
+    return df.sparkSession.createDataFrame(rows, "k int, log_likelihood double, parameters int, bic double, rounds int")
 
 
 def pca_scores(df: DataFrame, k: int) -> DataFrame:

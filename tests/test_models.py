@@ -246,3 +246,21 @@ def test_principal_axes_are_numpys(spark):
     rows = C.pca_variance(df, 4).collect()
     assert abs(rows[-1].cumulative - 1) < 1e-9 and rows[0].needed and not rows[-1].needed
     assert len(C.principal_axes(df.limit(0)).values) == 0
+
+
+def test_mixtures_of_all_sizes_climb(spark):
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal((0, 0), 0.5, size=(120, 2)), rng.normal((5, 5), (1.0, 0.3), size=(80, 2))])
+    df = C.as_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>"), "v")
+    mixtures, n = C.mixture_runs(df, [1, 2, 3], 30, keys=["id"])
+    assert [m.k for m in mixtures] == [1, 2, 3] and n == 200
+    for m in mixtures:
+        assert all(b >= a - 1e-4 for a, b in zip(m.path, m.path[1:])), m.path
+        np.testing.assert_allclose(m.path[-1], np.logaddexp.reduce(m.logs(x), axis=1).sum(), rtol=1e-6)
+    one, two = mixtures[0], mixtures[1]
+    np.testing.assert_allclose(one.means[0], x.mean(axis=0), atol=1e-8)
+    np.testing.assert_allclose(one.covariances[0], np.cov(x.T, ddof=0), atol=1e-5)
+    np.testing.assert_allclose(sorted(two.weights), [0.4, 0.6], atol=0.01)
+    rows = {r.k: r for r in C.gmm_bic(df, [1, 2, 3], 30, ["id"]).collect()}
+    assert rows[2].bic < rows[1].bic and rows[2].parameters == 11
+    np.testing.assert_allclose(rows[2].bic, 11 * np.log(200) - 2 * rows[2].log_likelihood)
