@@ -116,12 +116,13 @@ def global_importance(attributions: DataFrame) -> DataFrame:
 
 
 def block_importance(
-    importance: DataFrame, blocks: Mapping[str, Sequence[str]], place_prefixes: Sequence[str] = ("sigla_uf_", "rede_"),
-    place_block: str = "territorio (UF) e rede", missing_prefix: str = "ausente_", rest: str = "outros",
+    importance: DataFrame, blocks: Mapping[str, Sequence[str]], missing_prefix: str, rest: str,
+    place_prefixes: Sequence[str] = (), place_block: str = "place",
 ) -> DataFrame:
     """Share of each block of variables in the total importance, in percent.
 
-    State and network categories form one block; a missing indicator belongs to the block of its variable.
+    Variables that begin with one of the place prefixes form one block; a missing indicator belongs to the block of its
+    variable; all others are `rest`.
     """
     owner = {v: b for b, names in blocks.items() for v in names}
     v = F.col("variable")

@@ -439,7 +439,7 @@ def global_importance(spark, sf):
 @query("block_importance", sql(f"""SELECT block, {R('100*s/sum(s) OVER ()', 1)} AS share_pct FROM (SELECT CASE WHEN variable = 'noise' THEN 'outros' ELSE 'history' END AS block, sum(importance) AS s FROM ({_IMP}) GROUP BY 1)""",
     att=_ATT_SRC, aw=_ATT_WIDE))
 def block_importance(spark, sf):
-    return AT.block_importance(AT.global_importance(_attributions(spark, sf)), {"history": ["hint"]})
+    return AT.block_importance(AT.global_importance(_attributions(spark, sf)), {"history": ["hint"]}, prep.MISSING, "outros")
 
 
 def _linear_score(df):
