@@ -16,9 +16,9 @@ from .common import byte_slices, map_texts
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Trees of the forest, and the values of a signature in each: the longest prefix.
+#: Trees of the forest, and the values of a signature in each: the longest prefix, at which few links may do.
 TREES = 24
-LONGEST = 8
+LONGEST = 6
 #: Prefixes are shortened until so small a part of the links is expected to be missed, or so few links.
 MISSED_SHARE = 1e-6
 MISSED = 1e-3

@@ -217,7 +217,7 @@ def test_shortening_goes_on_until_links_at_the_threshold_are_met(spark, monkeypa
         rows[2 * i], rows[2 * i + 1] = " ".join(words), " ".join(words[11:] + [f"{i}+{k}" for k in range(11)])
     got = jaccard.similar_docs(spark.createDataFrame(list(rows.items()), "doc_id bigint, text string"), trees=4).collect()
     assert {r.doc_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_docs(rows)
-    assert depths == list(range(8, depths[-1] - 1, -1)) and depths[-1] <= 2 and rng
+    assert depths == list(range(jaccard.LONGEST, depths[-1] - 1, -1)) and depths[-1] <= 2 and rng
 
 
 def test_chains_of_candidates_are_not_compared_pair_by_pair(spark):
