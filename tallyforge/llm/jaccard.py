@@ -23,7 +23,7 @@ LONGEST = 6
 MISSED_SHARE = 1e-6
 MISSED = 1e-3
 #: Documents of a chunk, and rows of small blocks that share a task's group.
-CHUNK = 256
+CHUNK = 1024
 SHARED = 1024
 #: Similarities of links are counted in so many steps between the threshold and 1.
 STEPS = 40
