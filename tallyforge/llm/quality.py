@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from operator import eq
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import byte_slices, map_texts
 
 #: Documents that a fit takes at most, the lines and characters of the longest that it takes, and lines in all.
 FIT_DOCS = 3000
@@ -35,6 +36,10 @@ def _class_table() -> np.ndarray:
 TABLE = _class_table()
 OWN = len(CLASSES) + 2 + 6  # shares, then word and repetition features
 WIDTH = 1 + 3 * OWN
+#: Characters of lines that are described at a time, and bytes of texts that are scored at a time.
+LOT = 1 << 19
+SCORED = 2 << 20
+_SPACE = re.compile(r"\s")
 
 
 def split_lines(text: str | None) -> list[str]:
@@ -42,9 +47,36 @@ def split_lines(text: str | None) -> list[str]:
     return (text or "").split("\n")
 
 
-def own_features(docs: list[list[str]]) -> np.ndarray:
-    """(lines, OWN) for the lines of all documents, one below the other."""
-    lines = [x for d in docs for x in d]
+def _word_counts(line: str) -> tuple[int, int, int]:
+    """Words, distinct words, and words like the one before. Long lines are split into words piece by piece."""
+    if len(line) <= LOT:
+        w = line.split()
+        return len(w), len(set(w)), sum(map(eq, w, w[1:]))
+    n, repeats, seen, last, at = 0, 0, set(), [], 0
+    while at < len(line):
+        space = _SPACE.search(line, at + LOT)
+        end = space.start() if space else len(line)
+        w = last + line[at:end].split()
+        n += len(w) - len(last)
+        repeats += sum(map(eq, w, w[1:]))
+        seen.update(w)
+        last, at = w[-1:], end
+    return n, len(seen), repeats
+
+
+def _lots(lines: list[str]) -> Iterator[slice]:
+    """Runs of lines of about LOT characters, a line end counted as one."""
+    ends = np.cumsum([len(x) + 1 for x in lines])
+    start = 0
+    while start < len(lines):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + LOT, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def _lot_features(lines: list[str], repeated: list[bool]) -> np.ndarray:
+    """(lines, OWN) of some lines; `repeated`: does the line's document hold it more than once?"""
     raw = [x.encode("utf-8") for x in lines]
     sizes = np.array([len(r) for r in raw])
     codes = TABLE[np.frombuffer(b"".join(raw), dtype=np.uint8)]
@@ -56,29 +88,50 @@ def own_features(docs: list[list[str]]) -> np.ndarray:
         total = np.zeros(len(codes) + 1, np.int32 if len(codes) < 1 << 31 else np.int64)
         np.cumsum(codes == k, out=total[1:])
         out[:, k] = np.sqrt((total[ends] - total[starts]) / np.maximum(sizes, 1))
-    seen = [Counter(d) for d in docs]
-    words = [x.split() for x in lines]
-    many = np.maximum([len(w) for w in words], 1)
+    words, distinct, repeats = np.array([_word_counts(x) for x in lines]).T
+    many = np.maximum(words, 1)
     out[:, n] = np.log1p(sizes) / 6
     out[:, n + 1] = np.log1p(sizes / many) / 3
-    out[:, n + 2] = np.array([len(set(w)) for w in words]) / many
-    out[:, n + 3] = np.array([sum(map(eq, w, w[1:])) for w in words]) / many
-    out[:, n + 4] = [seen[k][x] > 1 for k, d in enumerate(docs) for x in d]
+    out[:, n + 2] = distinct / many
+    out[:, n + 3] = repeats / many
+    out[:, n + 4] = repeated
     out[:, n + 5] = sizes < 20
     return out
 
 
-def line_features(docs: list[list[str]]) -> np.ndarray:
-    """(lines, WIDTH): a constant, the line's own features and those of the lines before and after it."""
-    own = own_features(docs)
-    lengths = np.array([len(d) for d in docs])
+def own_features(docs: list[list[str]]) -> Iterator[np.ndarray]:
+    """(lines, OWN) for the lines of all documents, one below the other, in lots."""
+    lines = [x for d in docs for x in d]
+    seen = [Counter(d) for d in docs]
+    repeated = [seen[k][x] > 1 for k, d in enumerate(docs) for x in d]
+    for lot in _lots(lines):
+        yield _lot_features(lines[lot], repeated[lot])
+
+
+def _neighbours(of_before: np.ndarray, of_after: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the line before and of the line after; zero where a document has none."""
     ends = np.cumsum(lengths)
-    before, after = np.roll(own, 1, axis=0), np.roll(own, -1, axis=0)
+    before, after = np.roll(of_before, 1, axis=0), np.roll(of_after, -1, axis=0)
     before[ends - lengths] = 0
     after[ends - 1] = 0
+    return before, after
+
+
+def line_features(docs: list[list[str]]) -> np.ndarray:
+    """(lines, WIDTH): a constant, the line's own features and those of the lines before and after it."""
+    own = np.concatenate(list(own_features(docs)))
+    before, after = _neighbours(own, own, np.array([len(d) for d in docs]))
     return np.hstack([np.ones((len(own), 1)), own, before, after])
 
 
+def line_values(docs: list[list[str]], weights: np.ndarray) -> np.ndarray:
+    """`line_features(docs) @ weights`, of which three numbers a line are held and not the features."""
+    parts = weights[1:].reshape(3, OWN).T
+    seen = np.concatenate([own @ parts for own in own_features(docs)])
+    before, after = _neighbours(seen[:, 1], seen[:, 2], np.array([len(d) for d in docs]))
+    return weights[0] + seen[:, 0] + before + after
+
+
 def _padded(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Documents by falling length, and how many of them have a line at each position."""
     order = np.argsort(-lengths, kind="stable")
@@ -130,7 +183,7 @@ class LineField:
     def good_lines(self, docs: list[list[str]]) -> np.ndarray:
         """Probability that each line is good."""
         lengths = np.array([len(d) for d in docs])
-        values = line_features(docs) @ self.weights
+        values = line_values(docs, self.weights)
         return marginals(np.stack([np.zeros_like(values), values], axis=1), self.trans, lengths)[1][:, 1]
 
     def means(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -225,10 +278,20 @@ def score_docs(docs: DataFrame, field: LineField, keep: Sequence[str] = ("doc_id
         mean, share = field.means([split_lines(t) for t in texts])
         return [pa.array(field.score(mean)), pa.array(share)]
 
-    return map_texts(docs, work, "score double, good_share double", keep, text, most=2 << 20)
+    return map_texts(docs, work, "score double, good_share double", keep, text, most=SCORED)
 
 
 def keep_good(docs: DataFrame, field: LineField, threshold: float = 0.7, text: str = "text") -> DataFrame:
-    """The rows whose score reaches the threshold, as they were."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{text}`").alias("__text_in"))
-    return score_docs(packed, field, ["__row"], "__text_in").filter(F.col("score") >= threshold).select("__row.*")
+    """The rows whose score reaches the threshold, as they were. The texts, a string column, go to the workers once, and
+    only the rows that stay come back."""
+    names, at = docs.columns, docs.columns.index(text)
+    # Numbered names: Spark cannot pass columns whose names hold a dot to mapInArrow.
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"__{k}") for k, c in enumerate(names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, at, SCORED):
+                mean, _ = field.means([split_lines(t) for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(field.score(mean) >= threshold))
+
+    return rows.mapInArrow(run, rows.schema).select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(names)])

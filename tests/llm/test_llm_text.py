@@ -486,3 +486,27 @@ def test_scores_do_not_depend_on_the_batch(spark):
     field = quality.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
     one, many = (quality.score_docs(d, field).orderBy("doc_id").collect() for d in (docs.coalesce(1), docs.repartition(7)))
     assert np.allclose([r.score for r in one], [r.score for r in many]) and docs.select(F.count("doc_id")).first()[0] == len(one)
+
+
+def test_lines_are_described_alike_in_lots(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["aa", "aa", "b!", "C3", "é", "\x1f", " ", "\t", "dd dd"]
+    docs = [[" ".join(rng.choice(words, rng.integers(0, 40))) for _ in range(rng.integers(1, 9))] for _ in range(40)] + [[""], ["", ""]]
+    whole, weights = quality.line_features(docs), rng.normal(size=quality.WIDTH)
+    counts = [quality._word_counts(x) for d in docs for x in d]
+    monkeypatch.setattr(quality, "LOT", 17)
+    assert len(list(quality.own_features(docs))) > 100
+    assert np.array_equal(quality.line_features(docs), whole)
+    assert np.allclose(quality.line_values(docs, weights), whole @ weights)
+    assert [quality._word_counts(x) for d in docs for x in d] == counts
+
+
+def test_kept_documents_are_rows_as_they_were(spark):
+    rows = [(k, t, 1.5, "x", {"a": [1, None]}) for k, t in enumerate([None, "", "a good line of text here.\n" * 3, "XX!! YY!! ZZ!!", "a good line of text here."])]
+    docs = spark.createDataFrame(rows + rows[2:4], "doc_id bigint, text string, score double, `a.b` string, extra map<string,array<int>>")
+    field = quality.fit_field([["a good line of text here."]] * 5 + [["XX!! YY!! ZZ!!"]] * 5, [1] * 5 + [0] * 5)
+    scores = {r.doc_id: r.score for r in quality.score_docs(docs.drop("score"), field).collect()}
+    kept = quality.keep_good(docs, field, 0.6)
+    assert kept.dtypes == docs.dtypes
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows + rows[2:4] if scores[r[0]] >= 0.6), key=str)
+    assert {2, 4} <= {r.doc_id for r in kept.collect()} and 3 not in {r.doc_id for r in kept.collect()}
