@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -35,6 +36,25 @@ def byte_slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) ->
         start = stop
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, which Arrow and the C library (glibc) keep for later."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, then `give_back`: Python workers outlive their tasks, and what idle ones keep is missing in later stages."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidy
+
+
 def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, keep: Sequence[str], text: str = "text",
               as_arrow: bool = False, most: int = BATCH_BYTES) -> DataFrame:
     """The `keep` columns of every row plus the columns `fields` that `work(texts)` returns for a list of texts.
@@ -55,4 +75,4 @@ def map_texts(docs: DataFrame, work: Callable[[list], Sequence], fields: str, ke
                 made = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in work(part.column(at) if as_arrow else part.column(at).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], *made], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .blocks import FOUND, components, join_trees
-from .common import byte_slices, map_texts
+from .common import byte_slices, giving_back, map_texts
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -125,7 +125,7 @@ def trie_nodes(known: DataFrame, depth: int, trees: int, longest: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([id_, pa.array(tree), pa.array(node.ravel().view(np.int64)), pa.array(np.ascontiguousarray(child).ravel().view(np.int64))],
                                                  names=["id", "tree", "node", "child"])
 
-    return known.select("id", "signed").mapInArrow(run, "id bigint, tree int, node bigint, child bigint")
+    return known.select("id", "signed").mapInArrow(giving_back(run), "id bigint, tree int, node bigint, child bigint")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -138,7 +138,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                 v = pa.array([shingles(t, words).tobytes() for t in part.column(3).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], v], names=["id", "copies", "keys", "v"])
 
-    return rows.select("id", "copies", "keys", "text").mapInArrow(run, schema)
+    return rows.select("id", "copies", "keys", "text").mapInArrow(giving_back(run), schema)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -250,7 +250,7 @@ def _keyed(rows: DataFrame, depth: int, trees: int, longest: int) -> DataFrame:
             made = pa.array([r.tobytes() for r in keys], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made, batch.column(3)], names=["id", "copies", "keys", "text"])
 
-    return rows.select("id", "copies", "signed", "text").mapInArrow(run, "id bigint, copies bigint, keys binary, text string")
+    return rows.select("id", "copies", "signed", "text").mapInArrow(giving_back(run), "id bigint, copies bigint, keys binary, text string")
 
 
 def similar_docs(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES, longest: int = LONGEST,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import stored
-from .common import byte_slices
+from .common import byte_slices, giving_back
 from .piececoder import SLICE, json_coder
 
 CAPACITY = 2048
@@ -64,7 +64,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
                 numbers = [pa.array(x, pa.int64()) for x in (start, length, crc, tokens)]
                 yield pa.RecordBatch.from_arrays([lot.column(0).take(pa.array(at, pa.int64())), *numbers, *([pa.array(kept, pa.binary())] if with_ids else [])], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def differencing(sizes: Sequence[int], windows: int) -> list[list[int]]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, map_texts
+from .common import byte_slices, giving_back, map_texts
 
 #: Documents that a fit takes at most, the lines and characters of the longest that it takes, and lines in all.
 FIT_DOCS = 3000
@@ -294,4 +294,4 @@ def keep_good(docs: DataFrame, field: LineField, threshold: float = 0.7, text: s
                 mean, _ = field.means([split_lines(t) for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array(field.score(mean) >= threshold))
 
-    return rows.mapInArrow(run, rows.schema).select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(names)])
+    return rows.mapInArrow(giving_back(run), rows.schema).select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(names)])
