@@ -277,7 +277,8 @@ def residual_thresholds(residuals: DataFrame, residual: str, keys: Sequence[str]
     reps = F.sequence(F.lit(0), F.lit(resamples - 1))
     picked = F.transform(reps, lambda r: key_hash([r, F.col("slot")], seed) % F.col("n"))
     named = _named_slots(placed.select(picked.alias("picked")), resamples)
-    drawn = stored(named.join(placed.filter("v is not null").select("slot", "v"), "slot").select("v", "reps"), "drawn")
+    # Spark takes the size of `named` for that of its input and would send it whole to every task: both sides are shuffled.
+    drawn = stored(named.hint("merge").join(placed.filter("v is not null").select("slot", "v"), "slot").select("v", "reps"), "drawn")
 
     def spots(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Range, resample and value of every draw of a batch."""
