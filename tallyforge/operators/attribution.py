@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash, ratio, round_even
-from .ordered import hash_positions, hash_sample
+from .ordered import hash_positions, hash_sample, range_count
 from .resampling import point_metric
 
+# Sums that one task keeps at once.
+PART_SUMS = 1_000_000
+
 
 def attribution_linear(df: DataFrame, coefficients: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
     """Exact additive attribution of a linear model, wide: coefficient times distance from the column's mean."""
@@ -75,7 +78,8 @@ def attribution_shapley(
     The value of a coalition is the mean score of the row with all other features taken from the background. With up to
     `exact_up_to` features all coalitions are scored and the values are exact. Beyond, `draws` coalitions of every size
     are drawn per row and feature by a hash, the sizes weigh the same, and the standard error follows from the spread
-    inside each size. All hybrids are scored in one pass and summed where they are; `score` adds a column `prediction`.
+    inside each size. All hybrids are scored in one pass and summed where they are; `score` adds a column `prediction` and
+    keeps the others.
     """
     features, keys, n = list(features), list(keys), len(features)
     others = F.array(*[F.struct(*[F.lit(float(b[f])).alias(f) for f in features]) for b in background])
@@ -93,15 +97,20 @@ def attribution_shapley(
         wide = scored.groupBy(*keys).agg(*[(F.sum(w * F.col("prediction")) / len(background)).alias(f) for w, f in zip(weights, features)])
         return long_attributions(wide, features, keys).withColumn("standard_error", F.lit(0.0))
     cells = F.array(*[F.struct(F.lit(f).alias("variable"), F.lit(k).alias("size"), F.lit(d).alias("draw")) for f in features for k in range(n) for d in range(draws)])
-    tries = rows.withColumn("__c", F.explode(cells)).select("*", "__c.*").drop("__c")
+    # Rows go by key to parts of a bounded number of sums before they multiply: all that follows stays in its task.
+    parts = max(range_count(df.sparkSession), math.ceil(rows.count() * n * n / PART_SUMS))
+    tries = rows.repartition(parts, *keys).withColumn("__c", F.explode(cells)).select("*", "__c.*").drop("__c")
     order = F.array_sort(F.filter(F.array(*[F.struct(key_hash([*keys, "variable", "size", "draw"], f"{seed}{f}").alias("h"), F.lit(f).alias("f")) for f in features]),
                                   lambda e: e["f"] != F.col("variable")))
-    tries = tries.withColumn("__in", F.transform(F.slice(order, F.lit(1), F.col("size")), lambda e: e["f"])).withColumn("__with", F.explode(F.array(F.lit(False), F.lit(True))))
-    inside = {f: F.array_contains("__in", f) | (F.col("__with") & (F.col("variable") == f)) for f in features}
+    tries = tries.withColumn("__in", F.transform(F.slice(order, F.lit(1), F.col("size")), lambda e: e["f"])).withColumn("__other", F.explode(others))
     by = [*keys, "variable", "size", "draw"]
-    gains = hybrids(tries, inside, [*by, "__with"]).groupBy(*by).agg(
-        (F.sum(F.when(F.col("__with"), F.col("prediction")).otherwise(-F.col("prediction"))) / len(background)).alias("gain"))
-    per_size = gains.groupBy(*keys, "variable", "size").agg(F.avg("gain").alias("m"), (F.coalesce(F.var_samp("gain"), F.lit(0.0)) / F.count("*")).alias("v"))
+    without = score(tries.select(*by, F.struct(*features).alias("__own"), *[F.when(F.array_contains("__in", f), F.col(f)).otherwise(F.col(f"__other.{f}")).alias(f) for f in features]))
+    joined = without.select(*by, F.col("prediction").alias("__without"), *[F.when(F.col("variable") == f, F.col(f"__own.{f}")).otherwise(F.col(f)).alias(f) for f in features])
+    gain = (F.col("prediction") - F.col("__without")) / len(background)
+    sums = score(joined).groupBy(*keys, "variable", "size").agg(*[F.sum(F.when(F.col("draw") == d, gain)).alias(f"__g{d}") for d in range(draws)])
+    mean = sum((F.col(f"__g{d}") for d in range(draws)), F.lit(0.0)) / draws
+    spread = sum(((F.col(f"__g{d}") - F.col("__m")) * (F.col(f"__g{d}") - F.col("__m")) for d in range(draws)), F.lit(0.0)) / (max(1, draws - 1) * draws)
+    per_size = sums.withColumn("__m", mean).select(*keys, "variable", F.col("__m").alias("m"), spread.alias("v"))
     return per_size.groupBy(*keys, "variable").agg(F.avg("m").alias("phi"), (F.sqrt(F.sum("v")) / n).alias("standard_error"))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyforge.operators import attribution as AT
 from tallyforge.operators import resampling as RS
 
 
@@ -27,3 +28,12 @@ def test_draws_of_residuals_are_not_broadcast(spark, monkeypatch):
     assert RS.residual_thresholds(df, "v", ["id"], 20).count() == 20
     (plan,) = plans["drawn"]
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_drawn_coalitions_shuffle_rows_and_not_hybrids(spark):
+    df = spark.range(50).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"))
+    score = lambda d: d.withColumn("prediction", F.col("a") * 2 + F.col("b") * F.col("c"))
+    out = AT.attribution_shapley(df, ["a", "b", "c"], ["id"], score, [{"a": 0.0, "b": 1.0, "c": 0.5}], draws=2, exact_up_to=0)
+    plan = plan_of(out)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")
+    assert out.count() == 150
