@@ -25,7 +25,10 @@ from .graph import connected_components
 from .ordered import hash_sample, medians
 
 SEED = 42
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 16_384  # of one side of a block
+TILE_ROWS = 256
+PAIRS = 16_384  # measured at once
+REACH_POINTS = 256
 
 # Task functions travel with their helpers, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -444,87 +447,134 @@ _BLOCK = ["home", "home_chunk", "at", "chunk"]
 
 def distinct_points(df: DataFrame, vector: str, key: str) -> DataFrame:
     """(id, v, m): one row per distinct vector with its smallest id and its number of copies."""
-    return df.groupBy(F.col(vector).cast("array<double>").alias("v")).agg(F.min(key).cast("bigint").alias("id"), F.count("*").alias("m"))
+    known = df.select(F.col(vector).cast("array<double>").alias("v"), F.col(key).cast("bigint").alias("id")).filter("v is not null")
+    return known.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m"))
 
 
-def _grid(points: DataFrame, width: float, axes: int) -> tuple[DataFrame, DataFrame]:
-    """Points with their cell and chunk, and the blocks (chunk of a cell, chunk of a cell nearby) to compare.
+def _widest(points: DataFrame, axes: int) -> list[int]:
+    spans = _long_vector(points, "v").groupBy("dim").agg(F.variance("value").alias("s")).orderBy(F.desc("s"), "dim").limit(axes)
+    return [r["dim"] for r in spans.collect()]
+
+
+def _celled(points: DataFrame, width: float, dims: Sequence[int]) -> DataFrame:
+    """Points with their cell: two points within `width` differ by at most `width` on every axis, so they lie in the same
+    or in neighbouring cells of a grid over the widest axes."""
+    return points.withColumn("cell", F.array(*[F.floor(F.col("v")[d] / F.lit(width)).cast("bigint") for d in dims]))
+
 
-    Two points within `width` differ by at most `width` on every axis, so they lie in the same or in
-    neighbouring cells of a grid over the widest axes. A crowded cell is cut into chunks of bounded size.
-    Blocks are found on the table of cells, so a point is copied once per block it really takes part in.
+def _chunks(celled: DataFrame) -> DataFrame:
+    """(cell, chunks): a crowded cell is cut into chunks of bounded size."""
+    return stored(celled.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int")).alias("chunks")), "cells")
+
+
+def _renamed(df: DataFrame, **names: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+
+
+def _per_block(asking: DataFrame, targets: DataFrame | None, axes: int, work, schema: str) -> DataFrame:
+    """Runs `work(asking rows, target rows)` for every block: a chunk of a cell and a chunk of a cell nearby, each of about
+    BLOCK_ROWS rows at most. Blocks are found on the tables of cells, so a point is copied once per block it takes part in.
+    Without targets the points meet each other, and of two mirrored blocks only one is run.
     """
-    spans = _long_vector(points, "v").groupBy("dim").agg(F.variance("value").alias("s")).orderBy(F.desc("s"), "dim").limit(axes)
-    dims = [r["dim"] for r in spans.collect()]
-    cell = F.array(*[F.floor(F.col("v")[d] / F.lit(width)).cast("bigint") for d in dims])
-    celled = points.withColumn("cell", cell)
-    sizes = celled.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int")).alias("chunks"))
-    sizes = stored(sizes, "cells")
-    placed = celled.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).drop("chunks")
-
-    near = sizes.select(F.col("cell").alias("home"), F.col("chunks").alias("home_chunks"), F.array().cast("array<bigint>").alias("at"))
+    homes = _chunks(asking)
+    ats = homes if targets is None else _chunks(targets)
+    near = homes.select(F.col("cell").alias("home"), F.col("chunks").alias("home_chunks"), F.array().cast("array<bigint>").alias("at"))
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    for i in range(len(dims)):
+    for i in range(axes):
         near = near.select("home", "home_chunks", F.explode(steps).alias("d"), "at").select(
             "home", "home_chunks", F.concat("at", F.array(F.col("home")[i] + F.col("d"))).alias("at"))
-    met = near.join(sizes.select(F.col("cell").alias("at"), "chunks"), "at")
+    met = near.join(ats.select(F.col("cell").alias("at"), "chunks"), "at")
     blocks = met.withColumn("home_chunk", F.explode(F.sequence(F.lit(0), F.col("home_chunks") - 1))).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return stored(placed, "placed"), stored(blocks.select(*_BLOCK), "blocks")
+    if targets is None:
+        blocks = blocks.filter(F.struct("home", "home_chunk") <= F.struct(F.col("at").alias("home"), F.col("chunk").alias("home_chunk")))
+    blocks = stored(blocks.select(*_BLOCK), "blocks")
 
+    def placed(points: DataFrame, sizes: DataFrame) -> DataFrame:
+        return points.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).drop("chunks")
 
-def _renamed(df: DataFrame, **names: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+    left = _renamed(placed(asking, homes), cell="home", chunk="home_chunk").join(blocks, ["home", "home_chunk"])
+    right = _renamed(placed(asking if targets is None else targets, ats), cell="at").join(_renamed(blocks), ["at", "chunk"])
+    return left.groupBy(*_BLOCK).cogroup(right.groupBy(*_BLOCK)).applyInPandas(work, schema)
 
 
-def _per_block(asking: DataFrame, targets: DataFrame, blocks: DataFrame, work, schema: str) -> DataFrame:
-    """Runs `work(asking rows, target rows)` for every block, each of about 2 x BLOCK_ROWS rows at most."""
-    left = _renamed(asking, cell="home", chunk="home_chunk").join(blocks, ["home", "home_chunk"])
-    right = _renamed(_renamed(targets, cell="at").join(_renamed(blocks), ["at", "chunk"]))
-    return left.groupBy(*_BLOCK).cogroup(right.groupBy(*_BLOCK)).applyInPandas(work, schema)
+def _points(pdf: pd.DataFrame) -> np.ndarray:
+    return np.array(pdf["v"].tolist(), dtype=float)
 
 
-def _distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
-    x, y = np.array(a["v"].tolist(), dtype=float), np.array(b["v"].tolist(), dtype=float)
-    out = np.empty((len(x), len(y)))
-    for i in range(0, len(x), 256):
-        diff = x[i : i + 256, None, :] - y[None, :, :]
-        out[i : i + 256] = np.sqrt((diff * diff).sum(axis=2))
+def _exact(x: np.ndarray, y: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Distances of the pairs (x[r], y[c])."""
+    out = np.empty(len(r))
+    for i in range(0, len(r), PAIRS):
+        diff = x[r[i : i + PAIRS]] - y[c[i : i + PAIRS]]
+        out[i : i + PAIRS] = np.sqrt((diff * diff).sum(axis=1))
     return out
 
 
-def _counts(placed: DataFrame, blocks: DataFrame, eps: float) -> DataFrame:
+def _squares(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, np.ndarray, float]]:
+    """Tiles of squared distances by matrix products: (first row of x, tile, bound of its error). Where squares leave the
+    range of doubles the bound is infinite, and all pairs of a tile have to be measured."""
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    right = np.hstack([-2.0 * y, yy[:, None], np.ones((len(y), 1))]).T.copy()
+    left = np.hstack([x, np.ones((len(x), 1)), xx[:, None]])
+    top = yy.max(initial=0.0)
+    for i in range(0, len(x), TILE_ROWS):
+        bound = 8.0 * (x.shape[1] + 4) * np.finfo(float).eps * (xx[i : i + TILE_ROWS].max() + top)
+        if np.isfinite(bound):
+            yield i, left[i : i + TILE_ROWS] @ right, bound
+        else:
+            yield i, np.zeros((len(left[i : i + TILE_ROWS]), len(y))), np.inf
+
+
+def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of x and of y at most eps apart, tile by tile; pairs too close to eps for a matrix product are measured."""
+    for i, squares, bound in _squares(x, y):
+        bound += 1e-14 * eps * eps
+        flat = np.flatnonzero(squares.ravel() <= eps * eps + bound)
+        r, c = np.divmod(flat, len(y))
+        r += i
+        doubt = np.flatnonzero(~(squares.ravel()[flat] <= eps * eps - bound))
+        keep = np.ones(len(flat), bool)
+        keep[doubt] = _exact(x, y, r[doubt], c[doubt]) <= eps
+        yield r[keep], c[keep]
+
+
+def _counts(celled: DataFrame, axes: int, eps: float) -> DataFrame:
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"id": [], "n": []}).astype("int64")
-        return pd.DataFrame({"id": a["id"], "n": (_distances(a, b) <= eps) @ b["m"].to_numpy()})
+        of_a, of_b = np.zeros(len(a)), np.zeros(len(b))
+        for r, c in _pairs_within(_points(a), _points(b), eps):
+            of_a += np.bincount(r, weights=b["m"].to_numpy()[c], minlength=len(a))
+            of_b += np.bincount(c, weights=a["m"].to_numpy()[r], minlength=len(b))
+        ids, n = a["id"].to_numpy(), of_a
+        if a["id"].min() != b["id"].min():  # chunks are the same or share no point
+            ids, n = np.r_[ids, b["id"].to_numpy()], np.r_[n, of_b]
+        return pd.DataFrame({"id": ids, "n": n.astype("int64")})
 
-    return _per_block(placed, placed, blocks, count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return _per_block(celled, None, axes, count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def neighbour_counts(df: DataFrame, vector: str, key: str, eps: float, axes: int = 3) -> DataFrame:
     """(id, n): points within eps of each distinct point, itself and its copies included. Blocks return counts, not pairs."""
-    return _counts(*_grid(distinct_points(df, vector, key), eps, axes), eps)
-
-
-def _forest_edges(a_ids: np.ndarray, b_ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
-    """Enough edges to keep the connections of a block: at most one per point, however dense the block."""
-    parent: dict[int, int] = {}
+    points = stored(distinct_points(df, vector, key), "points")
+    dims = _widest(points, axes)
+    return _counts(_celled(points, eps, dims), len(dims), eps)
 
-    def find(i: int) -> int:
-        while parent.setdefault(i, i) != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
-    edges = []
-    for i, row in zip(a_ids, linked):
-        for j in b_ids[row]:
-            ri, rj = find(int(i)), find(int(j))
-            if ri != rj:
-                parent[max(ri, rj)] = min(ri, rj)
-                edges.append((int(i), int(j)))
-    return edges
+def _hooked(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Parents, all of them roots, after joining the trees of u and v; a root is the smallest of its tree."""
+    while len(u):
+        pu, pv = parent[u], parent[v]
+        apart = pu != pv
+        u, v = u[apart], v[apart]
+        np.minimum.at(parent, np.maximum(pu, pv)[apart], np.minimum(pu, pv)[apart])
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent = up
+    return parent
 
 
 def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, axes: int = 3) -> DataFrame:
@@ -533,28 +583,36 @@ def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, ax
     A border point joins the cluster with the smallest id among its core neighbours. Copies of a point count
     as neighbours of each other but are measured once.
     """
-    placed, blocks = _grid(distinct_points(df, vector, key), eps, axes)
-    counts = _counts(placed, blocks, eps).select("id", (F.col("n") >= min_points).alias("core"))
-    placed = stored(placed.join(counts, "id"), "core")
+    points = stored(distinct_points(df, vector, key), "points")
+    dims = _widest(points, axes)
+    celled = _celled(points, eps, dims)
+    counts = _counts(celled, len(dims), eps).select("id", (F.col("n") >= min_points).alias("core"))
+    placed = stored(celled.join(counts, "id"), "core")
     cores, others = placed.filter("core"), placed.filter(~F.col("core"))
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        edges: list[tuple[int, int]] = []
+        """Enough edges to keep the connections of a block: at most one per point, however dense the block."""
+        ids = np.union1d(a["id"].to_numpy(), b["id"].to_numpy())
+        tree = np.arange(len(ids))
         if len(a) and len(b):
-            edges = _forest_edges(a["id"].to_numpy(), b["id"].to_numpy(), _distances(a, b) <= eps)
-        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+            at_a, at_b = np.searchsorted(ids, a["id"].to_numpy()), np.searchsorted(ids, b["id"].to_numpy())
+            for r, c in _pairs_within(_points(a), _points(b), eps):
+                tree = _hooked(tree, at_a[r], at_b[c])
+        held = np.flatnonzero(tree != np.arange(len(ids)))
+        return pd.DataFrame({"a": ids[held], "b": ids[tree[held]]}).astype("int64")
 
-    labels = connected_components(cores.select("id"), _per_block(cores, cores, blocks, link, "a bigint, b bigint"))
+    labels = stored(connected_components(cores.select("id"), _per_block(cores, None, len(dims), link, "a bigint, b bigint")), "labels")
 
     def border(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "component": []}).astype("int64")
-        near = _distances(a, b) <= eps
-        best = np.where(near, b["component"].to_numpy()[None, :], np.iinfo(np.int64).max).min(1)
-        hit = near.any(1)
-        return pd.DataFrame({"id": a["id"].to_numpy()[hit], "component": best[hit]})
+        best = np.full(len(a), np.iinfo(np.int64).max)
+        if len(a) and len(b):
+            component = b["component"].to_numpy()
+            for r, c in _pairs_within(_points(a), _points(b), eps):
+                np.minimum.at(best, r, component[c])
+        hit = best < np.iinfo(np.int64).max
+        return pd.DataFrame({"id": a["id"].to_numpy()[hit], "component": best[hit]}).astype("int64")
 
-    touched = _per_block(others, cores.join(labels, "id"), blocks, border, "id bigint, component bigint")
+    touched = _per_block(others, cores.join(labels, "id"), len(dims), border, "id bigint, component bigint")
     joined = touched.groupBy("id").agg(F.min("component").alias("component")).unionByName(labels)
     found = placed.select("id", "v").join(joined, "id", "left").select("v", F.coalesce("component", F.lit(-1)).alias("cluster"))
     return df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(found, "v").select("id", "cluster")
@@ -576,36 +634,72 @@ def eps_grid(df: DataFrame, vector: str, key: str, grid: Sequence[float], min_po
     return out
 
 
+def _nearest(a: pd.DataFrame, b: pd.DataFrame, k: int, limit: float) -> pd.DataFrame:
+    """(id, d): per row of a the k smallest distances to rows of b, copies counted, none above `limit`."""
+    ids, out = [np.empty(0, np.int64)], [np.empty(0)]
+    if len(a) and len(b):
+        x, y, copies = _points(a), _points(b), np.minimum(b["m"].to_numpy(), k)
+        # The k-th smallest of the minima of at least k groups of columns is no less than the k-th smallest of all.
+        groups = max(64, 4 * k)
+        for i, squares, bound in _squares(x, y):
+            cap = np.full(len(squares), limit * limit)
+            if len(y) >= groups:
+                minima = squares[:, : len(y) // groups * groups].reshape(len(squares), -1, groups).min(axis=1)
+                cap = np.minimum(cap, np.partition(minima, k - 1, axis=1)[:, k - 1])
+            cap += 2.0 * bound + 1e-14 * cap
+            r, c = np.divmod(np.flatnonzero((squares <= cap[:, None]).ravel()), len(y))
+            d = _exact(x, y, r + i, c)
+            inside = d <= limit
+            r, c, d = r[inside], c[inside], d[inside]
+            order = np.lexsort((d, r))
+            r, d, n = r[order], d[order], copies[c[order]]
+            before = np.cumsum(n) - n
+            starts = np.flatnonzero(np.diff(r, prepend=-1))
+            before -= np.repeat(before[starts], np.diff(np.r_[starts, len(r)]))
+            n = np.clip(k - before, 0, n)
+            ids.append(np.repeat(a["id"].to_numpy()[r + i], n))
+            out.append(np.repeat(d, n))
+    return pd.DataFrame({"id": np.concatenate(ids).astype("int64"), "d": np.concatenate(out)})
+
+
+def _kth(near: DataFrame, k: int) -> DataFrame:
+    best = near.groupBy("id").agg(F.array_sort(F.collect_list("d")).alias("d")).filter(F.size("d") >= k)
+    return best.select("id", F.element_at("d", k).alias("distance"))
+
+
+def _usual_reach(points: DataFrame, k: int) -> float:
+    """A little more than the distance that nearly all of a few points, lowest in hash order, have to their k-th nearest."""
+    asked = points.orderBy(F.xxhash64("id"), "id").limit(REACH_POINTS).toPandas()
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield _nearest(asked, batch, k, math.inf)
+
+    found = [r["distance"] for r in _kth(points.mapInPandas(nearest, "id bigint, d double"), k).collect()]  # one row per point asked
+    found = [d for d in found if math.isfinite(d)]
+    return 1.05 * float(np.quantile(found, 0.98)) if found else 0.0
+
+
 def k_distances(df: DataFrame, vector: str, key: str, k: int, radius: float, axes: int = 3) -> DataFrame:
     """(id, distance) to the k-th nearest point, the point itself being the first.
 
-    Blocks return at most k distances per point. A point with fewer than k neighbours within `radius` is asked
-    again with a doubled radius, so the result is exact for any starting radius.
+    Blocks return at most k distances per point. The first radius is `radius`, or what a few points need if that is more. A
+    point with fewer than k neighbours within it is asked again with a doubled radius, so the result is exact for any first
+    radius.
     """
     points = stored(distinct_points(df, vector, key), "points")
-    k = min(k, df.count())
+    k = min(k, points.agg(F.sum("m")).first()[0] or 0)
+    dims = _widest(points, axes)
+    radius = max(radius, _usual_reach(points, k)) if k else radius
     todo, found = points.select("id"), []
 
     def nearest_within(limit: float):
-        def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-                ids, out = [], []
-                if len(a) and len(b):
-                    copies = np.minimum(b["m"].to_numpy(), k)
-                    for i, row in zip(a["id"].to_numpy(), _distances(a, b)):
-                        order = np.argsort(row, kind="stable")[:k]
-                        d = np.repeat(row[order], copies[order])[:k]
-                        d = d[d <= limit]
-                        ids += [i] * len(d)
-                        out += d.tolist()
-                return pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "d": pd.Series(out, dtype="float64")})
-
-        return nearest
+        return lambda a, b: _nearest(a, b, k, limit)
 
     while True:
-        placed, blocks = _grid(points, radius, axes)
-        near = _per_block(placed.join(todo, "id"), placed, blocks, nearest_within(radius), "id bigint, d double")
-        best = near.groupBy("id").agg(F.array_sort(F.collect_list("d")).alias("d")).filter(F.size("d") >= k)
-        found.append(stored(best.select("id", F.element_at("d", k).alias("distance")), "k-distance"))
+        celled = _celled(points, radius, dims)
+        near = _per_block(celled.join(todo, "id"), celled, len(dims), nearest_within(radius), "id bigint, d double")
+        found.append(stored(_kth(near, k), "k-distance"))
         todo = stored(todo.join(found[-1], "id", "left_anti"), "k-left")
         if todo.limit(1).count() == 0:
             break

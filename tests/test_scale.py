@@ -1,8 +1,10 @@
 """Plans and work that must not grow faster than the tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyforge.operators import attribution as AT
+from tallyforge.operators import clustering as C
 from tallyforge.operators import resampling as RS
 
 
@@ -37,3 +39,13 @@ def test_drawn_coalitions_shuffle_rows_and_not_hybrids(spark):
     plan = plan_of(out)
     assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")
     assert out.count() == 150
+
+
+def test_k_distances_begin_at_a_radius_that_nearly_all_points_need(spark, monkeypatch):
+    plans = noted(monkeypatch, C)
+    x = np.random.default_rng(5).normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {r.id: r.distance for r in C.k_distances(df, "v", "id", 4, 0.001).collect()}
+    want = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), axis=1)[:, 3]
+    np.testing.assert_allclose([got[i] for i in range(300)], want, atol=1e-12)
+    assert len(plans["k-distance"]) <= 2
