@@ -49,3 +49,26 @@ def test_k_distances_begin_at_a_radius_that_nearly_all_points_need(spark, monkey
     want = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), axis=1)[:, 3]
     np.testing.assert_allclose([got[i] for i in range(300)], want, atol=1e-12)
     assert len(plans["k-distance"]) <= 2
+
+
+def _counted_blocks(monkeypatch):
+    sizes, real = [], C.stored
+
+    def keep(df, label):
+        out = real(df, label)
+        if label == "blocks":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "stored", keep)
+    return sizes
+
+
+def test_mirrored_blocks_are_run_once(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_ROWS", 20)
+    sizes = _counted_blocks(monkeypatch)
+    x = np.random.default_rng(6).uniform(0.1, 0.2, size=(100, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = C.dbscan(df, "v", "id", 1.0, 3).collect()
+    assert {r.cluster for r in got} == {0} and len(got) == 100
+    assert sizes[0] == 15 and sizes[1] == 15  # of 5 chunks
