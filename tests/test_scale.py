@@ -72,3 +72,15 @@ def test_mirrored_blocks_are_run_once(spark, monkeypatch):
     got = C.dbscan(df, "v", "id", 1.0, 3).collect()
     assert {r.cluster for r in got} == {0} and len(got) == 100
     assert sizes[0] == 15 and sizes[1] == 15  # of 5 chunks
+
+
+def test_pairs_at_the_very_limit_are_measured():
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 4, size=(600, 3)).astype(float) + 1e6, rng.integers(0, 4, size=(500, 3)).astype(float) + 1e6
+    y[0] = np.nan
+    y[1] = 1e200
+    want = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2)) <= np.sqrt(2.0)
+    got = np.zeros(want.shape, bool)
+    for r, c in C._pairs_within(x, y, float(np.sqrt(2.0))):
+        got[r, c] = True
+    assert (got == want).all()
