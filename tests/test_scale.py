@@ -84,3 +84,20 @@ def test_pairs_at_the_very_limit_are_measured():
     for r, c in C._pairs_within(x, y, float(np.sqrt(2.0))):
         got[r, c] = True
     assert (got == want).all()
+
+
+def test_person_model_without_a_join_has_the_rows_of_the_join(spark, tmp_path):
+    from tallyforge.queries import base, modelling
+
+    items = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    items.limit(0).unionByName(items).write.parquet(str(tmp_path / "once" / "lineitem.parquet"))
+    twin = items.limit(7).withColumn("l_quantity", F.col("l_quantity") + 1)
+    items.unionByName(items.limit(7)).unionByName(twin).write.parquet(str(tmp_path / "again" / "lineitem.parquet"))
+    for name in ("once", "again"):
+        sf = str(tmp_path / name)
+        s = base.scored(spark, sf)
+        want = base.persons(spark, sf).select("person_id", "year", "area_id", "school_id", "network", "weight", F.col("year").cast("double").alias("year_number")).join(
+            s.select("person_id", "y", F.col("w").alias("case_weight"), F.col("score_a").alias("hint")), "person_id").join(s.select("person_id", F.col("score_b").alias("noise")), "person_id")
+        got = modelling.person_model(spark, sf, noise=True)
+        assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert ("Join" in plan_of(got)) == (name == "again")
