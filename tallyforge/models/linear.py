@@ -271,14 +271,18 @@ class Trained:
         return self.to @ self.beta
 
 
-def _collapsed(df: DataFrame, basis: Basis, target: str, by: str | None, weight: str | None, spot: str | None) -> DataFrame:
-    """(key, spot, b, w0, w1, n): rows of the same basis vector are one; only without shares, which part them anyway."""
+def _collapsed(df: DataFrame, basis: Basis, target: str, by: str | None, weight: str | None, spot: str | None, shares: Sequence[float] = ()) -> DataFrame:
+    """(key, spot, b, w0, w1, n): rows of the same basis vector are one, unless nearly all differ. A spot becomes the largest
+    share that it reaches: it lies below the same shares."""
     w = F.col(f"`{weight}`").cast("double") if weight else F.lit(1.0)
     y = F.col(f"`{target}`").cast("double")
-    rows = df.select((F.col(by).cast("string") if by else F.lit("")).alias("key"), (F.col(spot) if spot else F.lit(0.0)).alias("spot"), basis.column().alias("b"),
-                     F.when(y == 0, w).otherwise(0.0).alias("w0"), F.when(y == 1, w).otherwise(0.0).alias("w1"), F.lit(1).alias("n"), y.alias("y"), w.alias("w"))
+    low = F.lit(float("-inf"))
+    below = F.when(F.col(spot).isNotNull(), F.greatest(low, low, *[F.when(F.col(spot) >= s, F.lit(float(s))) for s in shares])) if spot else F.lit(0.0)
+    rows = df.select((F.col(by).cast("string") if by else F.lit("")).alias("key"), below.alias("spot"), basis.column().alias("b"),
+                     F.when(y == 0, w).otherwise(0.0).alias("w0"), F.when(y == 1, w).otherwise(0.0).alias("w1"), F.lit(1).cast("bigint").alias("n"), y.alias("y"), w.alias("w"))
     rows = rows.filter("key is not null and y is not null and w is not null").drop("y", "w")
-    if spot is None:
+    seen = rows.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("key", "spot", "b")).alias("kinds")).first()
+    if seen["kinds"] * 4 < seen["n"]:
         rows = rows.groupBy("key", "spot", "b").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"), F.sum("n").alias("n"))
     return stored(rows, "designs")
 
@@ -292,21 +296,27 @@ def _per_model(rows: DataFrame, parts: Sequence[tuple[str | None, float]], theta
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.array(batch.column(0).to_pylist(), object)
+            coded = batch.column(0).dictionary_encode()
+            key, names = np.asarray(coded.indices), coded.dictionary.to_pylist()
             spot, w0, w1, n = (np.asarray(batch.column(c)).astype(float) for c in (1, 3, 4, 5))
             b = _matrix(batch.column(2), batch.num_rows)
             x = np.hstack([np.ones((len(b), 1)), b])
             for k, (left, share) in enumerate(parts):
-                at = np.flatnonzero((key != left) & (spot < share)) if left is not None else np.flatnonzero(spot < share)
+                inside = spot < share
+                if left in names:
+                    inside &= key != names.index(left)
+                at = np.flatnonzero(inside)
                 if thetas is None:
                     total[k] = total[k] + np.concatenate([[n[at].sum()], n[at] @ b[at], n[at] @ b[at] ** 2])
                     continue
-                eta = x[at] @ thetas[k]
-                p = 1 / (1 + np.exp(-np.clip(eta, -500, 500)))
-                w = w0[at] + w1[at]
-                loss = (w1[at] * np.logaddexp(0, -eta) + w0[at] * np.logaddexp(0, eta)).sum()
-                hessian = (x[at] * (w * p * (1 - p))[:, None]).T @ x[at]
-                total[k] = total[k] + np.concatenate([[loss], x[at].T @ (w * p - w1[at]), hessian.ravel()])
+                xk, a0, a1 = x[at], w0[at], w1[at]
+                eta = xk @ thetas[k]
+                small = np.exp(-np.abs(eta))
+                p = np.where(eta >= 0, 1.0, small) / (1.0 + small)
+                w = a0 + a1
+                loss = (w * (np.log1p(small) + np.maximum(-eta, 0.0)) + a0 * eta).sum()
+                hessian = (xk * (w * p * (1 - p))[:, None]).T @ xk
+                total[k] = total[k] + np.concatenate([[loss], xk.T @ (w * p - a1), hessian.ravel()])
         found = [k for k, v in enumerate(total) if not np.isscalar(v)]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([total[k].tolist() for k in found], pa.list_(pa.float64()))], names=["model", "sums"])
 
@@ -335,7 +345,7 @@ def fit_logistic(
     if len(keys) > 1_000:
         raise ValueError("more than 1000 groups; use group folds")
     parts = [(k, s) for s in (shares or [float("inf")]) for k in keys]
-    rows = _collapsed(df, basis, target, by, weight, spot)
+    rows = _collapsed(df, basis, target, by, weight, spot, shares)
     moments = _per_model(rows, parts, None, basis.width)
     maps = []
     for share in shares or [float("inf")]:

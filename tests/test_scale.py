@@ -101,3 +101,25 @@ def test_person_model_without_a_join_has_the_rows_of_the_join(spark, tmp_path):
         got = modelling.person_model(spark, sf, noise=True)
         assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
         assert ("Join" in plan_of(got)) == (name == "again")
+
+
+def test_rows_of_equal_features_are_one_with_shares_too(spark, monkeypatch):
+    from tallyforge.models import linear as L
+
+    sizes, real = {}, L.stored
+
+    def keep(df, label):
+        out = real(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(L, "stored", keep)
+    df = spark.range(4000).select((F.col("id") % 5).cast("double").alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 2).alias("g"), (F.col("id") * 37 % 4000 / 4000).alias("spot"))
+    _, models = L.fit_logistic(df, {"numbers": ["x"]}, "y", 1.0, None, "g", [0.1, 0.5, 1.0], "spot")
+    assert sizes["designs"] <= 2 * 3 * 5
+    assert [(m.left_out, m.share) for m in models] == [(g, s) for s in (0.1, 0.5, 1.0) for g in ("0", "1")]
+    # The same models from the rows of one part alone.
+    for m in models:
+        part = df.filter((F.col("g") != int(m.left_out)) & (F.col("spot") < m.share))
+        _, (one,) = L.fit_logistic(part, {"numbers": ["x"]}, "y", 1.0)
+        np.testing.assert_allclose(one.beta, m.beta, atol=1e-7)
