@@ -20,6 +20,9 @@ from .ordered import exact_quantiles, hash_positions, hash_sample, range_edges
 # Task functions travel with their helpers, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Sums per score and class that a task keeps before it writes them.
+HELD_SUMS = 16_384
+
 
 def stratified_sample(df: DataFrame, share: float, target: str, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """round(share * n) rows of each class without replacement; all rows when the share is 1 or more."""
@@ -114,21 +117,44 @@ def _weighed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _resampled_auc(drawn: DataFrame, resamples: int) -> DataFrame:
-    """(which, rep, value): the rows of a batch collapse to arrays per score, scores are ordered in ranges, and every range
+    """(which, rep, value): the rows of a task collapse to arrays per score, scores are ordered in ranges, and every range
     gives its pairs won, inside it, and its weights; the ranges before it do the rest."""
     packed = "which string, s double, sums binary"
 
+    def merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One row per score and class."""
+        score, positive, sums = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((positive, score))
+        score, positive = score[order], positive[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(score) != 0) | (positive[1:] != positive[:-1])])
+        return score[first], positive[first], np.add.reduceat(sums[order], first, axis=0)
+
+    def written(name: str, score: np.ndarray, positive: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        values, at = np.unique(score, return_inverse=True)
+        both = np.zeros((len(values), 2, resamples))
+        both[at, np.where(positive, 0, 1)] = sums
+        return pa.RecordBatch.from_arrays([pa.array([name] * len(values), pa.string()), pa.array(values), pa.array([r.tobytes() for r in both], pa.binary())], names=["which", "s", "sums"])
+
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}  # what a task has summed so far, bounded
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                both, which, score = np.hstack(_weighed(part)), np.array(part.column(0).to_pylist(), object), np.asarray(part.column(1))
-                for name in dict.fromkeys(which):
-                    of = np.flatnonzero(which == name)
-                    of = of[np.argsort(score[of], kind="stable")]
-                    first = np.flatnonzero(np.diff(score[of], prepend=-np.inf))
-                    sums = np.add.reduceat(both[of], first, axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(first), pa.string()), pa.array(score[of][first]), pa.array([r.tobytes() for r in sums], pa.binary())], names=["which", "s", "sums"])
+                times = np.frombuffer(b"".join(part.column(4).to_pylist()), "<u4").reshape(part.num_rows, resamples)
+                weight = times * np.asarray(part.column(3))[:, None]
+                coded, score, positive = part.column(0).dictionary_encode(), np.asarray(part.column(1)), np.asarray(part.column(2)) == 1
+                codes = np.asarray(coded.indices)
+                for k, name in enumerate(coded.dictionary.to_pylist()):
+                    of = np.flatnonzero(codes == k)
+                    parts = held.setdefault(name, [])
+                    parts.append(merged([(score[of], positive[of], weight[of])]))
+                    if sum(len(p[0]) for p in parts) > HELD_SUMS:
+                        parts[:] = [merged(parts)]
+                        if len(parts[0][0]) > HELD_SUMS // 2:
+                            yield written(name, *parts.pop())
+        for name, parts in held.items():
+            if parts:
+                yield written(name, *merged(parts))
 
     def won(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {}  # per score set: won, positives, negatives, and the open score with its weights
@@ -165,7 +191,8 @@ def _resampled_auc(drawn: DataFrame, resamples: int) -> DataFrame:
         value = np.where(known, total / np.where(known, pos * neg, 1.0), np.nan)
         return pa.table({"which": pa.array([key[0].as_py()] * resamples), "rep": pa.array(np.arange(resamples), pa.int32()), "value": pa.array(value, mask=~known)})
 
-    sums = drawn.mapInArrow(collapse, packed)
+    # Stored, as cutting the scores into ranges reads them twice.
+    sums = stored(drawn.mapInArrow(collapse, packed), "score-sums")
     ordered = sums.repartitionByRange("which", "s").sortWithinPartitions("which", "s").withColumn("place", F.spark_partition_id())
     ranges = ordered.mapInArrow(won, "which string, place int, sums binary")
     return ranges.groupBy("which").applyInArrow(together, "which string, rep int, value double")

@@ -123,3 +123,20 @@ def test_rows_of_equal_features_are_one_with_shares_too(spark, monkeypatch):
         part = df.filter((F.col("g") != int(m.left_out)) & (F.col("spot") < m.share))
         _, (one,) = L.fit_logistic(part, {"numbers": ["x"]}, "y", 1.0)
         np.testing.assert_allclose(one.beta, m.beta, atol=1e-7)
+
+
+def test_a_task_writes_a_score_once_for_all_its_rows(spark, monkeypatch):
+    sizes, real = {}, RS.stored
+
+    def keep(df, label):
+        out = real(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(RS, "stored", keep)
+    df = spark.range(40000).select((F.col("id") % 400).alias("g"), (F.col("id") * 7919 % 250).cast("double").alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    got = {r.rep: r.value for r in RS.resampled_metric(df, "y", "s", "g", "auc", 6).collect()}
+    assert 0 < sizes["score-sums"] <= 250 * 4
+    monkeypatch.setattr(RS, "HELD_SUMS", 50)
+    again = {r.rep: r.value for r in RS.resampled_metric(df, "y", "s", "g", "auc", 6).collect()}
+    assert got.keys() == again.keys() == set(range(6)) and all(abs(got[r] - again[r]) < 1e-12 for r in got)
