@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash, ratio, round_even
+from ..session import stored
 from .ordered import hash_positions, hash_sample, range_count
 from .resampling import point_metric
 
@@ -151,17 +152,19 @@ def permutation_importance(
     """Mean and population deviation of the metric's drop when one original column is permuted.
 
     One permutation of the rows per repeat serves every column, so the rows are matched once per repeat and
-    all (column, repeat) tables are scored together.
+    all (column, repeat) tables are scored together; permuted rows have no keys.
     """
     features, keys = list(features), list(keys)
     kept = df.select(*keys, y, *([weight] if weight else []), *features)
     tries = kept.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    takers = hash_positions(tries, ["rep", *keys], f"{seed}r", by=["rep"])
+    own = [y, *([weight] if weight else []), *features]
+    takers = hash_positions(tries, ["rep", *keys], f"{seed}r", by=["rep"]).select("rep", "position", *own)
     givers = hash_positions(tries.select("rep", *keys, F.struct(*features).alias("other")), ["rep", *keys], f"{seed}g", by=["rep"])
-    pairs = takers.join(givers.select("rep", "position", "other"), ["rep", "position"])
+    # Stored without keys, as the metric reads the pairs twice.
+    pairs = stored(takers.join(givers.select("rep", "position", "other"), ["rep", "position"]).select("rep", *own, "other"), "pairs")
     each = pairs.withColumn("variable", F.explode(F.array(*[F.lit(f) for f in features])))
     mixed = each.select(
-        *keys, y, *([weight] if weight else []), "rep", "variable",
+        y, *([weight] if weight else []), "rep", "variable",
         *[F.when(F.col("variable") == f, F.col(f"other.{f}")).otherwise(F.col(f)).alias(f) for f in features],
     )
     base = point_metric(score(kept), y, "prediction", metric, weight).select("value").scalar()

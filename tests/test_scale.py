@@ -140,3 +140,12 @@ def test_a_task_writes_a_score_once_for_all_its_rows(spark, monkeypatch):
     monkeypatch.setattr(RS, "HELD_SUMS", 50)
     again = {r.rep: r.value for r in RS.resampled_metric(df, "y", "s", "g", "auc", 6).collect()}
     assert got.keys() == again.keys() == set(range(6)) and all(abs(got[r] - again[r]) < 1e-12 for r in got)
+
+
+def test_permuted_rows_are_matched_once_and_without_keys(spark, monkeypatch):
+    plans = noted(monkeypatch, AT)
+    df = spark.range(300).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 7 / 7.0).alias("a"), (F.col("id") % 11 / 11.0).alias("b"))
+    out = AT.permutation_importance(df, ["a", "b"], ["k"], lambda d: d.withColumn("prediction", F.col("a") + F.col("b")), "y", repeats=2)
+    (plan,) = plans["pairs"]  # the only frame with a join of rows
+    assert "position" in plan and "md5" not in plan_of(out)
+    assert {r.variable for r in out.collect()} == {"a", "b"}
