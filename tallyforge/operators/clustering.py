@@ -25,8 +25,10 @@ from .graph import connected_components
 from .ordered import hash_sample, medians
 
 SEED = 42
-BLOCK_ROWS = 16_384  # of one side of a block
-TILE_ROWS = 256
+BLOCK_ROWS = 65_536  # of one side of a block
+BLOCK_VALUES = 4_194_304  # of the vectors of one side
+TILE_ROWS, TILE_COLUMNS = 512, 512  # a tile of single precision stays in the cache of a core
+TILE_VALUES = 4_194_304
 PAIRS = 16_384  # measured at once
 REACH_POINTS = 256
 
@@ -451,6 +453,14 @@ def distinct_points(df: DataFrame, vector: str, key: str) -> DataFrame:
     return known.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m"))
 
 
+def _for_rows(df: DataFrame, vector: str, key: str, found: DataFrame, name: str) -> DataFrame:
+    """(id, `name`): what was found for a vector (v, `name`), for all rows that have it. Rows are ordered by a hash of the
+    vector, as comparing long arrays is slow."""
+    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows, found = (side.withColumn("h", F.xxhash64("v")) for side in (rows, found))
+    return rows.join(found, ["h", "v"]).select("id", name)
+
+
 def _widest(points: DataFrame, axes: int) -> list[int]:
     spans = _long_vector(points, "v").groupBy("dim").agg(F.variance("value").alias("s")).orderBy(F.desc("s"), "dim").limit(axes)
     return [r["dim"] for r in spans.collect()]
@@ -463,8 +473,9 @@ def _celled(points: DataFrame, width: float, dims: Sequence[int]) -> DataFrame:
 
 
 def _chunks(celled: DataFrame) -> DataFrame:
-    """(cell, chunks): a crowded cell is cut into chunks of bounded size."""
-    return stored(celled.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int")).alias("chunks")), "cells")
+    """(cell, chunks): a crowded cell is cut into chunks of bounded size, in rows and in values."""
+    rows, values = F.count("*") / F.lit(BLOCK_ROWS), F.sum(F.size("v")) / F.lit(BLOCK_VALUES)
+    return stored(celled.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(rows).cast("int"), F.ceil(values).cast("int")).alias("chunks")), "cells")
 
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
@@ -473,7 +484,7 @@ def _renamed(df: DataFrame, **names: str) -> DataFrame:
 
 def _per_block(asking: DataFrame, targets: DataFrame | None, axes: int, work, schema: str) -> DataFrame:
     """Runs `work(asking rows, target rows)` for every block: a chunk of a cell and a chunk of a cell nearby, each of about
-    BLOCK_ROWS rows at most. Blocks are found on the tables of cells, so a point is copied once per block it takes part in.
+    BLOCK_ROWS rows and BLOCK_VALUES values at most. Blocks are found on the tables of cells, so a point is copied once per block it takes part in.
     Without targets the points meet each other, and of two mirrored blocks only one is run.
     """
     homes = _chunks(asking)
@@ -518,48 +529,101 @@ def _squares(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, np.ndarray, fl
     right = np.hstack([-2.0 * y, yy[:, None], np.ones((len(y), 1))]).T.copy()
     left = np.hstack([x, np.ones((len(x), 1)), xx[:, None]])
     top = yy.max(initial=0.0)
-    for i in range(0, len(x), TILE_ROWS):
-        bound = 8.0 * (x.shape[1] + 4) * np.finfo(float).eps * (xx[i : i + TILE_ROWS].max() + top)
+    rows = max(1, TILE_VALUES // max(1, len(y)))
+    for i in range(0, len(x), rows):
+        bound = 8.0 * (x.shape[1] + 4) * np.finfo(float).eps * (xx[i : i + rows].max() + top)
         if np.isfinite(bound):
-            yield i, left[i : i + TILE_ROWS] @ right, bound
+            yield i, left[i : i + rows] @ right, bound
         else:
-            yield i, np.zeros((len(left[i : i + TILE_ROWS]), len(y))), np.inf
+            yield i, np.zeros((len(left[i : i + rows]), len(y))), np.inf
+
+
+def _small_tiles(x: np.ndarray, y: np.ndarray, square: float) -> Iterator[tuple[int, int, np.ndarray, float]]:
+    """Tiles of squared distances: (first row of x, of y, tile, bound of its error). They come from single precision where
+    that is sure enough beside `square`, else from doubles; where those overflow, the bound is infinite."""
+
+    def sides(x, xx, y, yy):
+        return np.hstack([x, np.ones((len(x), 1)), xx[:, None]]), np.hstack([-2.0 * y, yy[:, None], np.ones((len(y), 1))])
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        left, right = (side.astype(np.float32) for side in sides(x, xx, y, yy))
+    panels = [(j, right[j : j + TILE_COLUMNS].T.copy(), yy[j : j + TILE_COLUMNS].max()) for j in range(0, len(y), TILE_COLUMNS)]
+    single, double = (float(np.finfo(t).eps) for t in (np.float32, float))
+    for i in range(0, len(x), TILE_ROWS):
+        rows, top = slice(i, i + TILE_ROWS), xx[i : i + TILE_ROWS].max()
+        for j, panel, most in panels:
+            reach = 8.0 * (x.shape[1] + 4) * float(top + most)
+            if 1e-20 < square < 1e30 and reach * single <= square / 16:
+                yield i, j, left[rows] @ panel, reach * single
+            elif math.isfinite(reach):
+                columns = slice(j, j + TILE_COLUMNS)
+                l, r = sides(x[rows], xx[rows], y[columns], yy[columns])
+                yield i, j, l @ r.T, reach * double
+            else:
+                yield i, j, np.zeros((len(left[rows]), panel.shape[1])), math.inf
 
 
 def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of x and of y at most eps apart, tile by tile; pairs too close to eps for a matrix product are measured."""
-    for i, squares, bound in _squares(x, y):
-        bound += 1e-14 * eps * eps
-        flat = np.flatnonzero(squares.ravel() <= eps * eps + bound)
-        r, c = np.divmod(flat, len(y))
-        r += i
-        doubt = np.flatnonzero(~(squares.ravel()[flat] <= eps * eps - bound))
-        keep = np.ones(len(flat), bool)
-        keep[doubt] = _exact(x, y, r[doubt], c[doubt]) <= eps
-        yield r[keep], c[keep]
-
-
-def _counts(celled: DataFrame, axes: int, eps: float) -> DataFrame:
+    """Rows of x and of y at most eps apart, in lots; pairs too close to eps for a matrix product are measured."""
+    square, held, n = eps * eps, [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
+    for i, j, squares, bound in _small_tiles(x, y, square):
+        bound += 1e-14 * square
+        hit = squares <= square + bound
+        rows = np.flatnonzero(hit.any(axis=1))
+        if not len(rows):
+            continue
+        r, c = np.divmod(np.flatnonzero(hit[rows].ravel()), hit.shape[1])
+        r = rows[r]
+        doubt = ~(squares[r, c] <= square - bound)
+        r, c = r + i, c + j
+        if doubt.any():
+            keep = ~doubt
+            keep[doubt] = _exact(x, y, r[doubt], c[doubt]) <= eps
+            r, c = r[keep], c[keep]
+        held.append((r, c))
+        n += len(r)
+        if n >= PAIRS:
+            yield tuple(np.concatenate(side) for side in zip(*held))
+            held, n = held[:1], 0
+    yield tuple(np.concatenate(side) for side in zip(*held))
+
+
+def _neighbours(celled: DataFrame, axes: int, eps: float, least: int = 0) -> DataFrame:
+    """(id, n, near): a point's neighbours in a block (n, near is the point itself), and each neighbour of a point that has
+    fewer than `least` there (near, n is 0). A point with fewer than `least` in all thus has all its neighbours named."""
+
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "n": []}).astype("int64")
+            return pd.DataFrame({"id": [], "n": [], "near": []}).astype("int64")
+        (ids_a, m_a), (ids_b, m_b) = ((side["id"].to_numpy(), side["m"].to_numpy()) for side in (a, b))
         of_a, of_b = np.zeros(len(a)), np.zeros(len(b))
+        few = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         for r, c in _pairs_within(_points(a), _points(b), eps):
-            of_a += np.bincount(r, weights=b["m"].to_numpy()[c], minlength=len(a))
-            of_b += np.bincount(c, weights=a["m"].to_numpy()[r], minlength=len(b))
-        ids, n = a["id"].to_numpy(), of_a
-        if a["id"].min() != b["id"].min():  # chunks are the same or share no point
-            ids, n = np.r_[ids, b["id"].to_numpy()], np.r_[n, of_b]
-        return pd.DataFrame({"id": ids, "n": n.astype("int64")})
+            of_a += np.bincount(r, weights=m_b[c], minlength=len(a))
+            of_b += np.bincount(c, weights=m_a[r], minlength=len(b))
+            # Counts only rise, so a point keeps fewer than `least` pairs.
+            keep = (of_a[r] < least) | (of_b[c] < least)
+            few.append((r[keep], c[keep]))
+        r, c = (np.concatenate(side) for side in zip(*few))
+        mine = of_a[r] < least
+        same = ids_a.min() == ids_b.min()  # chunks are the same or share no point
+        if same:
+            counted, n, named, near = ids_a, of_a, ids_a[r[mine]], ids_b[c[mine]]
+        else:
+            theirs, met_a, met_b = of_b[c] < least, of_a > 0, of_b > 0
+            counted, n = np.r_[ids_a[met_a], ids_b[met_b]], np.r_[of_a[met_a], of_b[met_b]]
+            named, near = np.r_[ids_a[r[mine]], ids_b[c[theirs]]], np.r_[ids_b[c[mine]], ids_a[r[theirs]]]
+        return pd.DataFrame({"id": np.r_[counted, named], "n": np.r_[n, np.zeros(len(named))].astype("int64"), "near": np.r_[counted, near]})
 
-    return _per_block(celled, None, axes, count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return _per_block(celled, None, axes, count, "id bigint, n bigint, near bigint")
 
 
 def neighbour_counts(df: DataFrame, vector: str, key: str, eps: float, axes: int = 3) -> DataFrame:
     """(id, n): points within eps of each distinct point, itself and its copies included. Blocks return counts, not pairs."""
     points = stored(distinct_points(df, vector, key), "points")
     dims = _widest(points, axes)
-    return _counts(_celled(points, eps, dims), len(dims), eps)
+    return _neighbours(_celled(points, eps, dims), len(dims), eps).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _hooked(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -581,14 +645,16 @@ def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, ax
     """(id, cluster): the smallest core id of the cluster, -1 for noise.
 
     A border point joins the cluster with the smallest id among its core neighbours. Copies of a point count
-    as neighbours of each other but are measured once.
+    as neighbours of each other but are measured once. All points are compared once, for their counts; what is no core has
+    its few neighbours from there, and only cores are compared again.
     """
     points = stored(distinct_points(df, vector, key), "points")
     dims = _widest(points, axes)
     celled = _celled(points, eps, dims)
-    counts = _counts(celled, len(dims), eps).select("id", (F.col("n") >= min_points).alias("core"))
+    near = stored(_neighbours(celled, len(dims), eps, min_points), "neighbours")
+    counts = near.groupBy("id").agg((F.sum("n") >= min_points).alias("core"))
     placed = stored(celled.join(counts, "id"), "core")
-    cores, others = placed.filter("core"), placed.filter(~F.col("core"))
+    cores = placed.filter("core")
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         """Enough edges to keep the connections of a block: at most one per point, however dense the block."""
@@ -603,19 +669,11 @@ def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, ax
 
     labels = stored(connected_components(cores.select("id"), _per_block(cores, None, len(dims), link, "a bigint, b bigint")), "labels")
 
-    def border(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        best = np.full(len(a), np.iinfo(np.int64).max)
-        if len(a) and len(b):
-            component = b["component"].to_numpy()
-            for r, c in _pairs_within(_points(a), _points(b), eps):
-                np.minimum.at(best, r, component[c])
-        hit = best < np.iinfo(np.int64).max
-        return pd.DataFrame({"id": a["id"].to_numpy()[hit], "component": best[hit]}).astype("int64")
-
-    touched = _per_block(others, cores.join(labels, "id"), len(dims), border, "id bigint, component bigint")
-    joined = touched.groupBy("id").agg(F.min("component").alias("component")).unionByName(labels)
+    # The cores near a core are of its own component.
+    touched = near.filter("near <> id").select("id", "near").join(_renamed(labels, id="near"), "near").select("id", "component")
+    joined = touched.unionByName(labels).groupBy("id").agg(F.min("component").alias("component"))
     found = placed.select("id", "v").join(joined, "id", "left").select("v", F.coalesce("component", F.lit(-1)).alias("cluster"))
-    return df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(found, "v").select("id", "cluster")
+    return _for_rows(df, vector, key, found, "cluster")
 
 
 def noise_share(clusters: DataFrame) -> DataFrame:
@@ -708,4 +766,4 @@ def k_distances(df: DataFrame, vector: str, key: str, k: int, radius: float, axe
     for more in found[1:]:
         every = every.unionByName(more)
     mine = points.join(every, "id").select("v", "distance")
-    return df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(mine, "v").select("id", "distance")
+    return _for_rows(df, vector, key, mine, "distance")

@@ -74,6 +74,54 @@ def test_mirrored_blocks_are_run_once(spark, monkeypatch):
     assert sizes[0] == 15 and sizes[1] == 15  # of 5 chunks
 
 
+def test_points_that_are_no_cores_are_compared_once(spark, monkeypatch):
+    from test_models import brute_dbscan
+
+    monkeypatch.setattr(C, "BLOCK_ROWS", 20)
+    sizes = _counted_blocks(monkeypatch)
+    x = np.random.default_rng(9).uniform(-1, 1, size=(150, 2))
+    x = np.r_[x, x[:8], [[0.0, 5.0], [-0.0, 5.0], [np.nan, 1.0]]]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {r.id: r.cluster for r in C.dbscan(df, "v", "id", 0.15, 5).collect()}
+    want, _ = brute_dbscan(x, 0.15, 5)
+    core = (np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) <= 0.15).sum(1) >= 5
+    assert [got[i] for i in range(len(x))] == want.tolist() and (want[~core] >= 0).sum() > 10 and (want < 0).sum() > 10
+    assert len(sizes) == 2  # once all, once the cores
+
+
+def test_a_chunk_is_bounded_in_rows_and_in_values(spark):
+    def chunks(n, wide):
+        df = spark.range(n).select("id", F.array(F.lit(0)).alias("cell"), F.array_repeat(F.lit(0.5), wide).alias("v"))
+        return C._chunks(df).first()["chunks"]
+
+    assert [chunks(60_000, 3), chunks(70_000, 3), chunks(9_000, 1000)] == [1, 2, 3]
+
+
+def test_tiles_are_of_single_precision_where_that_is_sure():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    step = rng.normal(size=(700, 64))
+    step /= np.linalg.norm(step, axis=1)[:, None]
+    # Pairs a hair within and beyond the limit, and rows far from all others, which spoil their own tiles alone.
+    y = x + step * (0.9 + rng.integers(-3, 4, size=(700, 1)) * 1e-9)
+    y[600:650] += 1e6
+    kinds = [(i, j, tile.dtype) for i, j, tile, _ in C._small_tiles(x, y, 0.81)]
+    assert {d for _, j, d in kinds if j == 0} == {np.dtype("float32")} and {d for _, j, d in kinds if j > 0} == {np.dtype("float64")}
+    want = np.array([np.sqrt(((a - y) ** 2).sum(1)) <= 0.9 for a in x])
+    got = np.zeros(want.shape, bool)
+    for r, c in C._pairs_within(x, y, 0.9):
+        got[r, c] = True
+    assert (got == want).all() and 100 < want.diagonal().sum() < 600
+
+
+def test_rows_meet_their_vectors_by_a_hash(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), -0.0 if i % 2 else 0.0]) for i in range(60)], "id long, v array<double>")
+    out = C.dbscan(df, "v", "id", 0.5, 3)
+    assert {r.id: r.cluster for r in out.collect()} == {i: i % 7 for i in range(60)}
+    assert "xxhash64" in plan_of(out)
+
+
 def test_pairs_at_the_very_limit_are_measured():
     rng = np.random.default_rng(7)
     x, y = rng.integers(0, 4, size=(600, 3)).astype(float) + 1e6, rng.integers(0, 4, size=(500, 3)).astype(float) + 1e6
