@@ -89,6 +89,24 @@ def test_points_that_are_no_cores_are_compared_once(spark, monkeypatch):
     assert len(sizes) == 2  # once all, once the cores
 
 
+def test_noise_share_compares_noise_once(spark, monkeypatch, tmp_path):
+    from test_models import brute_dbscan
+
+    from tallyforge.queries import modelling
+
+    monkeypatch.setattr(C, "BLOCK_ROWS", 40)
+    sizes = _counted_blocks(monkeypatch)
+    rng = np.random.default_rng(10)
+    x = np.r_[rng.normal(0, 0.6, (60, 3)), rng.normal(6, 0.6, (50, 3)), rng.uniform(-9, 9, (90, 3))].astype(np.float32)
+    x = np.r_[x, x[-2:], x[-1:]]
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    want, _ = brute_dbscan(x.astype(float), 0.9, 4)
+    got = modelling.noise_share(spark, str(tmp_path)).first()
+    assert (got["n_clusters"], got["noise_pct"]) == (len(set(want[want >= 0])), round(1000 * float((want < 0).mean())) / 10)
+    assert 20 < (want < 0).sum() < 180 and len(sizes) == 2
+
+
 def test_a_chunk_is_bounded_in_rows_and_in_values(spark):
     def chunks(n, wide):
         df = spark.range(n).select("id", F.array(F.lit(0)).alias("cell"), F.array_repeat(F.lit(0.5), wide).alias("v"))
