@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,6 +30,8 @@ BLOCK_VALUES = 4_194_304  # of the vectors of one side
 TILE_ROWS, TILE_COLUMNS = 512, 512  # a tile of single precision stays in the cache of a core
 TILE_VALUES = 4_194_304
 PAIRS = 16_384  # measured at once
+CROWD = 1_024  # hits of a tile that are looked through before they are listed
+PIVOTS = 64
 REACH_POINTS = 256
 
 # Task functions travel with their helpers, so that executors need no copy of this package.
@@ -538,7 +540,41 @@ def _squares(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, np.ndarray, fl
             yield i, np.zeros((len(left[i : i + rows]), len(y))), np.inf
 
 
-def _small_tiles(x: np.ndarray, y: np.ndarray, square: float) -> Iterator[tuple[int, int, np.ndarray, float]]:
+def _by_place(x: np.ndarray) -> np.ndarray:
+    """An order of the rows by the nearest of a few of them, so that near rows share tiles."""
+    pivots = x[:: -(-len(x) // PIVOTS)]
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.argsort(((pivots * pivots).sum(axis=1) - 2.0 * x @ pivots.T).argmin(axis=1), kind="stable")
+
+
+def _sides(a: pd.DataFrame, b: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, pd.DataFrame, np.ndarray]:
+    """Both sides of a block and their vectors, near rows together. Chunks are the same or share no point; those of the
+    same chunk are one array."""
+
+    def ordered(side):
+        x = _points(side)
+        order = _by_place(x)
+        return side.iloc[order], x[order]
+
+    a, x = ordered(a)
+    return (a, x, a, x) if a["id"].min() == b["id"].min() else (a, x, *ordered(b))
+
+
+def _far(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
+    """(tiles of x, tiles of y): whether no pair of theirs is within eps, as the balls around them are further apart."""
+
+    def balls(side, rows):
+        tiles = [side[i : i + rows] for i in range(0, len(side), rows)]
+        centres = np.array([t.mean(axis=0) for t in tiles]).reshape(len(tiles), side.shape[1])
+        return centres, np.array([np.sqrt(((t - c) ** 2).sum(axis=1).max()) for t, c in zip(tiles, centres)])
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        (at, reach), (to, width) = balls(x, TILE_ROWS), balls(y, TILE_COLUMNS)
+        gaps = np.array([np.sqrt(((to - c) ** 2).sum(axis=1)) for c in at]).reshape(len(at), len(to))
+        return gaps * (1.0 - 1e-9) > (reach[:, None] + width + eps) * (1.0 + 1e-9)
+
+
+def _small_tiles(x: np.ndarray, y: np.ndarray, square: float, skipped: Callable[[slice, slice], bool] = lambda *_: False) -> Iterator[tuple[int, int, np.ndarray, float]]:
     """Tiles of squared distances: (first row of x, of y, tile, bound of its error). They come from single precision where
     that is sure enough beside `square`, else from doubles; where those overflow, the bound is infinite."""
 
@@ -553,6 +589,8 @@ def _small_tiles(x: np.ndarray, y: np.ndarray, square: float) -> Iterator[tuple[
     for i in range(0, len(x), TILE_ROWS):
         rows, top = slice(i, i + TILE_ROWS), xx[i : i + TILE_ROWS].max()
         for j, panel, most in panels:
+            if skipped(rows, slice(j, j + TILE_COLUMNS)):
+                continue
             reach = 8.0 * (x.shape[1] + 4) * float(top + most)
             if 1e-20 < square < 1e30 and reach * single <= square / 16:
                 yield i, j, left[rows] @ panel, reach * single
@@ -564,12 +602,27 @@ def _small_tiles(x: np.ndarray, y: np.ndarray, square: float) -> Iterator[tuple[
                 yield i, j, np.zeros((len(left[rows]), panel.shape[1])), math.inf
 
 
-def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of x and of y at most eps apart, in lots; pairs too close to eps for a matrix product are measured."""
+def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float, kinds: Callable[[slice, slice], tuple[np.ndarray, np.ndarray]] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of x and of y at most eps apart, in lots; pairs too close to eps for a matrix product are measured. If y is x, of
+    two mirrored tiles one is run. `kinds` of some rows of x and of y says what the caller has no use for: rows of the same
+    kind, whose pairs may be left out. It is asked anew for each tile, so a caller that learns from a lot gets fewer."""
     square, held, n = eps * eps, [(np.empty(0, np.int64), np.empty(0, np.int64))], 0
-    for i, j, squares, bound in _small_tiles(x, y, square):
+    far, mirrored = _far(x, y, eps), x is y and TILE_ROWS == TILE_COLUMNS
+
+    def skipped(rows: slice, columns: slice) -> bool:
+        if far[rows.start // TILE_ROWS, columns.start // TILE_COLUMNS] or mirrored and columns.start < rows.start:
+            return True
+        if kinds is None:
+            return False
+        mine, theirs = kinds(rows, columns)
+        return mine[0] == theirs[0] and bool((mine == mine[0]).all() and (theirs == mine[0]).all())
+
+    for i, j, squares, bound in _small_tiles(x, y, square, skipped):
         bound += 1e-14 * square
         hit = squares <= square + bound
+        if kinds is not None and np.count_nonzero(hit) > CROWD:
+            mine, theirs = kinds(slice(i, i + TILE_ROWS), slice(j, j + TILE_COLUMNS))
+            hit &= mine[:, None] != theirs
         rows = np.flatnonzero(hit.any(axis=1))
         if not len(rows):
             continue
@@ -581,6 +634,8 @@ def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[np
             keep = ~doubt
             keep[doubt] = _exact(x, y, r[doubt], c[doubt]) <= eps
             r, c = r[keep], c[keep]
+        if mirrored and i != j:
+            r, c = np.r_[r, c], np.r_[c, r]
         held.append((r, c))
         n += len(r)
         if n >= PAIRS:
@@ -591,15 +646,22 @@ def _pairs_within(x: np.ndarray, y: np.ndarray, eps: float) -> Iterator[tuple[np
 
 def _neighbours(celled: DataFrame, axes: int, eps: float, least: int = 0) -> DataFrame:
     """(id, n, near): a point's neighbours in a block (n, near is the point itself), and each neighbour of a point that has
-    fewer than `least` there (near, n is 0). A point with fewer than `least` in all thus has all its neighbours named."""
+    fewer than `least` there (near, n is 0). A point with fewer than `least` in all thus has all its neighbours named.
+    Two points of `least` each are not compared further, so from `least` on n says no more than that; without `least` it
+    is exact."""
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"id": [], "n": [], "near": []}).astype("int64")
+        a, x, b, y = _sides(a, b)
         (ids_a, m_a), (ids_b, m_b) = ((side["id"].to_numpy(), side["m"].to_numpy()) for side in (a, b))
         of_a, of_b = np.zeros(len(a)), np.zeros(len(b))
+
+        def kinds(rows: slice, columns: slice) -> tuple[np.ndarray, np.ndarray]:
+            return np.where(of_a[rows] >= least, 0, 1), np.where(of_b[columns] >= least, 0, 2)
+
         few = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-        for r, c in _pairs_within(_points(a), _points(b), eps):
+        for r, c in _pairs_within(x, y, eps, kinds if least else None):
             of_a += np.bincount(r, weights=m_b[c], minlength=len(a))
             of_b += np.bincount(c, weights=m_a[r], minlength=len(b))
             # Counts only rise, so a point keeps fewer than `least` pairs.
@@ -607,8 +669,7 @@ def _neighbours(celled: DataFrame, axes: int, eps: float, least: int = 0) -> Dat
             few.append((r[keep], c[keep]))
         r, c = (np.concatenate(side) for side in zip(*few))
         mine = of_a[r] < least
-        same = ids_a.min() == ids_b.min()  # chunks are the same or share no point
-        if same:
+        if x is y:
             counted, n, named, near = ids_a, of_a, ids_a[r[mine]], ids_b[c[mine]]
         else:
             theirs, met_a, met_b = of_b[c] < least, of_a > 0, of_b > 0
@@ -661,8 +722,9 @@ def dbscan(df: DataFrame, vector: str, key: str, eps: float, min_points: int, ax
         ids = np.union1d(a["id"].to_numpy(), b["id"].to_numpy())
         tree = np.arange(len(ids))
         if len(a) and len(b):
+            a, x, b, y = _sides(a, b)
             at_a, at_b = np.searchsorted(ids, a["id"].to_numpy()), np.searchsorted(ids, b["id"].to_numpy())
-            for r, c in _pairs_within(_points(a), _points(b), eps):
+            for r, c in _pairs_within(x, y, eps, lambda rows, columns: (tree[at_a[rows]], tree[at_b[columns]])):
                 tree = _hooked(tree, at_a[r], at_b[c])
         held = np.flatnonzero(tree != np.arange(len(ids)))
         return pd.DataFrame({"a": ids[held], "b": ids[tree[held]]}).astype("int64")

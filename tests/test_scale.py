@@ -1,6 +1,7 @@
 """Plans and work that must not grow faster than the tables."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tallyforge.operators import attribution as AT
@@ -215,3 +216,77 @@ def test_permuted_rows_are_matched_once_and_without_keys(spark, monkeypatch):
     (plan,) = plans["pairs"]  # the only frame with a join of rows
     assert "position" in plan and "md5" not in plan_of(out)
     assert {r.variable for r in out.collect()} == {"a", "b"}
+
+
+def _steps(spark, monkeypatch, eps, least):
+    """The step that counts and the step that links, as dbscan gives them to its blocks."""
+    steps, real = [], C._per_block
+
+    def keep(asking, targets, axes, work, schema):
+        steps.append(work)
+        return real(asking, targets, axes, work, schema)
+
+    with monkeypatch.context() as m:
+        m.setattr(C, "_per_block", keep)
+        C.dbscan(spark.createDataFrame([(i, [0.0]) for i in range(5)], "id long, v array<double>"), "v", "id", eps, least)
+    return steps
+
+
+def test_a_dense_block_lists_few_of_its_pairs(spark, monkeypatch):
+    count, link = _steps(spark, monkeypatch, 0.9, 4)
+    rng = np.random.default_rng(11)
+    x = np.r_[rng.normal(0, 0.05, (4000, 3)), [[5.0, 5.0, 5.0], [5.1, 5.0, 5.0]]]
+    a = pd.DataFrame({"id": np.arange(len(x)), "v": list(x), "m": 1})
+    b = pd.DataFrame({"id": np.arange(len(x)) + len(x), "v": list(x + 0.01), "m": 1})
+    seen, real = [], C._pairs_within
+
+    def counted(*args):
+        for r, c in real(*args):
+            seen[-1] += len(r)
+            yield r, c
+
+    monkeypatch.setattr(C, "_pairs_within", counted)
+    for work, left, right in ((count, a, a), (link, a, a), (count, a, b), (link, a, b)):
+        seen.append(0)
+        out = work(left, right)
+        if work is count:
+            n = out[out.n > 0].set_index("id").n
+            assert (n[n.index % len(x) < 4000] >= 4).all() and (n[n.index % len(x) >= 4000] == 2).all()
+            assert len(out[out.near != out.id]) == (2 if right is a else 8)
+        else:
+            assert out.b.nunique() == 2 and len(out) == len(set(left.id) | set(right.id)) - 2
+    assert max(seen) < 4000 * 4000 / 3
+
+
+def test_tiles_far_apart_and_mirrored_tiles_are_not_run(monkeypatch):
+    rng = np.random.default_rng(12)
+    x = np.r_[rng.normal(0, 0.05, (2048, 3)), rng.normal(9, 0.05, (2048, 3))]
+    tiles, real = [], C._small_tiles
+
+    def counted(*args):
+        for tile in real(*args):
+            tiles.append(tile[:2])
+            yield tile
+
+    monkeypatch.setattr(C, "_small_tiles", counted)
+    assert sum(len(r) for r, _ in C._pairs_within(x, x, 0.9)) == 2 * 2048 * 2048
+    assert len(tiles) == 20  # 8 x 8 tiles, of which 2 x 4 x 4 are near, and of those mirrored ones once
+    assert sum(len(r) for r, _ in C._pairs_within(x, x.copy(), 0.9)) == 2 * 2048 * 2048 and len(tiles) == 20 + 32
+
+
+def test_clusters_stay_when_known_pairs_are_left_out(spark, monkeypatch):
+    from test_models import brute_dbscan
+
+    for name, size in (("BLOCK_ROWS", 90), ("TILE_ROWS", 16), ("TILE_COLUMNS", 16), ("CROWD", 4), ("PAIRS", 32), ("PIVOTS", 5)):
+        monkeypatch.setattr(C, name, size)
+    rng = np.random.default_rng(13)
+    x = np.r_[rng.normal(0, 0.3, (150, 3)), rng.normal(2, 0.3, (100, 3)), rng.uniform(-2, 4, (120, 3))]
+    x = np.r_[x, x[:9], x[-9:], [[np.nan, 1.0, 1.0]]]
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {r.id: r.cluster for r in C.dbscan(df, "v", "id", 0.45, 5).collect()}
+    want, _ = brute_dbscan(x, 0.45, 5)
+    assert [got[i] for i in range(len(x))] == want.tolist() and 20 < (want < 0).sum() < 200 and len(set(want)) > 2
+    near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) <= 0.45
+    first = {r.id: r.n for r in C.neighbour_counts(df, "v", "id", 0.45).collect()}
+    assert all(n == near[i].sum() for i, n in first.items() if n)
