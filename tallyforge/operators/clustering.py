@@ -487,7 +487,8 @@ def _renamed(df: DataFrame, **names: str) -> DataFrame:
 def _per_block(asking: DataFrame, targets: DataFrame | None, axes: int, work, schema: str) -> DataFrame:
     """Runs `work(asking rows, target rows)` for every block: a chunk of a cell and a chunk of a cell nearby, each of about
     BLOCK_ROWS rows and BLOCK_VALUES values at most. Blocks are found on the tables of cells, so a point is copied once per block it takes part in.
-    Without targets the points meet each other, and of two mirrored blocks only one is run.
+    Without targets the points meet each other, and of two mirrored blocks only one is run. A point goes to its blocks
+    with the block's number alone: cells are arrays, slow to sort by and to hand to a task for every row.
     """
     homes = _chunks(asking)
     ats = homes if targets is None else _chunks(targets)
@@ -501,14 +502,27 @@ def _per_block(asking: DataFrame, targets: DataFrame | None, axes: int, work, sc
         "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     if targets is None:
         blocks = blocks.filter(F.struct("home", "home_chunk") <= F.struct(F.col("at").alias("home"), F.col("chunk").alias("home_chunk")))
-    blocks = stored(blocks.select(*_BLOCK), "blocks")
+    blocks = stored(blocks.select(*_BLOCK, F.monotonically_increasing_id().alias("block")), "blocks")
 
     def placed(points: DataFrame, sizes: DataFrame) -> DataFrame:
         return points.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).drop("chunks")
 
-    left = _renamed(placed(asking, homes), cell="home", chunk="home_chunk").join(blocks, ["home", "home_chunk"])
-    right = _renamed(placed(asking if targets is None else targets, ats), cell="at").join(_renamed(blocks), ["at", "chunk"])
-    return left.groupBy(*_BLOCK).cogroup(right.groupBy(*_BLOCK)).applyInPandas(work, schema)
+    left = _renamed(placed(asking, homes), cell="home", chunk="home_chunk").join(blocks, ["home", "home_chunk"]).drop(*_BLOCK)
+    right = _renamed(placed(asking if targets is None else targets, ats), cell="at").join(_renamed(blocks), ["at", "chunk"]).drop(*_BLOCK)
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        return pa.Table.from_pandas(work(_frame(a), _frame(b)), preserve_index=False)
+
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
+
+
+def _frame(rows: pa.Table) -> pd.DataFrame:
+    """Rows of a block. Their vectors are taken out as one array, not one by one."""
+    v, out = rows.column("v").combine_chunks(), rows.drop_columns(["v"]).to_pandas()
+    sizes = np.unique(v.value_lengths().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of {sizes.tolist()} values")
+    return out.assign(v=list(v.flatten().to_numpy(zero_copy_only=False).reshape(len(out), *sizes)) if len(out) else [])
 
 
 def _points(pdf: pd.DataFrame) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import attribution as AT
@@ -290,3 +292,24 @@ def test_clusters_stay_when_known_pairs_are_left_out(spark, monkeypatch):
     near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) <= 0.45
     first = {r.id: r.n for r in C.neighbour_counts(df, "v", "id", 0.45).collect()}
     assert all(n == near[i].sum() for i, n in first.items() if n)
+
+
+def test_blocks_go_by_their_number_and_vectors_as_one_array(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_ROWS", 20)
+    x = np.random.default_rng(14).uniform(0, 1, size=(90, 2))
+    df = spark.createDataFrame([(i, v.tolist(), 1, [0]) for i, v in enumerate(x)], "id long, v array<double>, m int, cell array<long>")
+
+    def work(a, b):
+        whole = [C._points(side).sum() for side in (a, b)]
+        return pd.DataFrame({"columns": [" ".join(sorted({*a, *b}))], "n": [len(a) * len(b)], "total": [sum(whole)]})
+
+    out = C._per_block(df, None, 1, work, "columns string, n long, total double")
+    assert "block" in plan_of(out) and "home" not in plan_of(out).split("FlatMapCoGroups")[1].split("\n")[0]
+    sides = out.collect()
+    assert len(sides) == 15 and {r.columns for r in sides} == {"block id m v"}
+    assert abs(sum(r.total for r in sides) - 6 * x.sum()) < 1e-9  # of 5 chunks each is in 4 blocks with others, and is both sides of its own
+    for rows in ([[1.0, np.nan], [2.0, 3.0]], []):
+        got = C._points(C._frame(pa.table({"id": pa.array(range(len(rows)), pa.int64()), "v": pa.array(rows, pa.list_(pa.float64()))})))
+        np.testing.assert_array_equal(got, np.array(rows))
+    with pytest.raises(ValueError):
+        C._frame(pa.table({"v": pa.array([[1.0], [1.0, 2.0]], pa.list_(pa.float64()))}))
