@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import key_hash
 from ..session import stored
 from .metrics import ranking_metrics
-from .ordered import exact_quantiles, hash_positions, hash_sample, range_edges
+from .ordered import HASH_BITS, exact_quantiles, hash_positions, hash_sample, range_count, range_edges
 
 
 # Task functions travel with their helpers, so that executors need no copy of this package.
@@ -22,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Sums per score and class that a task keeps before it writes them.
 HELD_SUMS = 16_384
+# Draws that one task makes, and rows hashed at once.
+TASK_DRAWS, HASHED_ROWS = 4_000_000, 1024
 
 
 def stratified_sample(df: DataFrame, share: float, target: str, keys: Sequence[str], seed: int = 42) -> DataFrame:
@@ -90,6 +95,23 @@ def _named_slots(rows: DataFrame, resamples: int) -> DataFrame:
     return rows.mapInArrow(turn, "slot bigint, reps binary")
 
 
+def _picked_slots(rows: DataFrame, resamples: int, seed: int) -> DataFrame:
+    """(picked): the slot that each resample picks for each row (slot, n), by the hash of `key_hash`."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = [f"{seed}|{r}|".encode() for r in range(resamples)]
+        for batch in batches:
+            for at in range(0, batch.num_rows, HASHED_ROWS):
+                part = batch.slice(at, HASHED_ROWS)
+                slots = [str(s).encode() for s in part.column(0).to_pylist()]
+                digests = b"".join([md5(head + slot, usedforsecurity=False).digest() for slot in slots for head in heads])
+                picked = (np.frombuffer(digests, ">u8")[::2].astype(np.int64) >> 4 & (1 << HASH_BITS) - 1).reshape(-1, resamples) % np.asarray(part.column(1))[:, None]
+                offsets = np.arange(0, picked.size + 1, resamples, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, picked.ravel())], names=["picked"])
+
+    return rows.mapInArrow(pick, "picked array<bigint>")
+
+
 def multiplicities(df: DataFrame, group: str, resamples: int, seed: int = 42) -> DataFrame:
     """(group, times): per group, packed unsigned 32-bit counts of how often each resample draws it.
 
@@ -301,28 +323,30 @@ def residual_thresholds(residuals: DataFrame, residual: str, keys: Sequence[str]
     placed = stored(placed, "placed")
     edges = np.array(range_edges(placed, "v"))
     n_ranges = len(edges) + 1
-    reps = F.sequence(F.lit(0), F.lit(resamples - 1))
-    picked = F.transform(reps, lambda r: key_hash([r, F.col("slot")], seed) % F.col("n"))
-    named = _named_slots(placed.select(picked.alias("picked")), resamples)
+    # Draws are many times the rows: rows are dealt so that a task makes a bounded number of draws.
+    tasks = max(range_count(residuals.sparkSession), math.ceil(placed.count() * resamples / TASK_DRAWS))
+    named = _named_slots(_picked_slots(placed.select("slot", "n").repartition(tasks), resamples, seed), resamples)
     # Spark takes the size of `named` for that of its input and would send it whole to every task: both sides are shuffled.
     drawn = stored(named.hint("merge").join(placed.filter("v is not null").select("slot", "v"), "slot").select("v", "reps"), "drawn")
 
     def spots(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Range, resample and value of every draw of a batch."""
-        reps = [np.frombuffer(r, "<u4") for r in batch.column(1).to_pylist()]
+        reps = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").astype(np.int64)
+        times = np.asarray(pc.binary_length(batch.column(1))) // 4
         v = np.asarray(batch.column(0))
-        return np.repeat(np.searchsorted(edges, v, side="right"), [len(r) for r in reps]), np.concatenate(reps).astype(np.int64), np.repeat(v, [len(r) for r in reps])
+        return np.repeat(np.searchsorted(edges, v, side="right"), times), reps, np.repeat(v, times)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_ranges, resamples), np.int64)
         for batch in batches:
             if batch.num_rows:
                 r, rep, _ = spots(batch)
-                np.add.at(total, (r, rep), 1)
+                total += np.bincount(r * resamples + rep, minlength=total.size).reshape(total.shape)
         r, rep = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(rep, pa.int32()), pa.array(total[r, rep])], names=["range", "rep", "n"])
 
-    counts = drawn.mapInArrow(count, "range int, rep int, n bigint").groupBy("range", "rep").agg(F.sum("n").alias("n"))
+    # Stored, as the middles are read twice.
+    counts = stored(drawn.mapInArrow(count, "range int, rep int, n bigint").groupBy("range", "rep").agg(F.sum("n").alias("n")), "draw-counts")
     of = Window.partitionBy("rep")  # one row per range
     cum = counts.withColumn("upto", F.sum("n").over(of.orderBy("range"))).withColumn("middle", F.ceil(F.sum("n").over(of) / 2.0))
     middles = cum.filter("upto - n < middle and middle <= upto").select("rep", "range", (F.col("middle") - F.col("upto") + F.col("n")).alias("at"))
@@ -335,8 +359,12 @@ def residual_thresholds(residuals: DataFrame, residual: str, keys: Sequence[str]
             if batch.num_rows:
                 r, rep, v = spots(batch)
                 here = np.flatnonzero(opened[rep] == r)
-                keys, n = np.unique(np.rec.fromarrays([rep[here], v[here]], names="rep,v"), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys["rep"].astype(np.int32)), pa.array(keys["v"]), pa.array(n.astype(np.int64))], names=["rep", "v", "m"])
+                rep, v = rep[here], v[here]
+                order = np.lexsort((v, rep))
+                rep, v = rep[order], v[order]
+                first = np.flatnonzero(np.r_[True, (np.diff(rep) != 0) | (np.diff(v) != 0)][: len(rep)])
+                n = np.diff(np.r_[first, len(rep)])
+                yield pa.RecordBatch.from_arrays([pa.array(rep[first].astype(np.int32)), pa.array(v[first]), pa.array(n.astype(np.int64))], names=["rep", "v", "m"])
 
     inside = drawn.mapInArrow(pick, "rep int, v double, m bigint").groupBy("rep", "v").agg(F.sum("m").alias("m"))
     ordered = Window.partitionBy("rep").orderBy("v")  # the draws of one range

@@ -443,18 +443,18 @@ def paired_bootstrap(spark, sf):
 
 
 _STABLE = f"""SELECT u.area_id, u.year, {R('share', 6)} AS share, CASE WHEN share >= 0.95 THEN 'core' WHEN share <= 0.05 THEN 'out' WHEN share IS NOT NULL THEN 'fringe' END AS class FROM
- (SELECT area_id, year, CASE WHEN target_pct - pred IS NOT NULL THEN (SELECT count(*) FROM thresholds t WHERE t.v <= target_pct - pred)::DOUBLE/60 END AS share FROM predictions) u"""
+ (SELECT area_id, year, CASE WHEN target_pct - pred IS NOT NULL THEN (SELECT count(*) FROM thresholds t WHERE t.v <= target_pct - pred)::DOUBLE/500 END AS share FROM predictions) u"""
 _STABLE_PARTS = {
     "slots": f"SELECT residual AS v, row_number() OVER (ORDER BY {H(42, 'area_id', 'year')}, area_id, year) - 1 AS slot, count(*) OVER () AS n FROM predictions",
     "thresholds": f"""SELECT v FROM (SELECT rep, v, row_number() OVER (PARTITION BY rep ORDER BY v) AS rn, n FROM
- (SELECT rep, d.n, g.v FROM (SELECT rep, n, ({H(42, 'rep', 'slot')}) % n AS picked FROM slots CROSS JOIN (SELECT unnest(range(60)) AS rep)) d JOIN slots g ON g.slot = d.picked)) WHERE rn = ceil(n/2.0)""",
+ (SELECT rep, d.n, g.v FROM (SELECT rep, n, ({H(42, 'rep', 'slot')}) % n AS picked FROM slots CROSS JOIN (SELECT unnest(range(500)) AS rep)) d JOIN slots g ON g.slot = d.picked)) WHERE rn = ceil(n/2.0)""",
 }
 
 
 @query("list_stability", sql(_STABLE, **_STABLE_PARTS))
 def list_stability(spark, sf):
     p = predictions(spark, sf)
-    out = RS.list_stability(p, "pred", "target_pct", p, "residual", ["area_id", "year"], ["area_id", "year"], resamples=60)
+    out = RS.list_stability(p, "pred", "target_pct", p, "residual", ["area_id", "year"], ["area_id", "year"])
     return rounded(out.select("area_id", "year", "share", "class"), 6)
 
 
