@@ -28,6 +28,8 @@ from .prep import MAX_CATEGORIES, MISSING
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KEY, BASIS = "__key", "__basis"
+# Rows that place the edges of score ranges, rows of a range, and rows that a task scores at once.
+EDGE_ROWS, RANGE_ROWS, HELD_ROWS = 20_000, 2_000_000, 200_000
 
 
 # ---- medians of complements -----------------------------------------------------------------------
@@ -291,6 +293,15 @@ def _per_model(rows: DataFrame, parts: Sequence[tuple[str | None, float]], theta
     """For every training part (all keys but one, spots below a share): without thetas n, sums and squares of the basis; with
     them loss, gradient and Hessian over (1, basis). One scan for all parts."""
 
+    def steep(x: np.ndarray, w0: np.ndarray, w1: np.ndarray, theta: np.ndarray) -> np.ndarray:
+        """Loss, gradient and Hessian of one model."""
+        eta = x @ theta
+        small = np.exp(-np.abs(eta))
+        p = np.where(eta >= 0, 1.0, small) / (1.0 + small)
+        w = w0 + w1
+        loss = (w * (np.log1p(small) + np.maximum(-eta, 0.0)) + w0 * eta).sum()
+        return np.concatenate([[loss], x.T @ (w * p - w1), ((x * (w * p * (1 - p))[:, None]).T @ x).ravel()])
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: list = [0.0] * len(parts)
         for batch in batches:
@@ -301,22 +312,20 @@ def _per_model(rows: DataFrame, parts: Sequence[tuple[str | None, float]], theta
             spot, w0, w1, n = (np.asarray(batch.column(c)).astype(float) for c in (1, 3, 4, 5))
             b = _matrix(batch.column(2), batch.num_rows)
             x = np.hstack([np.ones((len(b), 1)), b])
-            for k, (left, share) in enumerate(parts):
+            for left, share in dict.fromkeys(parts):
                 inside = spot < share
                 if left in names:
                     inside &= key != names.index(left)
                 at = np.flatnonzero(inside)
+                same = [k for k, part in enumerate(parts) if part == (left, share)]
                 if thetas is None:
-                    total[k] = total[k] + np.concatenate([[n[at].sum()], n[at] @ b[at], n[at] @ b[at] ** 2])
+                    found = np.concatenate([[n[at].sum()], n[at] @ b[at], n[at] @ b[at] ** 2])
+                    for k in same:
+                        total[k] = total[k] + found
                     continue
                 xk, a0, a1 = x[at], w0[at], w1[at]
-                eta = xk @ thetas[k]
-                small = np.exp(-np.abs(eta))
-                p = np.where(eta >= 0, 1.0, small) / (1.0 + small)
-                w = a0 + a1
-                loss = (w * (np.log1p(small) + np.maximum(-eta, 0.0)) + a0 * eta).sum()
-                hessian = (xk * (w * p * (1 - p))[:, None]).T @ xk
-                total[k] = total[k] + np.concatenate([[loss], xk.T @ (w * p - a1), hessian.ravel()])
+                for k in same:
+                    total[k] = total[k] + steep(xk, a0, a1, thetas[k])
         found = [k for k, v in enumerate(total) if not np.isscalar(v)]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([total[k].tolist() for k in found], pa.list_(pa.float64()))], names=["model", "sums"])
 
@@ -329,13 +338,14 @@ def _per_model(rows: DataFrame, parts: Sequence[tuple[str | None, float]], theta
 
 
 def fit_logistic(
-    df: DataFrame, groups: Mapping, target: str, c: float, weight: str | None = None, by: str | None = None, shares: Sequence[float] = (),
+    df: DataFrame, groups: Mapping, target: str, c: float | Sequence[float], weight: str | None = None, by: str | None = None, shares: Sequence[float] = (),
     spot: str | None = None, keys: Sequence[str | None] | None = None, steps: int = 30, tolerance: float = 1e-8,
 ) -> tuple[Basis, list[Trained]]:
     """Penalised logistic models (C x loss + half the squared weights, intercept free) by Newton steps.
 
     Without `by` there is one model of all rows; with it one per group left out (`keys`, or all of them: a few folds), and
-    with `shares` one per share of the rows by `spot`. A step reads the rows once for all models and brings one gradient
+    with `shares` one per share of the rows by `spot`. Several `c` give that many sets of models, one after the other, from
+    the same scans. A step reads the rows once for all models and brings one gradient
     and Hessian per model to the driver. A step that raises a model's loss is halved. It ends when every gradient is
     below `tolerance` of the rows' weight, or after `steps`.
     """
@@ -354,6 +364,8 @@ def fit_logistic(
         for k in keys:
             m = moments[len(maps)]
             maps.append(basis.features({**middles.get(None, {}), **(middles.get(k) or {})}, m[0], m[1:1 + basis.width], m[1 + basis.width:]))
+    cs = [float(c)] * len(parts) if np.isscalar(c) else [float(v) for v in c for _ in parts]
+    parts, maps = parts * (len(cs) // len(parts)), maps * (len(cs) // len(parts))
     p = basis.width + 1
     free = np.ones(maps[0].shape[1])
     free[0] = 0.0
@@ -366,14 +378,14 @@ def fit_logistic(
         found = _per_model(rows, [parts[k] for k in open_], [maps[k] @ t for k, t in zip(open_, tried)], basis.width)
         still = []
         for k, beta, sums in zip(open_, tried, found):
-            loss = sums[0] + (free * beta * beta).sum() / (2 * c)
+            loss = sums[0] + (free * beta * beta).sum() / (2 * cs[k])
             if loss > best[k] + 1e-12 * abs(best[k]) and np.abs(ahead[k]).max() > 1e-12:
                 ahead[k] = ahead[k] / 2
                 still.append(k)
                 continue
             betas[k], best[k] = beta, loss
-            gradient = maps[k].T @ sums[1:1 + p] + free * beta / c
-            hessian = maps[k].T @ sums[1 + p:].reshape(p, p) @ maps[k] + np.diag(free / c)
+            gradient = maps[k].T @ sums[1:1 + p] + free * beta / cs[k]
+            hessian = maps[k].T @ sums[1 + p:].reshape(p, p) @ maps[k] + np.diag(free / cs[k])
             norms[k] = float(np.abs(gradient).max())
             scale = max(1.0, float(sums[1 + p]) * 4)
             if norms[k] <= tolerance * scale:
@@ -395,6 +407,106 @@ def logistic_probability(basis: Basis, model: Trained) -> Column:
     return 1.0 / (1.0 + F.exp(-dot(_literal(model.theta), basis.column())))
 
 
+def logistic_auc(df: DataFrame, basis: Basis, models: Sequence[Trained], target: str, by: str, spot: str | None = None) -> DataFrame:
+    """(model, part, auc): unweighted AUC of every model on the rows of the group it leaves out ("validation") and on its
+    training rows ("train"), one row per model, by its place, and part.
+
+    One scan scores the rows by all models. A task sends, per model, part and range of scores, its distinct scores with
+    their counts as packed arrays; a range counts its pairs, and the totals of the ranges below do the rest.
+    """
+    y = F.col(f"`{target}`").cast("double")
+    # As in Spark's order of numbers, a score that is not a number counts as the largest.
+    rows = df.select(F.col(by).cast("string").alias("key"), (F.col(spot) if spot else F.lit(0.0)).cast("double").alias("spot"), (y == 1).alias("y"), basis.column().alias("b")).filter(
+        "key is not null and y is not null")
+    wanted = [(m.left_out, float(m.share), m.theta) for m in models]
+
+    def probability(b: np.ndarray, theta: np.ndarray) -> np.ndarray:
+        """Summed column by column, so that equal rows have equal scores."""
+        eta = np.full(len(b), theta[0])
+        for j in range(b.shape[1]):
+            eta += theta[j + 1] * b[:, j]
+        with np.errstate(over="ignore"):
+            return 1.0 / (1.0 + np.exp(-eta))
+
+    tasks = max(range_count(df.sparkSession), rows.rdd.getNumPartitions())
+    each = max(1, -(-EDGE_ROWS // tasks))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = 0
+        for batch in batches:
+            if kept >= each:
+                break
+            part = batch.column(3).slice(0, each - kept)
+            kept += len(part)
+            yield pa.RecordBatch.from_arrays([part], names=["b"])
+
+    # The first rows of each task place the edges of the ranges, nothing else.
+    some = np.array([r["b"] for r in rows.mapInArrow(first, "b array<double>").collect()], float).reshape(-1, basis.width)
+    ranges = max(range_count(df.sparkSession), -(-df.count() // RANGE_ROWS))
+    edges = [np.unique(np.quantile(probability(some, t), np.arange(1, ranges) / ranges)) if len(some) else np.zeros(0) for _, _, t in wanted]
+
+    def collapse(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.argsort(score, kind="stable")
+        score = score[order]
+        start = np.flatnonzero(np.r_[True, score[1:] != score[:-1]][: len(score)])
+        return score[start], *(np.add.reduceat(c[order], start) if len(start) else c for c in (pos, neg))
+
+    def packed(k: int, train: int, score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> Iterator[tuple]:
+        cut = np.r_[0, np.searchsorted(score, edges[k], side="left"), len(score)]
+        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+            if a < b:
+                yield k, train, r, score[a:b].tobytes() + pos[a:b].astype("<i8").tobytes() + neg[a:b].astype("<i8").tobytes()
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["model", "train", "range", "scores"])
+
+    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # rows that a task has not sent yet, bounded
+        size = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            key, spot, y, b = (np.concatenate(c) for c in zip(*held))
+            for k, (left, share, theta) in enumerate(wanted):
+                p = probability(b, theta)
+                for train, inside in ((0, key == left), (1, (key != left) & (spot < share))):
+                    at = np.flatnonzero(inside)
+                    if len(at):
+                        yield table(list(packed(k, train, *collapse(p[at], y[at].astype(np.int64), 1 - y[at].astype(np.int64)))))
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append((np.array(batch.column(0).to_pylist(), object), np.asarray(batch.column(1)), np.asarray(batch.column(2)), _matrix(batch.column(3), batch.num_rows)))
+                size += batch.num_rows
+                if size >= HELD_ROWS:
+                    yield from sent()
+                    held, size = [], 0
+        if held:
+            yield from sent()
+
+    def won(key, part):
+        score, pos, neg = [], [], []
+        for blob in part["scores"].to_pylist():
+            n = len(blob) // 24
+            score.append(np.frombuffer(blob, "<f8", n))
+            pos.append(np.frombuffer(blob, "<i8", n, 8 * n))
+            neg.append(np.frombuffer(blob, "<i8", n, 16 * n))
+        _, pos, neg = collapse(*(np.concatenate(c) for c in (score, pos, neg)))
+        # Twice the pairs won, in whole numbers.
+        pairs = int((pos * (2 * (np.cumsum(neg) - neg) + neg)).sum())
+        return pa.table({"model": [key[0].as_py()], "train": [key[1].as_py()], "range": [key[2].as_py()], "pairs": [pairs], "pos": [int(pos.sum())], "neg": [int(neg.sum())]})
+
+    sent = rows.mapInArrow(score_rows, "model int, train int, range int, scores binary")
+    counted = sent.groupBy("model", "train", "range").applyInArrow(won, "model bigint, train bigint, range bigint, pairs bigint, pos bigint, neg bigint")
+    below: dict[tuple, list[int]] = {}
+    for r in sorted(counted.collect()):  # one row per model, part and range
+        sums = below.setdefault((r["model"], r["train"]), [0, 0, 0])
+        sums[0] += r["pairs"] + 2 * r["pos"] * sums[2]
+        sums[1] += r["pos"]
+        sums[2] += r["neg"]
+    made = [(k, "train" if train else "validation", pairs / (2 * p * n) if p * n else None) for (k, train), (pairs, p, n) in below.items()]
+    return df.sparkSession.createDataFrame(made, "model int, part string, auc double")
+
+
 def logistic_left_out(df: DataFrame, groups: Mapping, target: str, by: str, c: float, weight: str | None = None, name: str = "prediction") -> DataFrame:
     """Every row with a group, predicted by the logistic model of all other groups (folds: at most 1000 of them)."""
     basis, models = fit_logistic(df, groups, target, c, weight, by)

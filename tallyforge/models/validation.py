@@ -106,24 +106,37 @@ def temporal_backtest(
     return M.regression_metrics(predicted, target, "prediction"), predicted
 
 
+def _search_predictions(
+    cut: DataFrame, groups: Mapping, family: Family, drawn: Sequence[Mapping], target: str, folds: int, weight: str | None
+) -> DataFrame:
+    """Predictions of every trial and fold, on both parts."""
+    preps = fold_preprocessors(cut, groups, folds)
+    return _union([
+        predictions_by_fold(cut, groups, family, params, target, folds, weight, preps=preps).select(
+            F.lit(i).alias("trial"), FOLD, "part", F.col(target).cast("double").alias("y"), "prediction")
+        for i, params in enumerate(drawn)
+    ])
+
+
 def random_search(
     df: DataFrame, groups: Mapping, family: Family, target: str, group: str, trials: int, folds: int = 5,
     weight: str | None = None, overrides: Mapping | None = None,
 ) -> DataFrame:
     """One row per trial: parameters and mean / deviation of the unweighted score over the folds, best first.
 
-    The score is AUC for classes and minus MAE for levels. Fitting uses the weight, scoring does not.
+    The score is AUC for classes and minus MAE for levels. Fitting uses the weight, scoring does not. Logistic models of
+    all trials and folds come from the same scans.
     """
     cut = stored(with_folds(df, group, folds, target if family.classifies else None), "folds")
-    preps = fold_preprocessors(cut, groups, folds)
     drawn = [{**family.draw(i), **(overrides or {})} for i in range(trials)]
-    predicted = stored(_union([
-        predictions_by_fold(cut, groups, family, params, target, folds, weight, preps=preps).select(
-            F.lit(i).alias("trial"), FOLD, "part", F.col(target).cast("double").alias("y"), "prediction")
-        for i, params in enumerate(drawn)
-    ]), "search")
     by = ["trial", FOLD, "part"]
-    if family.classifies:
+    newton = family.name == "logistic" and not overrides
+    predicted = None if newton else stored(_search_predictions(cut, groups, family, drawn, target, folds, weight), "search")
+    if newton:
+        basis, models = L.fit_logistic(cut, groups, target, [p["c"] for p in drawn], weight, FOLD)
+        place = F.floor(F.col("model") / (len(models) // trials)).cast("int").alias("trial")
+        scores = L.logistic_auc(cut, basis, models, target, FOLD).select(place, "part", F.col("auc").alias("score"))
+    elif family.classifies:
         scores = M.ranking_metrics(predicted, "y", "prediction", by=by, names=("auc",)).withColumnRenamed("auc", "score")
     else:
         scores = predicted.groupBy(*by).agg((-F.avg(F.abs(F.col("prediction") - F.col("y")))).alias("score"))
@@ -160,13 +173,9 @@ def learning_curve(
     cut, parts = stored(cut, "curve"), []
     if family.name == "logistic":
         basis, models = L.fit_logistic(cut, groups, target, params["c"], None, FOLD, list(shares), "__spot")
-        cells = F.array(*[
-            F.struct(F.lit(float(m.share)).alias("share"), F.lit(int(m.left_out)).alias("k"), L.logistic_probability(basis, m).alias("prediction")) for m in models
-        ])
-        part = F.when(F.col(FOLD) == F.col("m.k"), "validation").when(F.col("__spot") < F.col("m.share"), "train")
-        rows = cut.select(FOLD, "__spot", target, F.explode(cells).alias("m"))
-        parts = [rows.select("m.share", F.col("m.k").alias(FOLD), part.alias("part"), target, "m.prediction").filter("part is not null")]
-        shares = ()
+        names = df.sparkSession.createDataFrame([(i, float(m.share)) for i, m in enumerate(models)], "model int, share double")
+        scores = L.logistic_auc(cut, basis, models, target, FOLD, "__spot").join(names, "model")
+        return scores.groupBy("share", "part").agg(F.avg("auc").alias("auc_mean"), F.stddev_pop("auc").alias("auc_std"))
     for share in shares:
         for k in range(folds):
             learn = cut.filter((F.col(FOLD) != k) & (F.col("__spot") < share))

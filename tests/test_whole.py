@@ -1,7 +1,13 @@
 """Registered queries do the whole published job."""
 
+from dataclasses import replace
+
 import numpy as np
+import pytest
 
+from tallyforge.models import linear as L
+from tallyforge.models import validation as V
+from tallyforge.models.families import FAMILIES
 from tallyforge.operators import resampling as RS
 from tallyforge.queries import ORACLES, QUERIES
 
@@ -21,3 +27,49 @@ def test_draws_are_dealt_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(RS, "_picked_slots", lambda rows, *a: tasks.append(rows.rdd.getNumPartitions()) or real(rows, *a))
     df = spark.range(40).selectExpr("id", "cast(id as double) as v")
     assert RS.residual_thresholds(df, "v", ["id"], 50).count() == 50 and tasks == [20]
+
+
+def people(spark, n=400):
+    rng = np.random.default_rng(3)
+    g, x, k = rng.integers(0, 23, n), np.round(rng.normal(size=n), 1), rng.integers(0, 3, n)
+    y = (rng.random(n) < 1 / (1 + np.exp(-x - 0.4 * k))).astype(int)
+    rows = [(i, int(g[i]), float(x[i]) if i % 17 else None, str(k[i]), int(y[i]), float(1 + i % 3)) for i in range(n)]
+    return spark.createDataFrame(rows, "id int, g int, x double, k string, y int, w double"), {"history": ["x"], "categories": ["k"]}
+
+
+def test_scores_of_all_models_come_from_one_scan(spark, monkeypatch):
+    df, groups = people(spark)
+    slow = replace(FAMILIES["logistic"], name="plain")  # fits and scores one model after the other
+    want = {(r.share, r.part): r for r in V.learning_curve(df, groups, slow, {"c": 1.0, "tol": 1e-12}, "y", "g", ["id"], (0.3, 1.0), 2).collect()}
+    monkeypatch.setattr(L, "RANGE_ROWS", 30)
+    monkeypatch.setattr(L, "HELD_ROWS", 50)
+    stored, real = [], V.stored
+    monkeypatch.setattr(V, "stored", lambda f, label: stored.append(label) or real(f, label))
+    got = {(r.share, r.part): r for r in V.learning_curve(df, groups, FAMILIES["logistic"], {"c": 1.0}, "y", "g", ["id"], (0.3, 1.0), 2).collect()}
+    assert set(got) == set(want) and len(got) == 4 and "curve-scores" not in stored
+    for k, r in want.items():
+        assert got[k].auc_mean == pytest.approx(r.auc_mean, abs=1e-4) and got[k].auc_std == pytest.approx(r.auc_std, abs=1e-4)
+
+
+def test_trials_of_a_search_come_from_the_same_scans(spark):
+    df, groups = people(spark)
+    search = lambda family, more: {r.trial: r for r in V.random_search(df, groups, family, "y", "g", 3, 2, "w", more).collect()}
+    got, want = search(FAMILIES["logistic"], None), search(FAMILIES["logistic"], {"tol": 1e-12})
+    for i in range(3):
+        assert got[i].params == {"c": want[i].params["c"]}
+        for name in ("mean_train", "mean_validation", "std_validation"):
+            assert got[i][name] == pytest.approx(want[i][name], abs=1e-4)
+
+
+def test_person_flow_searches_all_rows_of_the_year(spark, monkeypatch):
+    seen = []
+
+    def search(df, groups, family, target, group, trials, folds, weight, overrides):
+        seen.append((df.count(), trials, folds, overrides))
+        raise InterruptedError
+
+    monkeypatch.setattr(V, "random_search", search)
+    with pytest.raises(InterruptedError):
+        QUERIES["train_person_flow"](spark, SMALL)
+    whole = spark.read.parquet(f"{SMALL}/lineitem.parquet").filter("year(l_shipdate) = 1999").count()
+    assert seen == [(whole, 10, 3, None)]
