@@ -97,22 +97,37 @@ def attribution_shapley(
         scored = hybrids(all_, inside, [*keys, "__mask"])
         wide = scored.groupBy(*keys).agg(*[(F.sum(w * F.col("prediction")) / len(background)).alias(f) for w, f in zip(weights, features)])
         return long_attributions(wide, features, keys).withColumn("standard_error", F.lit(0.0))
-    cells = F.array(*[F.struct(F.lit(f).alias("variable"), F.lit(k).alias("size"), F.lit(d).alias("draw")) for f in features for k in range(n) for d in range(draws)])
+    # The empty and the full coalition are drawn once: all draws of them are the same.
+    pairs = [(k, d) for k in range(n) for d in range(draws if 0 < k < n - 1 else 1)]
+    cells = F.array(*[F.struct(F.lit(f).alias("variable"), F.lit(i).alias("at"), F.lit(k).alias("size")) for f in features for i, (k, _) in enumerate(pairs)])
     # Rows go by key to parts of a bounded number of sums before they multiply: all that follows stays in its task.
     parts = max(range_count(df.sparkSession), math.ceil(rows.count() * n * n / PART_SUMS))
-    tries = rows.repartition(parts, *keys).withColumn("__c", F.explode(cells)).select("*", "__c.*").drop("__c")
-    order = F.array_sort(F.filter(F.array(*[F.struct(key_hash([*keys, "variable", "size", "draw"], f"{seed}{f}").alias("h"), F.lit(f).alias("f")) for f in features]),
-                                  lambda e: e["f"] != F.col("variable")))
-    tries = tries.withColumn("__in", F.transform(F.slice(order, F.lit(1), F.col("size")), lambda e: e["f"])).withColumn("__other", F.explode(others))
-    by = [*keys, "variable", "size", "draw"]
-    without = score(tries.select(*by, F.struct(*features).alias("__own"), *[F.when(F.array_contains("__in", f), F.col(f)).otherwise(F.col(f"__other.{f}")).alias(f) for f in features]))
+    # A row's keys are hashed once; its draws are numbers made from that. A feature is in a coalition when fewer features
+    # than the coalition's size have a lower number.
+    tries = rows.repartition(parts, *keys).withColumn("__h", key_hash(keys, seed)).withColumn("__c", F.explode(cells)).select("*", "__c.*").drop("__c")
+    tries = tries.select("*", *[F.when(F.col("variable") != f, F.xxhash64("__h", "variable", "at", F.lit(f))).alias(f"__r{j}") for j, f in enumerate(features)])
+
+    def below(j: int) -> Column:
+        """How many features come before feature j in the drawn order; its own variable has no number."""
+        mine = F.col(f"__r{j}")
+        ahead = [F.when((F.col(f"__r{i}") < mine) | ((F.col(f"__r{i}") == mine) & F.lit(i < j)), 1).otherwise(0) for i in range(n) if i != j]
+        return sum(ahead, F.lit(0))
+
+    inside = [F.coalesce((F.col(f"__r{j}").isNotNull()) & (below(j) < F.col("size")), F.lit(False)).alias(f"__in{j}") for j in range(n)]
+    tries = tries.select(*keys, "variable", "at", *features, *inside).withColumn("__other", F.explode(others))
+    by = [*keys, "variable", "at"]
+    without = score(tries.select(*by, F.struct(*features).alias("__own"), *[F.when(F.col(f"__in{j}"), F.col(f)).otherwise(F.col(f"__other.{f}")).alias(f) for j, f in enumerate(features)]))
     joined = without.select(*by, F.col("prediction").alias("__without"), *[F.when(F.col("variable") == f, F.col(f"__own.{f}")).otherwise(F.col(f)).alias(f) for f in features])
     gain = (F.col("prediction") - F.col("__without")) / len(background)
-    sums = score(joined).groupBy(*keys, "variable", "size").agg(*[F.sum(F.when(F.col("draw") == d, gain)).alias(f"__g{d}") for d in range(draws)])
-    mean = sum((F.col(f"__g{d}") for d in range(draws)), F.lit(0.0)) / draws
-    spread = sum(((F.col(f"__g{d}") - F.col("__m")) * (F.col(f"__g{d}") - F.col("__m")) for d in range(draws)), F.lit(0.0)) / (max(1, draws - 1) * draws)
-    per_size = sums.withColumn("__m", mean).select(*keys, "variable", F.col("__m").alias("m"), spread.alias("v"))
-    return per_size.groupBy(*keys, "variable").agg(F.avg("m").alias("phi"), (F.sqrt(F.sum("v")) / n).alias("standard_error"))
+    sums = score(joined).groupBy(*keys, "variable").agg(*[F.sum(F.when(F.col("at") == i, gain)).alias(f"__g{i}") for i in range(len(pairs))])
+    means, spreads = [], []
+    for k in range(n):
+        drawn = [F.col(f"__g{i}") for i, (size, _) in enumerate(pairs) if size == k]
+        mean = sum(drawn, F.lit(0.0)) / len(drawn)
+        means.append(mean)
+        if len(drawn) > 1:
+            spreads.append(sum(((g - mean) * (g - mean) for g in drawn), F.lit(0.0)) / ((len(drawn) - 1) * len(drawn)))
+    return sums.select(*keys, "variable", (sum(means, F.lit(0.0)) / n).alias("phi"), (F.sqrt(sum(spreads, F.lit(0.0))) / n).alias("standard_error"))
 
 
 def column_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:

@@ -4,10 +4,12 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.models import linear as L
 from tallyforge.models import validation as V
 from tallyforge.models.families import FAMILIES
+from tallyforge.operators import attribution as AT
 from tallyforge.operators import resampling as RS
 from tallyforge.queries import ORACLES, QUERIES
 
@@ -73,3 +75,16 @@ def test_person_flow_searches_all_rows_of_the_year(spark, monkeypatch):
         QUERIES["train_person_flow"](spark, SMALL)
     whole = spark.read.parquet(f"{SMALL}/lineitem.parquet").filter("year(l_shipdate) = 1999").count()
     assert seen == [(whole, 10, 3, None)]
+
+
+def test_drawn_coalitions_hash_the_keys_of_a_row_once(spark):
+    df = spark.range(60).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"), F.rand(4).alias("d"))
+    score = lambda f: f.withColumn("prediction", F.col("a") * 2 + F.col("b") * F.col("c") * F.col("d"))
+    names, back = ["a", "b", "c", "d"], [{"a": 0.0, "b": 1.0, "c": 0.5, "d": 0.25}]
+    out = AT.attribution_shapley(df, names, ["id"], score, back, draws=40, exact_up_to=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1 and "array_sort" not in plan
+    exact = {(r.id, r.variable): r.phi for r in AT.attribution_shapley(df, names, ["id"], score, back).collect()}
+    gaps = [(abs(r.phi - exact[r.id, r.variable]), r.standard_error) for r in out.collect()]
+    assert len(gaps) == 240 and all(g <= 6 * e + 1e-9 for g, e in gaps)
+    assert np.mean([g for g, _ in gaps]) < 0.02 and np.mean([e for _, e in gaps]) > 0
