@@ -4,9 +4,11 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tallyforge.models import linear as L
+from tallyforge.models import trees as T
 from tallyforge.models import validation as V
 from tallyforge.models.families import FAMILIES
 from tallyforge.operators import attribution as AT
@@ -100,3 +102,70 @@ def test_permutation_importance_permutes_five_times(spark, monkeypatch):
     monkeypatch.setattr(AT, "permutation_importance", keep)
     assert QUERIES["permutation_importance"](spark, SMALL).count() == 3 and seen == [5]
     assert ORACLES["permutation_importance"].count("range(5)") == 2
+
+
+def test_trees_of_counted_cells_are_those_of_rows():
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 4, (3, 500)).astype(np.uint8)
+    y = ((codes[0] > 1) ^ (codes[1] > 2)).astype(float)
+    ones = np.ones(500, np.int64)
+    cells, of = np.unique(np.vstack([codes, y[None]]), axis=1, return_inverse=True)
+    n = np.bincount(of.ravel(), minlength=cells.shape[1])
+    options = (5, 0.3, 3, 10, 1.0, 3, True, 1)
+    whole = list(T.boost((codes, y, np.ones(500), ones), *options))
+    short = list(T.boost((cells[:3].astype(np.uint8), cells[3], np.ones(len(n)), n), *options))
+    for a, b in zip(whole, short):
+        assert a["feature"] == b["feature"] and a["cut"] == b["cut"] and np.allclose(a["value"], b["value"])
+    first = T.tree_values(whole[0], codes)
+    assert np.allclose(first[(codes[0] > 1) & (codes[1] < 3)], 1.0) and whole[0]["feature"][0] in (0, 1)
+
+
+def test_each_node_splits_best_and_keeps_its_least_rows():
+    rng = np.random.default_rng(9)
+    codes, g = rng.integers(0, 6, (4, 300)), rng.normal(size=300)
+    n = np.ones(300)
+    tree, out = T.grow(codes, n, n, g, 1, 40, 4, rng)
+    best = max(
+        (g[codes[f] <= b].sum() ** 2 / (codes[f] <= b).sum() + g[codes[f] > b].sum() ** 2 / (codes[f] > b).sum(), f, b)
+        for f in range(4) for b in range(5) if 40 <= (codes[f] <= b).sum() <= 260)
+    assert (tree["feature"][0], tree["cut"][0]) == best[1:]
+    low = codes[best[1]] <= best[2]
+    np.testing.assert_allclose(out, np.where(low, g[low].mean(), g[~low].mean()))
+    _, out = T.grow(codes, n, n, g, 6, 40, 4, rng)
+    assert min(np.unique(out, return_counts=True)[1]) >= 40
+
+
+@pytest.mark.parametrize("name, trees", [("forest_level", "trees"), ("boosted", "rounds"), ("boosted_level", "rounds")])
+def test_trees_of_spark_and_of_cells_agree(spark, tmp_path, name, trees):
+    df, groups = people(spark, 2000)
+    params = {trees: 20, "rate": 0.3, "depth": 3, "min_leaf": 10, "features": 1.0, "rows": 1.0}
+    family = FAMILIES[name]
+    model = family.fit(df, groups, params, "y")
+    got = np.array([r.prediction for r in family.predict(model, df).orderBy("id").collect()])
+    model.write().overwrite().save(str(tmp_path / "model"))
+    back = family.predict(PipelineModel.load(str(tmp_path / "model")), df).orderBy("id").collect()
+    np.testing.assert_array_equal([r.prediction for r in back], got)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(T, "MAX_CELLS", 0)
+        plain = family.fit(df, groups, params, "y")
+    assert "BinnedTrees" not in type(plain.stages[-1]).__name__
+    want = np.array([r.prediction for r in family.predict(plain, df).orderBy("id").collect()])
+    assert np.corrcoef(got, want)[0, 1] > 0.98 and np.abs(got - want).mean() < 0.03
+
+
+def test_registered_trees_have_the_published_numbers(spark, monkeypatch):
+    seen = []
+
+    class Told(Exception):
+        pass
+
+    def fit(self, train, groups, params, target, weight=None, prep=None):
+        options = self.build(train, params, weight).options
+        seen.append((self.name, options["trees"], options["depth"], options["min_leaf"], options.get("rate")))
+        raise Told
+
+    monkeypatch.setattr(type(FAMILIES["forest"]), "fit", fit)
+    for query in ("random_forest", "boosted_trees"):
+        with pytest.raises(Told):
+            QUERIES[query](spark, SMALL)
+    assert seen == [("forest_level", 300, 10, 70, None), ("boosted_level", 600, 9, 284, 0.03)]
