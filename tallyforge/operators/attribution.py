@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+import sys
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import key_hash, ratio, round_even
 from ..session import stored
-from .ordered import hash_positions, hash_sample, range_count
+from .ordered import HASH_BITS, hash_positions, hash_sample, range_count
 from .resampling import point_metric
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Sums that one task keeps at once.
 PART_SUMS = 1_000_000
+# Rows that a task packs at once, and rows of a range of hashes and of a block of positions.
+PACKED_ROWS, BLOCK_ROWS = 500_000, 1_000_000
 
 
 def attribution_linear(df: DataFrame, coefficients: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
@@ -160,6 +169,116 @@ def block_importance(
     return sums.withColumn("total", total).select("block", round_even(ratio(F.lit(100.0) * F.col("s"), "total"), 1).alias("share_pct"))
 
 
+def _pack(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _unpack(parts: Sequence[bytes]) -> pa.Table:
+    """Packed rows one after the other, with plain columns."""
+    tables = []
+    for part in parts:
+        rows = pa.ipc.open_stream(part).read_all()
+        tables.append(pa.table({n: c.cast(c.type.value_type) if pa.types.is_dictionary(c.type) else c for n, c in zip(rows.column_names, rows.columns)}))
+    return pa.concat_tables(tables).combine_chunks()
+
+
+def _short(rows: pa.Table) -> pa.Table:
+    """Columns of few values as small codes."""
+    made = {}
+    for name, column in zip(rows.column_names, rows.columns):
+        plain = column.combine_chunks()
+        coded = (pa.concat_arrays(plain.chunks) if isinstance(plain, pa.ChunkedArray) else plain).dictionary_encode()
+        k = len(coded.dictionary)
+        code = pa.int8() if k <= 127 else pa.int16()
+        made[name] = pa.DictionaryArray.from_arrays(coded.indices.cast(code), coded.dictionary) if k <= min(32_000, rows.num_rows // 4) else column
+    return pa.table(made)
+
+
+def permuted_pairs(kept: DataFrame, own: Sequence[str], features: Sequence[str], keys: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """(rep, own, other): per repeat each row beside the features of the row at the same place of another hash order.
+
+    The orders are those of `hash_positions` by (rep, keys); rows of equal 60-bit hashes come in any order. A task packs its
+    rows per repeat, order and range of hashes, without keys; ranges are sorted and their packed rows cut into blocks of
+    positions, where both orders meet.
+    """
+    spark, own, features = kept.sparkSession, list(own), list(features)
+    text = F.concat_ws("|", F.lit(""), *[F.col(k).cast("string") for k in keys])
+    rows = kept.select(text.alias("__text"), *own)
+    n = kept.count()
+    bits = max((range_count(spark) - 1).bit_length(), math.ceil(math.log2(max(1.0, n / BLOCK_ROWS))))
+    sides = [(rep, side) for rep in range(repeats) for side in ("r", "g")]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            texts, short = [t.encode() for t in table["__text"].to_pylist()], _short(table.select(own))
+            for rep, side in sides:
+                head = f"{seed}{side}|{rep}".encode()
+                digests = b"".join([md5(head + t, usedforsecurity=False).digest() for t in texts])
+                hashes = np.frombuffer(digests, ">u8")[::2].astype(np.uint64) >> np.uint64(64 - HASH_BITS)
+                order = np.argsort(hashes)
+                hashes = hashes[order]
+                mine = (short if side == "r" else short.select(features)).take(pa.array(order))
+                cut = np.searchsorted(hashes, np.arange((1 << bits) + 1).astype(np.uint64) << np.uint64(HASH_BITS - bits))
+                for r in np.flatnonzero(np.diff(cut)):
+                    a, b = cut[r], cut[r + 1]
+                    yield pa.RecordBatch.from_arrays([pa.array([rep]), pa.array([side]), pa.array([int(r)]), pa.array([hashes[a:b].tobytes()]), pa.array([_pack(mine.slice(a, b - a))])],
+                                                     names=["rep", "side", "range", "hashes", "rows"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= PACKED_ROWS:
+                    yield from sent()
+                    held = []
+        if held:
+            yield from sent()
+
+    def order_range(key, part):
+        hashes = np.concatenate([np.frombuffer(h, "<u8") for h in part["hashes"].to_pylist()])
+        table = _unpack(part["rows"].to_pylist()).take(pa.array(np.argsort(hashes, kind="stable")))
+        return pa.table({"rep": [key[0].as_py()], "side": [key[1].as_py()], "range": [key[2].as_py()], "n": [len(hashes)], "rows": [_pack(_short(table))]})
+
+    packed = rows.mapInArrow(pack, "rep bigint, side string, range bigint, hashes binary, rows binary")
+    ordered = stored(packed.groupBy("rep", "side", "range").applyInArrow(order_range, "rep bigint, side string, range bigint, n bigint, rows binary"), "ordered")
+    before: dict[tuple, int] = {}  # rows of a repeat's order before each range
+    total: dict[tuple, int] = {}
+    for r in ordered.select("rep", "side", "range", "n").orderBy("rep", "side", "range").collect():
+        of = (r["rep"], r["side"])
+        before[(*of, r["range"])] = total.get(of, 0)
+        total[of] = total.get(of, 0) + r["n"]
+    size = max(1, min(BLOCK_ROWS, -(-n // range_count(spark))))
+
+    def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, table = before[row["rep"], row["side"], row["range"]], _short(_unpack([row["rows"]]))
+                start = at
+                while start < at + row["n"]:
+                    stop = min(at + row["n"], (start // size + 1) * size)
+                    yield pa.RecordBatch.from_arrays([pa.array([row["rep"]]), pa.array([start // size]), pa.array([row["side"]]), pa.array([start]), pa.array([_pack(table.slice(start - at, stop - start))])],
+                                                     names=["rep", "block", "side", "position", "rows"])
+                    start = stop
+
+    def meet(key, part):
+        part = part.sort_by("position")
+        side = np.array(part["side"].to_pylist())
+        blobs = part["rows"].to_pylist()
+        taker, giver = (_unpack([blobs[i] for i in np.flatnonzero(side == s)]) for s in ("r", "g"))
+        return pa.table([pa.array([key[0].as_py()] * taker.num_rows, pa.int32()), *taker.columns, *giver.columns], names=["rep", *own, *[f"__o_{f}" for f in features]])
+
+    types = {f.name: f.dataType.simpleString() for f in kept.schema.fields}
+    schema = ", ".join(["rep int", *[f"`{c}` {types[c]}" for c in own], *[f"`__o_{f}` {types[f]}" for f in features]])
+    blocks = ordered.mapInArrow(cut_blocks, "rep bigint, block bigint, side string, position bigint, rows binary")
+    met = blocks.groupBy("rep", "block").applyInArrow(meet, schema)
+    return met.select("rep", *own, F.struct(*[F.col(f"__o_{f}").alias(f) for f in features]).alias("other"))
+
+
 def permutation_importance(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], score: Callable[[DataFrame], DataFrame], y: str,
     metric: str = "auc", repeats: int = 5, weight: str | None = None, seed: int = 42,
@@ -171,12 +290,9 @@ def permutation_importance(
     """
     features, keys = list(features), list(keys)
     kept = df.select(*keys, y, *([weight] if weight else []), *features)
-    tries = kept.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     own = [y, *([weight] if weight else []), *features]
-    takers = hash_positions(tries, ["rep", *keys], f"{seed}r", by=["rep"]).select("rep", "position", *own)
-    givers = hash_positions(tries.select("rep", *keys, F.struct(*features).alias("other")), ["rep", *keys], f"{seed}g", by=["rep"])
-    # Stored without keys, as the metric reads the pairs twice.
-    pairs = stored(takers.join(givers.select("rep", "position", "other"), ["rep", "position"]).select("rep", *own, "other"), "pairs")
+    # Stored, as the metric reads the pairs twice.
+    pairs = stored(permuted_pairs(kept, own, features, keys, repeats, seed), "pairs")
     each = pairs.withColumn("variable", F.explode(F.array(*[F.lit(f) for f in features])))
     mixed = each.select(
         y, *([weight] if weight else []), "rep", "variable",

@@ -1,5 +1,6 @@
 """Registered queries do the whole published job."""
 
+import hashlib
 from dataclasses import replace
 
 import numpy as np
@@ -169,3 +170,20 @@ def test_registered_trees_have_the_published_numbers(spark, monkeypatch):
         with pytest.raises(Told):
             QUERIES[query](spark, SMALL)
     assert seen == [("forest_level", 300, 10, 70, None), ("boosted_level", 600, 9, 284, 0.03)]
+
+
+def test_rows_are_permuted_as_by_positions_in_hash_orders(spark, monkeypatch):
+    monkeypatch.setattr(AT, "PACKED_ROWS", 40)
+    monkeypatch.setattr(AT, "BLOCK_ROWS", 30)
+    df = spark.range(333).selectExpr("concat('k', id) as k", "cast(id % 2 as int) as y", "if(id = 5, null, id / 8.0D) as a", "cast(id % 3 as int) as b")
+    pairs = AT.permuted_pairs(df, ["y", "a", "b"], ["a", "b"], ["k"], 3, 42)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and [f.dataType for f in pairs.schema["other"].dataType] == [df.schema["a"].dataType, df.schema["b"].dataType]
+    got = sorted((r.rep, r.y, str(r.a), r.b, str(r.other.a), r.other.b) for r in pairs.collect())
+    rows = {r.k: r for r in df.collect()}
+    h = lambda *k: int(hashlib.md5("|".join(map(str, k)).encode()).hexdigest()[:15], 16)
+    want = []
+    for rep in range(3):
+        takers, givers = (sorted(rows, key=lambda k: h(f"42{side}", rep, k)) for side in "rg")
+        want += [(rep, rows[t].y, str(rows[t].a), rows[t].b, str(rows[g].a), rows[g].b) for t, g in zip(takers, givers)]
+    assert got == sorted(want)
